@@ -73,8 +73,8 @@ def in_day(time_id: Column) -> Column:
 
 
 def whole(dividend: Column, divisor: int) -> Column:
-    """Integer quotient of non-negative integers."""
-    return F.floor(dividend / F.lit(divisor)).cast("int")
+    """Integer quotient of integers."""
+    return F.call_function("div", dividend, F.lit(divisor)).cast("int")
 
 
 def hour_part(second: Column) -> Column:

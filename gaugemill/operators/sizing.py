@@ -1,0 +1,50 @@
+"""Joins whose small side is broadcast only after its size is known.
+
+Beyond the limit the same result comes from a salted shuffle join, so that one
+hot key of the large side is spread over several tasks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+BROADCAST_ROWS = 200_000
+SALTS = 32
+
+
+def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the relation has at most ``max_rows`` rows; reads no more than needed."""
+    return small.limit(max_rows + 1).count() <= max_rows
+
+
+def fixed(small: DataFrame) -> DataFrame:
+    """Broadcast hint for relations of fixed size (generated dimensions, one-row totals)."""
+    return F.broadcast(small)
+
+
+def attach(
+    large: DataFrame,
+    small: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    spread_by: Sequence[str] | None = None,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Equi-join of a possibly skewed large relation with a smaller one.
+
+    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.  ``spread_by``
+    names columns of the large side (a row id) that spread a hot key.
+    """
+    on = list(on)
+    if fits_broadcast(small, max_rows):
+        return large.join(F.broadcast(small), on, how)
+    if not spread_by:
+        return large.join(small, on, how)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    salted = large.withColumn("_salt", salt)
+    copies = small.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    )
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
