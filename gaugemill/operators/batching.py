@@ -16,12 +16,25 @@ def line_levels(order: str = "line_no") -> dict[str, Column]:
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """Number the non-blank lines of each station in line order."""
+    """Number the non-blank lines of each station in line order.
+
+    Adds ``row_no`` and the station's line count ``station_lines``.
+    """
     return number_rows(
-        parsing.drop_blank(lines), ["station"], line_levels(), ["line_no"], out="row_no"
+        parsing.drop_blank(lines), ["station"], line_levels(), ["line_no"],
+        out="row_no", total="station_lines",
     )
 
 
+def split_windows(numbered: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """(lines of full batches with their ``batch_no``, waiting lines)."""
+    batch = F.call_function("div", F.col("row_no") - 1, F.lit(size))
+    full_batches = F.call_function("div", F.col("station_lines"), F.lit(size))
+    columns = [c for c in numbered.columns if c not in ("row_no", "station_lines")]
+    full = numbered.filter(batch < full_batches).select(*columns, batch.alias("batch_no"))
+    return full, numbered.filter(batch >= full_batches).select(*columns)
+
+
 def count_windows(lines: DataFrame, size: int) -> DataFrame:
     """Every ``size`` consecutive non-blank lines of a station form batch 0, 1, …
 
@@ -30,19 +43,6 @@ def count_windows(lines: DataFrame, size: int) -> DataFrame:
     return split_windows(number_lines(lines), size)[0]
 
 
-def split_windows(numbered: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """(lines of full batches, waiting lines of the unfinished batch)."""
-    totals = numbered.groupBy("station").agg(F.max("row_no").alias("_lines"))
-    batch = F.call_function("div", F.col("row_no") - 1, F.lit(size))
-    batched = numbered.withColumn("batch_no", batch).join(totals, "station")
-    complete = F.col("batch_no") < F.call_function("div", F.col("_lines"), F.lit(size))
-    columns = [c for c in numbered.columns if c != "row_no"]
-    return (
-        batched.filter(complete).select(*columns, "batch_no"),
-        batched.filter(~complete).select(*columns),
-    )
-
-
 def dedupe_lines(batched: DataFrame) -> DataFrame:
     """Identical lines of one batch count once (the last one is kept)."""
     rest = [c for c in batched.columns if c not in ("station", "batch_no", "line")]

@@ -38,7 +38,7 @@ def block_offsets(
     count: str = "n",
     offset: str = "offset",
 ) -> DataFrame:
-    """Rows of the group that come before each finest block.
+    """Rows of the group that come before each finest block, and the group's ``total``.
 
     ``counts`` has one row per (groups, levels).  Level ``i`` sums over the blocks
     that share its parent block, so no window spans more than one parent.
@@ -64,10 +64,11 @@ def block_offsets(
             *parent,
             levels[depth],
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{depth}"),
+            *([F.sum("_n").over(Window.partitionBy(*parent)).alias("total")] if depth == 0 else []),
         )
         out = starts if out is None else starts.join(out, parent)
     total = reduce(lambda a, b: a + b, [F.col(f"_before{d}") for d in range(len(levels))])
-    return out.select(*keys, total.cast("long").alias(offset))
+    return out.select(*keys, total.cast("long").alias(offset), "total")
 
 
 def number_rows(
@@ -76,11 +77,12 @@ def number_rows(
     levels: dict[str, Column],
     order_by: Sequence[str | Column],
     out: str = "row_no",
+    total: str | None = None,
 ) -> DataFrame:
     """1-based consecutive number of each row within its group.
 
     ``levels`` are order-preserving block keys, coarse to fine: a row with a smaller
-    block comes first, rows of one finest block are ordered by ``order_by``.
+    block comes first, rows of one finest block are ordered by ``order_by``.  ``total`` names a column for the group's row count.
     """
     keys = [*groups, *levels]
     blocked = df.withColumns(levels)
@@ -91,6 +93,5 @@ def number_rows(
     return (
         numbered.join(offsets, keys)
         .withColumn(out, F.col("_offset") + F.col("_local"))
-        .drop("_offset", "_local", *levels)
-        .select(*df.columns, out)
+        .select(*df.columns, out, *([F.col("total").alias(total)] if total else []))
     )
