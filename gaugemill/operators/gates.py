@@ -5,7 +5,7 @@ Bounds are computed once and compared with the bare column, so they reach the sc
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,8 +41,8 @@ def expired(df: DataFrame, as_of: datetime, hours: int = RETENTION_HOURS) -> Col
 def closed_local_minute(as_of: datetime, wrap: bool = False) -> Column:
     """The keyed row's minute, plus a guard of two minutes, is over in its own zone.
 
-    With ``wrap`` the guard wraps at midnight and any other date counts as closed,
-    future dates included; without it the comparison is on full local minutes.
+    Earlier local dates are closed.  With ``wrap`` the guard wraps at midnight and any
+    other date counts as closed, future dates included.
     """
     local_now = clock.instant_to_local(clock.instant(as_of), F.col("timezone"))
     today = local_now.cast("date")
@@ -51,8 +51,7 @@ def closed_local_minute(as_of: datetime, wrap: bool = False) -> Column:
     guarded = clock.minute_of_day(clock.second_behind(F.col("time_id"))) + GUARD_MINUTES
     if wrap:
         return (day != today) | (guarded % 1440 < now_minute)
-    days_back = F.datediff(today, day)
-    return guarded < now_minute + days_back * 1440
+    return (day < today) | ((day == today) & (guarded < now_minute))
 
 
 def eligible(keyed: DataFrame, as_of: datetime, wrap: bool = False) -> DataFrame:
@@ -67,6 +66,5 @@ def eligible(keyed: DataFrame, as_of: datetime, wrap: bool = False) -> DataFrame
 
 def elapsed(windows: DataFrame, as_of: datetime, grace_minutes: int = 0) -> DataFrame:
     """Windows whose end label, plus a grace, lies before ``as_of``."""
-    ends = _type(windows, "end_15min")
-    bound = clock.instant(clock.hours_before(as_of, 0), ends)
-    return windows.filter(bound > clock.plus_minutes(F.col("end_15min"), grace_minutes))
+    bound = clock.naive_utc(as_of) - timedelta(minutes=grace_minutes)
+    return windows.filter(F.col("end_15min") < clock.instant(bound, _type(windows, "end_15min")))
