@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugemill import schemas
 from gaugemill.constants import (
     CALENDAR_DAYS, NODE_MODELS, SECONDS_PER_DAY, VALUE_TYPES, VALUE_UNITS,
 )
@@ -32,12 +31,19 @@ def time_dimension(spark: SparkSession) -> DataFrame:
     )
 
 
+def _seed(spark: SparkSession, rows, columns: str) -> DataFrame:
+    """Literal rows as a local relation: planned and counted without a job."""
+    marks = ", ".join("(" + ", ".join(["?"] * len(row)) + ")" for row in rows)
+    values = [value for row in rows for value in row]
+    return spark.sql(f"SELECT * FROM VALUES {marks} AS seed({columns})", args=values)
+
+
 def value_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(VALUE_TYPES), schemas.VALUE_TYPE)
+    return _seed(spark, VALUE_TYPES, "id, name").select(F.col("id").cast("long"), "name")
 
 
 def value_units(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(VALUE_UNITS), schemas.VALUE_UNIT)
+    return _seed(spark, VALUE_UNITS, "id, name").select(F.col("id").cast("long"), "name")
 
 
 def catalogue_pairs(types: DataFrame, units: DataFrame, type_name: str, unit_name: str) -> DataFrame:
@@ -54,9 +60,7 @@ def catalogue_pairs(types: DataFrame, units: DataFrame, type_name: str, unit_nam
 
 def node_models(spark: SparkSession) -> DataFrame:
     """Sensor catalogue: which observation key belongs to which model, type and unit."""
-    seeds = spark.createDataFrame(
-        list(NODE_MODELS), "id int, name string, column_name string, type_name string, unit_name string"
-    )
+    seeds = _seed(spark, NODE_MODELS, "id, name, column_name, type_name, unit_name")
     types = value_types(spark).select(F.col("id").cast("int").alias("value_type_id"),
                                       F.col("name").alias("type_name"))
     units = value_units(spark).select(F.col("id").cast("int").alias("value_unit_id"),

@@ -10,6 +10,8 @@ from gaugemill import schemas
 from gaugemill.functions import clock
 
 DAY = "obs_day"
+LOAD = "load_at"
+LOAD_KEYS = [DAY, LOAD]
 
 
 def with_day(df: DataFrame, ts: str = "observe_date") -> DataFrame:
@@ -74,23 +76,40 @@ def append_raw(observations: DataFrame, path: str) -> None:
     )
 
 
-def append_rollup(rows: DataFrame, path: str) -> None:
-    """Append new minute averages, not yet delivered."""
-    append_by_day(
-        rows.select(
-            F.col("id").cast("long"),
-            F.col("observe_date").cast("timestamp"),
-            F.col("node_model_id").cast("int"),
-            F.col("sensor_value").cast("decimal(12,6)"),
-            "node_unique_id",
-            F.lit(False).alias("imported"),
-        ),
-        path,
+def rollup_rows(rows: DataFrame) -> DataFrame:
+    """New minute averages in the stored form, not yet delivered."""
+    return rows.select(
+        F.col("id").cast("long"),
+        F.col("observe_date").cast("timestamp"),
+        F.col("node_model_id").cast("int"),
+        F.col("sensor_value").cast("decimal(12,6)"),
+        "node_unique_id",
+        F.lit(False).alias("imported"),
+    )
+
+
+def write_load(rows: DataFrame, path: str, as_of: datetime) -> None:
+    """Append one load of minute averages in folders of its own.
+
+    Repeating a load replaces its folders, so nothing is stored twice.
+    """
+    label = clock.naive_utc(as_of).strftime("%Y%m%dT%H%M%S")
+    overwrite_loads(with_day(rollup_rows(rows)).withColumn(LOAD, F.lit(label)), path)
+
+
+def overwrite_loads(rows: DataFrame, path: str) -> None:
+    """Replace exactly the (day, load) folders that occur in ``rows``."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*LOAD_KEYS)
+        .parquet(path)
     )
 
 
 def read_rollup(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(stored_schema(schemas.OBSERVATION)).parquet(path)
+    schema = stored_schema(schemas.OBSERVATION)
+    return spark.read.schema(schema.add(LOAD, T.StringType())).parquet(path)
 
 
 def overwrite_days(df: DataFrame, path: str, ts: str = "observe_date") -> None:
