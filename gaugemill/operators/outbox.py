@@ -109,9 +109,9 @@ def route(pending: DataFrame, results: DataFrame, stop_at_fatal: bool = False) -
     )
     if stop_at_fatal:
         newest = F.struct("observe_date", (-F.col("id")).alias("back"))
-        stop = routed.filter(F.col("outcome") == "fatal").agg(F.max(newest).alias("_stop"))
-        behind = F.coalesce(newest < F.col("_stop"), F.lit(False))
-        routed = routed.crossJoin(sizing.fixed(stop)).withColumn(
+        stop = routed.filter(F.col("outcome") == "fatal").agg(F.max(newest)).scalar()
+        behind = F.coalesce(newest < stop, F.lit(False))
+        routed = routed.withColumn(
             "outcome", F.when(behind, "pending").otherwise(F.col("outcome"))
         )
     pause = F.when(F.col("outcome") == "retry", NOT_FOUND_PAUSE_S).otherwise(0.0)

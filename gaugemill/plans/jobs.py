@@ -54,7 +54,7 @@ def mark(spark: SparkSession, raw_path: str, as_of: datetime) -> None:
     raw = store.scan_raw(spark, raw_path)
     pending = store.scan_raw(spark, raw_path, before=as_of)
     days = state.touched_days(pending, as_of)
-    affected = raw.join(F.broadcast(days), store.DAY, "left_semi")
+    affected = raw.join(sizing.fixed(days), store.DAY, "left_semi")  # one row per calendar day
     flagged = state.flag_closed(affected, as_of).select(*schemas.OBSERVATION_RAW.fieldNames())
     store.overwrite_days(materialize(flagged, "flagged"), raw_path)
 

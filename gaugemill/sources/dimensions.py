@@ -33,9 +33,11 @@ def time_dimension(spark: SparkSession) -> DataFrame:
 
 def _seed(spark: SparkSession, rows, columns: str) -> DataFrame:
     """Literal rows as a local relation: planned and counted without a job."""
-    marks = ", ".join("(" + ", ".join(["?"] * len(row)) + ")" for row in rows)
-    values = [value for row in rows for value in row]
-    return spark.sql(f"SELECT * FROM VALUES {marks} AS seed({columns})", args=values)
+    rows_sql = ", ".join(
+        "(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")"
+        for row in rows
+    )
+    return spark.sql(f"SELECT * FROM VALUES {rows_sql} AS seed({columns})")
 
 
 def value_types(spark: SparkSession) -> DataFrame:
@@ -46,20 +48,12 @@ def value_units(spark: SparkSession) -> DataFrame:
     return _seed(spark, VALUE_UNITS, "id, name").select(F.col("id").cast("long"), "name")
 
 
-def catalogue_pairs(types: DataFrame, units: DataFrame, type_name: str, unit_name: str) -> DataFrame:
-    """Type and unit ids of one named pair: the product of two filtered seed tables."""
-    return (
-        types.filter(F.col("name") == type_name)
-        .select(F.col("id").cast("int").alias("value_type_id"))
-        .crossJoin(
-            units.filter(F.col("name") == unit_name)
-            .select(F.col("id").cast("int").alias("value_unit_id"))
-        )
-    )
-
-
 def node_models(spark: SparkSession) -> DataFrame:
-    """Sensor catalogue: which observation key belongs to which model, type and unit."""
+    """Sensor catalogue: which observation key belongs to which model, type and unit.
+
+    Type and unit are found by name, which gives the same pairs as filtering the
+    product of the two tables.
+    """
     seeds = _seed(spark, NODE_MODELS, "id, name, column_name, type_name, unit_name")
     types = value_types(spark).select(F.col("id").cast("int").alias("value_type_id"),
                                       F.col("name").alias("type_name"))

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugemill.functions import calendar, clock
+from gaugemill.operators import readings
 
 BASE_US = 1_704_067_200_000_000  # 2024-01-01 00:00:00 UTC
 CLOCK_DIVISOR = 60
@@ -130,3 +131,26 @@ def delivery_results_for(rollup: DataFrame) -> DataFrame:
         F.when(digit <= 6, 201).when(digit == 7, 404).when(digit == 8, 500)
         .otherwise(401).alias("status_code"),
     )
+
+
+DELIVERED_UNTIL = datetime(2024, 1, 1, 3, 0)
+HUMIDITY_DELIVERED_UNTIL = datetime(2024, 1, 1, 6, 0)
+
+
+def receipts_for(raw_rows: DataFrame) -> DataFrame:
+    """Receipts of the older quarter-hours; the temperature sensor writes '' for no node."""
+    when = F.col("observe_date")
+    end = clock.quarter_end(when.cast("date"), clock.second_of_day(when)).cast("timestamp")
+    sensor, node = F.col("sensor_name"), F.col("node_unique_id")
+    windows = (
+        readings.all_readings(raw_rows)
+        .filter(F.col("sensor_value").isNotNull())
+        .select(end.alias("end_15min"), "sensor_name", "node_unique_id")
+        .distinct()
+    )
+    delivered = (F.col("end_15min") < clock.instant(DELIVERED_UNTIL)) | (
+        (sensor == "dht11_h") & (F.col("end_15min") < clock.instant(HUMIDITY_DELIVERED_UNTIL))
+    )
+    return windows.filter(delivered).withColumn(
+        "node_unique_id", F.when(node.isNull() & (sensor == "dht11_t"), "").otherwise(node)
+    )
