@@ -62,9 +62,9 @@ _QUARTER_END = (
 
 BLOCKS = {
     "ev": """SELECT *, CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS amount,
-        make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 60) AS at
+        make_timestamp(1704067200000000 + (epoch_us(ts) - 1704067200000000) // 60) AS moment
         FROM events""",
-    "lines": """SELECT 'st' || (user_id % 5) AS station, event_id AS line_no, at AS arrived_at,
+    "lines": """SELECT 'st' || (user_id % 5) AS station, event_id AS line_no, moment AS arrived_at,
         CASE event_type
             WHEN 'signup' THEN 'dht11_t:' || amount
             WHEN 'purchase' THEN 'dht11_h:' || amount
@@ -105,7 +105,7 @@ BLOCKS = {
                     ORDER BY line_no DESC) AS last_of_line
               FROM batches)
         GROUP BY station, batch_no""",
-    "raw": f"""SELECT event_id AS id, at AS observe_date, {_DOC} AS sensor_values,
+    "raw": f"""SELECT event_id AS id, moment AS observe_date, {_DOC} AS sensor_values,
         event_id % 7 = 0 AS imported FROM ev""",
     "scalar": f"""SELECT id, observe_date, imported, 'dht11_h' AS sensor_name,
             {micro("json_extract_string(sensor_values, '$.dht11_h')")} AS v FROM raw
@@ -146,8 +146,8 @@ BLOCKS = {
         FROM rollup r JOIN models m ON m.id = r.node_model_id""",
     "keyed": f"""SELECT unnest(CASE WHEN event_type = 'signup'
                 THEN [event_id, -event_id - 1] ELSE [event_id] END) AS observation_id,
-            CAST(date_diff('day', DATE '2018-01-01', CAST(at AS DATE)) + 1 AS INTEGER) AS calendar_id,
-            CAST(hour(at) * 3600 + minute(at) * 60 + second(at) + 1 AS INTEGER) AS time_id,
+            CAST(date_diff('day', DATE '2018-01-01', CAST(moment AS DATE)) + 1 AS INTEGER) AS calendar_id,
+            CAST(hour(moment) * 3600 + minute(moment) * 60 + second(moment) + 1 AS INTEGER) AS time_id,
             CASE user_id % 3 WHEN 0 THEN 'UTC' WHEN 1 THEN 'America/Denver'
                 ELSE 'Europe/Berlin' END AS timezone,
             {_DOC} AS sensor_values, event_id % 7 = 0 AS imported FROM ev""",
@@ -293,11 +293,18 @@ def draw(number: str, name: str) -> str:
     return f"(CAST('0x' || substr(md5('42:{name}:' || ({number})), 1, 13) AS BIGINT) % 1000000)"
 
 
+def cents(operator: str) -> str:
+    """Whole units or remaining hundredths of a non-negative mean, rounded half up."""
+    return (
+        f"((CAST(round(sensor_value * 1000000) AS BIGINT) + 5000) // 10000 {operator} 100)"
+    )
+
+
 def feed_doc(extra: str = "") -> str:
     return f"""'{{"id":' || id || ',"observe_date":"' || strftime(observe_date, '%Y-%m-%dT%H:%M:%S')
         || '+00:00","sensor_name":"' || sensor_name || '","node_unique_id":'
         || coalesce('"' || node_unique_id || '"', 'null') || ',"sensor_value":'
-        || printf('%.2f', round(sensor_value, 2)) || '{extra}}}'"""
+        || {cents('//')} || '.' || lpad(CAST({cents('%')} AS VARCHAR), 2, '0') || '{extra}}}'"""
 
 
 _PAYLOAD = '{"dht11_h": 88.8, "dht11_t": 3.1, "ds18b20_t": 3.14}'
@@ -527,9 +534,6 @@ def oracle_sql() -> dict[str, str]:
         FROM keyed_readings"""
 
     # scalar functions
-    sql["celsius_to_fahrenheit"] = """SELECT event_id, CAST(round(
-        CAST(CAST(value AS DECIMAL(12,2)) * 18 AS DECIMAL(18,2)) / 10 + 32, 2) AS DOUBLE)
-        AS fahrenheit FROM (SELECT event_id, value FROM events)"""
     # thousandths are exact integers: cents * 18 / 1000, rounded half up to cents
     sql["celsius_to_fahrenheit"] = """SELECT event_id,
         CAST((CAST(CAST(value AS DECIMAL(12,2)) * 100 AS BIGINT) * 18 + 32000 + 5) // 10 AS DOUBLE)
@@ -676,10 +680,10 @@ def oracle_sql() -> dict[str, str]:
         FROM readings r JOIN models m ON m.column_name = r.sensor_name GROUP BY 1, 2, 3, 4)
         WHERE observe_date + INTERVAL 1 MINUTE <= (SELECT seen FROM watermark)"""
     sql["stream_quarterhour_avg"] = with_("readings", "watermark") + f"""
-        , minute_means AS (SELECT date_trunc('minute', observe_date) AS at, sensor_name,
+        , minute_means AS (SELECT date_trunc('minute', observe_date) AS moment, sensor_name,
             node_unique_id, {mean(2)} AS m FROM readings GROUP BY 1, 2, 3)
-        , quarter_means AS (SELECT date_trunc('hour', at)
-                + to_minutes(CAST(minute(at) // 15 * 15 AS BIGINT)) AS start_15min, sensor_name,
+        , quarter_means AS (SELECT date_trunc('hour', moment)
+                + to_minutes(CAST(minute(moment) // 15 * 15 AS BIGINT)) AS start_15min, sensor_name,
             node_unique_id, {mean(2, 'CAST(round(m * 1000000) AS BIGINT)')} AS sensor_value
             FROM minute_means GROUP BY 1, 2, 3)
         SELECT start_15min, start_15min + INTERVAL 14 MINUTE AS end_15min, sensor_name,
