@@ -55,33 +55,54 @@ def _entry(sensor: str, node: Column, value: Column) -> Column:
         F.lit(sensor).alias("sensor_name"),
         node.alias("node_unique_id"),
         value.alias("sensor_value"),
-    ).cast(_ENTRY)
+    )
+
+
+def _no_node() -> Column:
+    return F.lit(None).cast("string")
+
+
+def _no_entries() -> Column:
+    return F.array().cast(f"array<{_ENTRY}>")
 
 
 def _scalar_entries(doc: str) -> list[Column]:
-    none = F.lit(None).cast("string")
-    return [_entry(key, none, F.col(f"{doc}.{key}")) for key in SCALAR_KEYS]
+    return [_entry(key, _no_node(), F.col(f"{doc}.{key}")) for key in SCALAR_KEYS]
 
 
 def _node_entries(doc: str) -> Column:
     """All entries of all elements of the node array; empty when it is absent."""
-    per_element = F.transform(F.col(f"{doc}.{PROBE_ARRAY_KEY}"), lambda m: F.map_entries(m))
-    entries = F.transform(
-        F.flatten(F.array_compact(per_element)), lambda e: _entry(PROBE_KEY, e["key"], e["value"])
+    elements = F.col(f"{doc}.{PROBE_ARRAY_KEY}")
+    per_element = F.transform(
+        elements,
+        lambda m: F.when(
+            m.isNotNull(),
+            F.transform(F.map_entries(m), lambda e: _entry(PROBE_KEY, e["key"], e["value"])),
+        ).otherwise(_no_entries()),
     )
-    return F.coalesce(entries, F.array().cast(f"array<{_ENTRY}>"))
+    return F.when(elements.isNull(), _no_entries()).otherwise(F.flatten(per_element))
 
 
 def _probe_entries(doc: str) -> Column:
     """Scalar and per-node readings of the probe sensor: bad ones out, equal ones once."""
-    scalar = _entry(PROBE_KEY, F.lit(None).cast("string"), F.col(f"{doc}.{PROBE_KEY}"))
-    both = F.concat(F.array(scalar), _node_entries(doc))
-    return F.array_distinct(F.filter(both, lambda e: not_bad(e["sensor_value"])))
+    value = F.col(f"{doc}.{PROBE_KEY}")
+    scalar = F.array(_entry(PROBE_KEY, _no_node(), value))
+    nodes = F.filter(_node_entries(doc), lambda e: not_bad(e["sensor_value"]))
+    distinct_nodes = F.when(
+        F.col(f"{doc}.{PROBE_ARRAY_KEY}").isNull(), _no_entries()
+    ).otherwise(F.array_distinct(nodes))
+    # A scalar reading has no node, so it never equals a node reading.
+    return F.when(not_bad(value), F.concat(scalar, distinct_nodes)).otherwise(distinct_nodes)
 
 
 def _exploded(raw: DataFrame, keep: Sequence[str], entries, columns: Sequence[str]) -> DataFrame:
     parsed = raw.select(*keep, json_docs.readings_of(F.col("sensor_values")).alias("_doc"))
-    return parsed.select(*keep, F.inline(entries("_doc"))).select(*keep, *columns)
+    # With the array as a column of its own the row generation is compiled.  The outer
+    # form keeps the optimizer from testing the array's size first, which would parse
+    # every document twice; its row for an empty array has no sensor name.
+    listed = parsed.select(*keep, entries("_doc").alias("_entries"))
+    rows = listed.select(*keep, F.inline_outer("_entries"))
+    return rows.filter(F.col("sensor_name").isNotNull()).select(*keep, *columns)
 
 
 def node_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
@@ -89,9 +110,12 @@ def node_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
     return _exploded(raw, keep, _node_entries, ["node_unique_id", "sensor_value"])
 
 
-def probe_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
+def probe_readings(
+    raw: DataFrame, keep: Sequence[str] = RAW_KEYS, named: bool = False
+) -> DataFrame:
     """Union of scalar and per-node probe readings, distinct within an observation."""
-    return _exploded(raw, keep, _probe_entries, ["node_unique_id", "sensor_value"])
+    columns = [*(["sensor_name"] if named else []), "node_unique_id", "sensor_value"]
+    return _exploded(raw, keep, _probe_entries, columns)
 
 
 def scalar_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:

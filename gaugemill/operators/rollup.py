@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from gaugemill.constants import PROBE_KEY
 from gaugemill.functions import clock, numeric
 from gaugemill.operators import readings, sizing
 
@@ -40,8 +39,7 @@ def average_by_minute(named: DataFrame, models: DataFrame) -> DataFrame:
 
 def minute_avg_nodes(raw: DataFrame, models: DataFrame) -> DataFrame:
     """Probe sensor: scalar and per-node readings, known-bad values left out."""
-    named = readings.probe_readings(raw).withColumn("sensor_name", F.lit(PROBE_KEY))
-    return average_by_minute(named, models)
+    return average_by_minute(readings.probe_readings(raw, named=True), models)
 
 
 def minute_avg_scalar(raw: DataFrame, models: DataFrame) -> DataFrame:
