@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, functions as F
 
 from gaugemill.constants import CALENDAR_DAYS, CALENDAR_START
@@ -21,6 +23,11 @@ def date_of(calendar_id: Column) -> Column:
     return F.date_add(_origin(), calendar_id - 1)
 
 
+def epoch_day(calendar_id: Column) -> Column:
+    """Days from 1970-01-01 to the date behind a surrogate key."""
+    return calendar_id.cast("long") + ((CALENDAR_START - date(1970, 1, 1)).days - 1)
+
+
 def in_calendar(calendar_id: Column) -> Column:
     return calendar_id.between(1, CALENDAR_DAYS)
 

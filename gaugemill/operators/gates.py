@@ -13,6 +13,7 @@ from gaugemill.constants import RETENTION_HOURS
 from gaugemill.functions import calendar, clock
 
 GUARD_MINUTES = 2
+MINUTES_PER_DAY = 1440
 
 
 def _type(df: DataFrame, column: str):
@@ -42,16 +43,20 @@ def closed_local_minute(as_of: datetime, wrap: bool = False) -> Column:
     """The keyed row's minute, plus a guard of two minutes, is over in its own zone.
 
     Earlier local dates are closed.  With ``wrap`` the guard wraps at midnight and any
-    other date counts as closed, future dates included.
+    other date counts as closed, future dates included.  All is compared in whole
+    minutes, so the zone of a row is converted once.
     """
-    local_now = clock.instant_to_local(clock.instant(as_of), F.col("timezone"))
-    today = local_now.cast("date")
-    now_minute = F.hour(local_now) * 60 + F.minute(local_now)
-    day = calendar.date_of(F.col("calendar_id"))
-    guarded = clock.minute_of_day(clock.second_behind(F.col("time_id"))) + GUARD_MINUTES
+    local_now = F.from_utc_timestamp(clock.instant(as_of), F.col("timezone"))
+    now = F.call_function("div", F.unix_micros(local_now), F.lit(60_000_000))
+    day_start = calendar.epoch_day(F.col("calendar_id")) * MINUTES_PER_DAY
+    minute = clock.minute_of_day(clock.second_behind(F.col("time_id")))
+    guarded = minute + GUARD_MINUTES
     if wrap:
-        return (day != today) | (guarded % 1440 < now_minute)
-    return (day < today) | ((day == today) & (guarded < now_minute))
+        today = now - now % MINUTES_PER_DAY
+        return (day_start != today) | (guarded % MINUTES_PER_DAY < now % MINUTES_PER_DAY)
+    # Cut at the last minute of the day: earlier days stay closed, today's last
+    # minutes stay open.
+    return day_start + F.least(guarded, F.lit(MINUTES_PER_DAY - 1)) < now
 
 
 def eligible(keyed: DataFrame, as_of: datetime, wrap: bool = False) -> DataFrame:

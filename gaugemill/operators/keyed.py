@@ -97,8 +97,9 @@ def eligible_rows(keyed: DataFrame, ids: DataFrame) -> DataFrame:
 
 def probe_rows_of(keyed: DataFrame, ids: DataFrame) -> DataFrame:
     """Scalar probe readings of given ids, without known-bad values."""
-    detail = readings.wide_readings(keyed, ["observation_id", *KEYS])
-    return eligible_rows(detail, ids).filter(readings.not_bad(F.col("ds18b20_t")))
+    rows = eligible_rows(keyed, ids)
+    detail = readings.wide_readings(rows, ["observation_id", *KEYS])
+    return detail.filter(readings.not_bad(F.col("ds18b20_t"))).drop("has_reading")
 
 
 def loaded_minutes(minute_fact: DataFrame) -> DataFrame:

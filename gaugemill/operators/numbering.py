@@ -81,6 +81,8 @@ def number_rows(
 ) -> DataFrame:
     """1-based consecutive number of each row within its group.
 
+    The rows are read twice (counts, then numbers): pass a stored relation.
+
     ``levels`` are order-preserving block keys, coarse to fine: a row with a smaller
     block comes first, rows of one finest block are ordered by ``order_by``.  ``total`` names a column for the group's row count.
     """

@@ -32,22 +32,27 @@ def with_key(raw: DataFrame, key: str) -> DataFrame:
 
 
 def with_any_sensor(raw: DataFrame) -> DataFrame:
-    """Observations with some non-empty scalar sensor value."""
-    texts = json_docs.texts_of(F.col("sensor_values"), WIDE_KEYS)
-    parsed = raw.withColumn("_texts", texts)
-    present = [F.col(f"_texts.{key}") != "" for key in WIDE_KEYS]
-    return parsed.filter(present[0] | present[1] | present[2]).drop("_texts")
+    """Observations with some non-empty scalar sensor value; one parse per document."""
+    texts = F.array(json_docs.texts_of(F.col("sensor_values"), WIDE_KEYS))
+
+    def any_text(doc: Column) -> Column:
+        present = [F.coalesce(doc[key] != "", F.lit(False)) for key in WIDE_KEYS]
+        return present[0] | present[1] | present[2]
+
+    return raw.filter(F.exists(texts, any_text))
 
 
 def wide_readings(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """The three scalar sensors as columns; rows with none of them are dropped."""
-    texts = json_docs.texts_of(F.col("sensor_values"), WIDE_KEYS)
-    parsed = raw.select(*keep, texts.alias("_texts"))
-    present = [F.col(f"_texts.{key}") != "" for key in WIDE_KEYS]
-    return parsed.filter(present[0] | present[1] | present[2]).select(
-        *keep,
-        *[numeric.to_number(F.col(f"_texts.{key}")).alias(key) for key in WIDE_KEYS],
-    )
+    """The three scalar sensors as columns; ``has_reading`` tells whether there is any.
+
+    Rows without a reading are not filtered here: a filter on parsed values would be
+    pushed below the projection and parse every document again.
+    """
+    fields = ", ".join(f"{key} {READING_TYPE}" for key in WIDE_KEYS)
+    parsed = raw.select(*keep, F.from_json("sensor_values", fields).alias("_doc"))
+    values = [F.col(f"_doc.{key}").alias(key) for key in WIDE_KEYS]
+    present = F.coalesce(*[F.col(f"_doc.{key}") for key in WIDE_KEYS]).isNotNull()
+    return parsed.select(*keep, *values, present.alias("has_reading"))
 
 
 def _entry(sensor: str, node: Column, value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gaugemill.functions import clock, numeric
-from gaugemill.operators import readings, sizing
+from gaugemill.operators import readings
 
 MINUTE_COLUMNS = [
     "observe_date", "node_model_id", "sensor_name", "node_unique_id", "imported", "sensor_value",
@@ -13,11 +13,15 @@ MINUTE_COLUMNS = [
 
 
 def attach_model(named: DataFrame, models: DataFrame) -> DataFrame:
-    """Catalogue row of each named reading; readings of unknown sensors are dropped."""
+    """Catalogue row of each named reading; readings of unknown sensors are dropped.
+
+    The catalogue is joined without a hint: its size is in the statistics, from
+    which the planner decides whether to broadcast it.
+    """
     catalogue = models.select(
         F.col("id").alias("node_model_id"), F.col("column_name").alias("sensor_name")
     )
-    return sizing.attach(named, catalogue, ["sensor_name"], "inner")
+    return named.join(catalogue, "sensor_name")
 
 
 def average_by_minute(named: DataFrame, models: DataFrame) -> DataFrame:
@@ -60,6 +64,6 @@ def named_observations(rollup: DataFrame, models: DataFrame) -> DataFrame:
     names = models.select(
         F.col("id").alias("node_model_id"), F.col("column_name").alias("sensor_name")
     )
-    return sizing.attach(rollup, names, ["node_model_id"], "inner").select(
+    return rollup.join(names, "node_model_id").select(
         "id", "observe_date", "sensor_name", "sensor_value", "node_unique_id", "imported"
     )

@@ -28,7 +28,7 @@ def _second() -> Column:
 
 def _wide_aggregates(strict: bool) -> list[Column]:
     return [
-        numeric.small_count(strict).alias("observation_cnt"),
+        F.count_if("has_reading").cast("short" if strict else "int").alias("observation_cnt"),
         numeric.rounded_mean(F.col(TEMPERATURE_KEY), 1).alias(TEMPERATURE_KEY),
         numeric.rounded_mean(F.col(HUMIDITY_KEY), 0).alias(HUMIDITY_KEY),
         numeric.rounded_mean(F.col(PROBE_KEY), 1).alias(PROBE_KEY),
@@ -40,7 +40,7 @@ def minute_summary(keyed: DataFrame, strict_count: bool = False) -> DataFrame:
     wide = readings.wide_readings(_valid(keyed), ["calendar_id", "time_id"])
     grouped = wide.groupBy("calendar_id", clock.minute_of_day(_second()).alias("_minute")).agg(
         *_wide_aggregates(strict_count)
-    )
+    ).filter(F.col("observation_cnt") > 0)
     minute = F.col("_minute")
     return grouped.select(
         calendar.date_of(F.col("calendar_id")).alias("datum"),
@@ -59,7 +59,9 @@ def _quarters(keyed: DataFrame, groups: list[str], strict_count: bool) -> DataFr
     """Wide means per quarter-hour, with the quarter's first second for its labels."""
     wide = readings.wide_readings(_valid(keyed), ["calendar_id", "time_id", *groups])
     quarter = clock.quarter_first_minute(_second()).alias("_quarter")
-    grouped = wide.groupBy("calendar_id", quarter, *groups).agg(*_wide_aggregates(strict_count))
+    grouped = wide.groupBy("calendar_id", quarter, *groups).agg(
+        *_wide_aggregates(strict_count)
+    ).filter(F.col("observation_cnt") > 0)
     start = F.col("_quarter") * 60
     day = calendar.date_of(F.col("calendar_id"))
     return grouped.select(

@@ -73,7 +73,8 @@ def _averages(spark: SparkSession, d: str) -> DataFrame:
 
 def _rollup(spark: SparkSession, d: str) -> DataFrame:
     """Stored minute averages, a third of them delivered."""
-    rows = observations.rollup_rows(state.rollup_ids(_averages(spark, d)))
+    averages = materialize(_averages(spark, d), "averages")  # numbering reads them twice
+    rows = observations.rollup_rows(state.rollup_ids(averages))
     return rows.withColumn("imported", F.col("id") % 3 == 0)
 
 
@@ -122,7 +123,8 @@ def _(spark, d):
 @query("append_minute_rollup")
 def _(spark, d):
     path = scratch_path(spark, "observation")
-    observations.write_load(state.rollup_ids(_averages(spark, d)), path, AS_OF)
+    averages = materialize(_averages(spark, d), "averages")
+    observations.write_load(state.rollup_ids(averages), path, AS_OF)
     return observations.read_rollup(spark, path).drop("load_at")
 
 
@@ -170,7 +172,7 @@ def _catalogue_counts(spark, d):
     named = readings.all_readings(testbed.raw(spark, d)).filter(F.col("sensor_value").isNotNull())
     counts = named.groupBy("sensor_name").agg(F.count(F.lit(1)).alias("n_readings"))
     models = _models(spark).withColumnRenamed("column_name", "sensor_name")
-    return sizing.attach(counts, models, ["sensor_name"], "inner")
+    return counts.join(models, "sensor_name")
 
 
 @query("sensor_catalogue")
@@ -379,8 +381,8 @@ def _(spark, d):
         F.col("id").cast("int").alias("value_unit_id"), F.col("name").alias("unit_name")
     )
     counts = _catalogue_counts(spark, d)
-    named = sizing.attach(counts, types, ["value_type_id"], "inner")
-    return sizing.attach(named, units, ["value_unit_id"], "inner").select(
+    named = counts.join(types, "value_type_id").join(units, "value_unit_id")
+    return named.select(
         "name", "type_name", "unit_name", "n_readings"
     )
 

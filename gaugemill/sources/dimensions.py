@@ -51,16 +51,13 @@ def value_units(spark: SparkSession) -> DataFrame:
 def node_models(spark: SparkSession) -> DataFrame:
     """Sensor catalogue: which observation key belongs to which model, type and unit.
 
-    Type and unit are found by name, which gives the same pairs as filtering the
-    product of the two tables.
+    Seed rows name their type and unit, which gives the same pairs as filtering the
+    product of the two seed tables by name.
     """
-    seeds = _seed(spark, NODE_MODELS, "id, name, column_name, type_name, unit_name")
-    types = value_types(spark).select(F.col("id").cast("int").alias("value_type_id"),
-                                      F.col("name").alias("type_name"))
-    units = value_units(spark).select(F.col("id").cast("int").alias("value_unit_id"),
-                                      F.col("name").alias("unit_name"))
-    return (
-        seeds.join(F.broadcast(types), "type_name")
-        .join(F.broadcast(units), "unit_name")
-        .select("id", "name", "column_name", "value_type_id", "value_unit_id")
-    )
+    type_ids = {name: key for key, name in VALUE_TYPES}
+    unit_ids = {name: key for key, name in VALUE_UNITS}
+    rows = [
+        (key, name, column, type_ids[type_name], unit_ids[unit_name])
+        for key, name, column, type_name, unit_name in NODE_MODELS
+    ]
+    return _seed(spark, rows, "id, name, column_name, value_type_id, value_unit_id")

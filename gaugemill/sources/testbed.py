@@ -139,14 +139,16 @@ HUMIDITY_DELIVERED_UNTIL = datetime(2024, 1, 1, 6, 0)
 
 def receipts_for(raw_rows: DataFrame) -> DataFrame:
     """Receipts of the older quarter-hours; the temperature sensor writes '' for no node."""
-    when = F.col("observe_date")
-    end = clock.quarter_end(when.cast("date"), clock.second_of_day(when)).cast("timestamp")
+    quarter_us = 900 * 1_000_000
+    quarter = F.call_function("div", F.unix_micros("observe_date"), F.lit(quarter_us))
+    end = F.timestamp_micros(F.col("_quarter") * quarter_us + 14 * 60 * 1_000_000)
     sensor, node = F.col("sensor_name"), F.col("node_unique_id")
     windows = (
         readings.all_readings(raw_rows)
         .filter(F.col("sensor_value").isNotNull())
-        .select(end.alias("end_15min"), "sensor_name", "node_unique_id")
+        .select(quarter.alias("_quarter"), "sensor_name", "node_unique_id")
         .distinct()
+        .select(end.alias("end_15min"), "sensor_name", "node_unique_id")
     )
     delivered = (F.col("end_15min") < clock.instant(DELIVERED_UNTIL)) | (
         (sensor == "dht11_h") & (F.col("end_15min") < clock.instant(HUMIDITY_DELIVERED_UNTIL))
