@@ -75,6 +75,18 @@ def _scalar_entries(doc: str) -> list[Column]:
     return [_entry(key, _no_node(), F.col(f"{doc}.{key}")) for key in SCALAR_KEYS]
 
 
+def _last_per_key(element: Column) -> Column:
+    """Entries of one element; of a repeated key only the last value counts."""
+    entries = F.map_entries(element)
+    last = F.filter(
+        entries,
+        lambda e, i: ~F.exists(
+            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
+        ),
+    )
+    return F.when(F.size(element) > 1, last).otherwise(entries)
+
+
 def _node_entries(doc: str) -> Column:
     """All entries of all elements of the node array; empty when it is absent."""
     elements = F.col(f"{doc}.{PROBE_ARRAY_KEY}")
@@ -82,7 +94,7 @@ def _node_entries(doc: str) -> Column:
         elements,
         lambda m: F.when(
             m.isNotNull(),
-            F.transform(F.map_entries(m), lambda e: _entry(PROBE_KEY, e["key"], e["value"])),
+            F.transform(_last_per_key(m), lambda e: _entry(PROBE_KEY, e["key"], e["value"])),
         ).otherwise(_no_entries()),
     )
     return F.when(elements.isNull(), _no_entries()).otherwise(F.flatten(per_element))
