@@ -1,22 +1,32 @@
 """Joins whose small side is broadcast only after its size is known.
 
 Beyond the limit the same result comes from a salted shuffle join, so that one
-hot key of the large side is spread over several tasks.
+hot key of the large side is spread over many tasks; adaptive execution splits
+what is still skewed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_ROWS = 200_000
-SALTS = 32
+# Key relations of a few columns: well below 100 MB as a hash table.
+BROADCAST_ROWS = 1_000_000
+MAX_SALTS = 256
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the relation has at most ``max_rows`` rows; reads no more than needed."""
-    return small.limit(max_rows + 1).count() <= max_rows
+    """Whether the relation has at most ``max_rows`` rows.
+
+    Counts the relation: pass a stored one, where the count comes from file footers.
+    """
+    return small.count() <= max_rows
+
+
+def salts(spark: SparkSession) -> int:
+    """Parts a hot key is split into: one per shuffle partition, within a limit."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_SALTS)
 
 
 def fixed(small: DataFrame) -> DataFrame:
@@ -42,9 +52,8 @@ def attach(
         return large.join(F.broadcast(small), on, how)
     if not spread_by:
         return large.join(small, on, how)
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    parts = salts(large.sparkSession)
+    salt = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
     salted = large.withColumn("_salt", salt)
-    copies = small.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -16,9 +16,9 @@ from gaugemill.operators import (
     batching, gates, keyed as keyed_ops, outbox, parsing, quality, readings, rollup,
     sizing, state, windows,
 )
-from gaugemill.operators.numbering import number_rows
+from gaugemill.operators.numbering import block_columns, number_rows
 from gaugemill.session import configure, materialize, scratch_path
-from gaugemill.sources import contracts, dimensions, generators, observations, testbed
+from gaugemill.sources import contracts, dimensions, generators, lines, observations, testbed
 from gaugemill.sources.testbed import AS_OF
 from gaugemill.streaming import count_window, late, runner, tumbling
 
@@ -102,7 +102,6 @@ def _batches(spark: SparkSession, d: str) -> DataFrame:
 
 @query("scan_lines")
 def _(spark, d):
-    from gaugemill.sources import lines
     return lines.scan_lines(testbed.lines(spark, d))
 
 
@@ -539,7 +538,11 @@ def _(spark, d):
 def _(spark, d):
     """Consecutive ids over all orders in date order."""
     orders = testbed.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    levels = {"_year": F.year("o_orderdate"), "_day": F.col("o_orderdate")}
+    coarse, fine = block_columns(F.col("o_orderkey"))
+    levels = {
+        "_year": F.year("o_orderdate"), "_day": F.col("o_orderdate"),
+        "_keys_hi": coarse, "_keys_lo": fine,
+    }
     return number_rows(orders, [], levels, ["o_orderkey"], out="row_id")
 
 
@@ -803,10 +806,10 @@ def _(spark, d):
 @query("dq_not_null")
 def _(spark, d):
     raw = testbed.raw(spark, d)
-    lines = _parsed(spark, d)
+    parsed = _parsed(spark, d)
     return _stacked([
         quality.not_null(raw, "observation_raw", ["id", "observe_date", "sensor_values", "imported"]),
-        quality.not_null(lines, "lines", ["station", "line", "value", "node_unique_id"]),
+        quality.not_null(parsed, "lines", ["station", "line", "value", "node_unique_id"]),
     ])
 
 
@@ -836,8 +839,7 @@ def _(spark, d):
 @query("dq_unreadable_values")
 def _(spark, d):
     """Sensor values that are present but no number, over documents with the raw line text."""
-    lines = testbed.lines(spark, d)
-    docs = lines.select(
+    docs = testbed.lines(spark, d).select(
         F.col("line_no").alias("id"),
         F.to_json(F.struct(text.part(F.col("line"), ":", 2).alias("dht11_t"))).alias("sensor_values"),
     )
@@ -884,13 +886,13 @@ def _in_two_deliveries(spark, first: DataFrame, second: DataFrame, step, label:
 
 @query("stream_count_window")
 def _(spark, d):
-    lines = testbed.lines(spark, d)
+    arrived = testbed.lines(spark, d)
     out, memory = scratch_path(spark, "counted"), scratch_path(spark, "counted-state")
-    noon = clock.instant(AS_OF, lines.schema["arrived_at"].dataType)
+    noon = clock.instant(AS_OF, arrived.schema["arrived_at"].dataType)
     _in_two_deliveries(
         spark,
-        lines.filter(F.col("arrived_at") < noon),
-        lines.filter(F.col("arrived_at") >= noon),
+        arrived.filter(F.col("arrived_at") < noon),
+        arrived.filter(F.col("arrived_at") >= noon),
         count_window.CountWindow(spark, BATCH_SIZE, out, memory),
         "counted",
     )

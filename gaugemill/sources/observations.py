@@ -45,22 +45,18 @@ def scan_raw(
     return df.select(*columns) if columns else df
 
 
-def append_by_day(df: DataFrame, path: str, ts: str = "observe_date") -> None:
-    """Append rows below their day folder.
+def _by_folder(df: DataFrame, *folders: str) -> DataFrame:
+    """Rows clustered by target folder, in evenly sized tasks.
 
-    Rows are clustered by day with a few hash parts per day, so that a day that
-    holds most of a batch is still written by several tasks, and a task does not
-    open a file for every day.
+    A task then opens few files, and a folder that receives most of the rows is
+    split over several tasks by adaptive execution.
     """
-    day = F.col(ts).cast("date")
-    parts = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-    (
-        with_day(df, ts)
-        .repartition(day, parts)
-        .write.mode("append")
-        .partitionBy(DAY)
-        .parquet(path)
-    )
+    return df.hint("rebalance", *folders)
+
+
+def append_by_day(df: DataFrame, path: str, ts: str = "observe_date") -> None:
+    """Append rows below their day folder."""
+    _by_folder(with_day(df, ts), DAY).write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def append_raw(observations: DataFrame, path: str) -> None:
@@ -100,7 +96,8 @@ def write_load(rows: DataFrame, path: str, as_of: datetime) -> None:
 def overwrite_loads(rows: DataFrame, path: str) -> None:
     """Replace exactly the (day, load) folders that occur in ``rows``."""
     (
-        rows.write.mode("overwrite")
+        _by_folder(rows, *LOAD_KEYS)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LOAD_KEYS)
         .parquet(path)
@@ -118,7 +115,7 @@ def overwrite_days(df: DataFrame, path: str, ts: str = "observe_date") -> None:
     ``df`` must not read from ``path`` any more (see ``session.materialize``).
     """
     (
-        with_day(df, ts)
+        _by_folder(with_day(df, ts), DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DAY)
