@@ -18,7 +18,7 @@ from gaugemill.constants import (
 from gaugemill.functions import json_docs, numeric
 
 RAW_KEYS = ("id", "observe_date", "imported")
-_ENTRY = f"struct<sensor_name:string,node_unique_id:string,sensor_value:{READING_TYPE}>"
+_ITEM = f"struct<key:string,value:{READING_TYPE}>"
 
 
 def not_bad(value: Column) -> Column:
@@ -55,26 +55,6 @@ def wide_readings(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     return parsed.select(*keep, *values, present.alias("has_reading"))
 
 
-def _entry(sensor: str, node: Column, value: Column) -> Column:
-    return F.struct(
-        F.lit(sensor).alias("sensor_name"),
-        node.alias("node_unique_id"),
-        value.alias("sensor_value"),
-    )
-
-
-def _no_node() -> Column:
-    return F.lit(None).cast("string")
-
-
-def _no_entries() -> Column:
-    return F.array().cast(f"array<{_ENTRY}>")
-
-
-def _scalar_entries(doc: str) -> list[Column]:
-    return [_entry(key, _no_node(), F.col(f"{doc}.{key}")) for key in SCALAR_KEYS]
-
-
 def _last_per_key(element: Column) -> Column:
     """Entries of one element; of a repeated key only the last value counts."""
     entries = F.map_entries(element)
@@ -87,68 +67,84 @@ def _last_per_key(element: Column) -> Column:
     return F.when(F.size(element) > 1, last).otherwise(entries)
 
 
-def _node_entries(doc: str) -> Column:
-    """All entries of all elements of the node array; empty when it is absent."""
-    elements = F.col(f"{doc}.{PROBE_ARRAY_KEY}")
-    per_element = F.transform(
-        elements,
-        lambda m: F.when(
-            m.isNotNull(),
-            F.transform(_last_per_key(m), lambda e: _entry(PROBE_KEY, e["key"], e["value"])),
-        ).otherwise(_no_entries()),
-    )
-    return F.when(elements.isNull(), _no_entries()).otherwise(F.flatten(per_element))
-
+def _node_items() -> Column:
+    """All (key, value) entries of all elements of the node array; empty without one."""
+    none = F.array().cast(f"array<{_ITEM}>")
+    elements = F.col(f"_doc.{PROBE_ARRAY_KEY}")
+    per_element = F.transform(elements, lambda m: F.coalesce(_last_per_key(m), none))
+    return F.coalesce(F.flatten(per_element), none)
 
-def _probe_entries(doc: str) -> Column:
-    """Scalar and per-node readings of the probe sensor: bad ones out, equal ones once."""
-    value = F.col(f"{doc}.{PROBE_KEY}")
-    scalar = F.array(_entry(PROBE_KEY, _no_node(), value))
-    nodes = F.filter(_node_entries(doc), lambda e: not_bad(e["sensor_value"]))
-    distinct_nodes = F.when(
-        F.col(f"{doc}.{PROBE_ARRAY_KEY}").isNull(), _no_entries()
-    ).otherwise(F.array_distinct(nodes))
-    # A scalar reading has no node, so it never equals a node reading.
-    return F.when(not_bad(value), F.concat(scalar, distinct_nodes)).otherwise(distinct_nodes)
 
+def _long(
+    raw: DataFrame,
+    keep: Sequence[str],
+    scalars: Sequence[str],
+    nodes: Column | None = None,
+) -> DataFrame:
+    """One row per reading: the scalar keys by position, then the node entries.
 
-def _exploded(raw: DataFrame, keep: Sequence[str], entries, columns: Sequence[str]) -> DataFrame:
+    Items carry only (node, value); the sensor follows from the position, so no
+    item is rebuilt.  The list is a column of its own, which keeps the row
+    generation compiled, and the outer form keeps the optimizer from testing the
+    list's size first, which would parse every document twice.
+    """
     parsed = raw.select(*keep, json_docs.readings_of(F.col("sensor_values")).alias("_doc"))
-    # With the array as a column of its own the row generation is compiled.  The outer
-    # form keeps the optimizer from testing the array's size first, which would parse
-    # every document twice; its row for an empty array has no sensor name.
-    listed = parsed.select(*keep, entries("_doc").alias("_entries"))
-    rows = listed.select(*keep, F.inline_outer("_entries"))
-    return rows.filter(F.col("sensor_name").isNotNull()).select(*keep, *columns)
+    items = F.array(
+        *[
+            F.struct(F.lit(None).cast("string").alias("key"), F.col(f"_doc.{key}").alias("value"))
+            for key in scalars
+        ]
+    )
+    if nodes is not None:
+        items = F.concat(items, nodes) if scalars else nodes
+    rows = parsed.select(*keep, items.alias("_items")).select(
+        *keep, F.posexplode_outer("_items").alias("_position", "_item")
+    )
+    # The row of an empty list has no position and no sensor.
+    sensor = F.when(F.col("_position").isNotNull(), PROBE_KEY)
+    for position, key in enumerate(scalars):
+        if key != PROBE_KEY:
+            sensor = F.when(F.col("_position") == position, key).otherwise(sensor)
+    return rows.select(
+        *keep,
+        sensor.alias("sensor_name"),
+        F.col("_item.key").alias("node_unique_id"),
+        F.col("_item.value").alias("sensor_value"),
+        "_position",
+    )
 
 
 def node_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
     """One row per entry of the node array, nothing filtered."""
-    return _exploded(raw, keep, _node_entries, ["node_unique_id", "sensor_value"])
+    rows = _long(raw, keep, [], _node_items())
+    return rows.filter(F.col("_position").isNotNull()).select(
+        *keep, "node_unique_id", "sensor_value"
+    )
 
 
 def probe_readings(
     raw: DataFrame, keep: Sequence[str] = RAW_KEYS, named: bool = False
 ) -> DataFrame:
-    """Union of scalar and per-node probe readings, distinct within an observation."""
+    """Scalar and per-node probe readings, distinct within an observation, bad ones out.
+
+    A scalar reading has no node, so only node readings can equal each other.
+    """
     columns = [*(["sensor_name"] if named else []), "node_unique_id", "sensor_value"]
-    return _exploded(raw, keep, _probe_entries, columns)
+    rows = _long(raw, keep, [PROBE_KEY], F.array_distinct(_node_items()))
+    return rows.filter(not_bad(F.col("sensor_value"))).select(*keep, *columns)
 
 
 def scalar_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
     """Humidity and temperature in long form; a missing sensor keeps a NULL row."""
-    return _exploded(
-        raw, keep, lambda d: F.array(*_scalar_entries(d)), ["sensor_name", "sensor_value"]
-    )
+    return _long(raw, keep, SCALAR_KEYS).select(*keep, "sensor_name", "sensor_value")
 
 
 def all_readings(raw: DataFrame, keep: Sequence[str] = RAW_KEYS) -> DataFrame:
     """All sensors in long form: scalars with NULL rows, then the probe readings."""
-    return _exploded(
-        raw,
-        keep,
-        lambda d: F.concat(F.array(*_scalar_entries(d)), _probe_entries(d)),
-        ["sensor_name", "node_unique_id", "sensor_value"],
+    rows = _long(raw, keep, [*SCALAR_KEYS, PROBE_KEY], F.array_distinct(_node_items()))
+    is_scalar = F.col("_position") < len(SCALAR_KEYS)
+    return rows.filter(is_scalar | not_bad(F.col("sensor_value"))).select(
+        *keep, "sensor_name", "node_unique_id", "sensor_value"
     )
 
 

@@ -101,14 +101,18 @@ def keyed_raw_from(events: DataFrame) -> DataFrame:
     ids = F.when(
         F.col("event_type") == "signup", F.array(F.col("event_id"), -F.col("event_id") - 1)
     ).otherwise(F.array(F.col("event_id")))
-    return events.select(
-        F.explode(ids).alias("observation_id"),
+    keys = events.select(
+        ids.alias("_ids"),
         calendar.calendar_id_of(when.cast("date")).alias("calendar_id"),
         clock.time_id_of(clock.second_of_day(when)).alias("time_id"),
         zone.alias("timezone"),
         document().alias("sensor_values"),
         (F.col("event_id") % 7 == 0).alias("imported"),
     )
+    return keys.select(
+        F.explode("_ids").alias("observation_id"),
+        *[c for c in keys.columns if c != "_ids"],
+    )
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
