@@ -56,15 +56,21 @@ def wide_readings(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 
 def _last_per_key(element: Column) -> Column:
-    """Entries of one element; of a repeated key only the last value counts."""
+    """Entries of one element; of a repeated key only the last value counts.
+
+    Elements without a repeated key, found by hashing, skip the pairwise search.
+    """
     entries = F.map_entries(element)
+    repeated = (F.size(element) > 1) & (
+        F.size(F.array_distinct(F.map_keys(element))) < F.size(element)
+    )
     last = F.filter(
         entries,
         lambda e, i: ~F.exists(
             F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
         ),
     )
-    return F.when(F.size(element) > 1, last).otherwise(entries)
+    return F.when(repeated, last).otherwise(entries)
 
 
 def _node_items() -> Column:

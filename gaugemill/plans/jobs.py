@@ -24,7 +24,11 @@ def highest_id(table: DataFrame) -> int:
 
 
 def ingest(lines: DataFrame, raw_path: str, start: int = 0, firmware: str = "expanded") -> None:
-    """Lines of one delivery to appended raw observations; ids follow ``start``."""
+    """Lines of one complete delivery to appended raw observations; ids follow ``start``.
+
+    Lines of an unfinished batch are left out.  Where deliveries continue each other,
+    use the streaming count window, which keeps them for the next one.
+    """
     observations = materialize(
         batching.assemble(batching.count_windows(lines, LINES_PER_BATCH[firmware])), "assembled"
     )

@@ -63,14 +63,6 @@ def test_star_join_broadcasts_the_dimensions(spark, sf_dir):
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
 
 
-def test_no_query_multiplies_relations(spark, sf_dir):
-    for name, query in registry.QUERIES.items():
-        if name.startswith(("stream_", "late_")):
-            continue
-        plan = plan_of(query(spark, sf_dir))
-        assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
-
-
 def test_only_blocks_are_sorted_together(spark, sf_dir):
     plan = plan_of(batching.count_windows(testbed.lines(spark, sf_dir), 7))
     assert "_block_lo" in plan
