@@ -6,7 +6,10 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugemill.llm import decontaminate, mixing_tree, quality_vote, simhash_tree, token_blocks
+from gaugemill.llm import (
+    decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
+    simhash_tree, token_blocks, toxic_bags,
+)
 from gaugemill.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +22,14 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return os.path.abspath(public_tokenizers.path(name))
 
 
+def op1_secret_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_grammar.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op2_page_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_template.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op3_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_blocks.token_files(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -28,6 +39,13 @@ def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *quality_vote.STATS, "base_failed", "kept", "posterior")
 
 
+def op5_toxic_bags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    found = toxic_bags.toxicity(docs, labels)
+    return found.select("doc_id", "held_out", "score", "predicted",
+                        F.size("offending").alias("n_offending"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
     return decontaminate.contamination(docs, items)
@@ -40,14 +58,27 @@ def op7_simhash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_shard_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_pack.placed(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_tree.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_index.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_secret_grammar": op1_secret_grammar,
+    "op2_page_template": op2_page_template,
     "op3_token_blocks": op3_token_blocks,
     "op4_quality_votes": op4_quality_votes,
+    "op5_toxic_bags": op5_toxic_bags,
     "op6_decontaminate": op6_decontaminate,
     "op7_simhash_tree": op7_simhash_tree,
+    "op8_shard_pack": op8_shard_pack,
     "op9_mixing_tree": op9_mixing_tree,
+    "op10_license_index": op10_license_index,
 }
