@@ -275,7 +275,7 @@ def cut_spans(text: str, windows: WindowSet) -> str:
         if bad and not cutting:
             kept.append(raw[at:start])
         if cutting and not bad:
-            at = start
+            at = end
         cutting, end = bool(bad), start + len(word)
     if not cutting:
         kept.append(raw[at:])

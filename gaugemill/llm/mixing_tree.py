@@ -6,7 +6,7 @@
 2. *Blocks.*  A source's documents are dealt by hash into blocks of about BLOCK_ROWS.  A
    target of r times the source takes every block floor(r) times, and for the rest a
    number of whole blocks in permuted order; documents of the next block fill the
-   remaining gap, so that no more than a small document is missing at its end.
+   remaining gap, and one more is taken if that comes nearer to the target.
 3. *Tree.*  The units to be drawn (a block, once for each time it is taken) are an urn
    with one colour per source.  The root holds each source's exact quota; every node
    draws half of its units for its left child, a multivariate-hypergeometric vector, and
@@ -220,6 +220,10 @@ def _fill(placed: DataFrame, drawn: DataFrame, seed: int) -> DataFrame:
         left = left.withColumn("gap", F.col("gap") - spent).withColumn(
             "taken", F.col("taken") | F.col("now")
         ).drop("sum", "now")
+    more = ~F.col("taken") & (F.col("words") < 2 * F.col("gap"))
+    nearest = [F.abs(F.col("words") - F.col("gap")), F.col("words"), F.col("key")]
+    closest = F.row_number().over(Window.partitionBy("src", more).orderBy(*nearest))
+    left = left.withColumn("taken", F.col("taken") | (more & (closest == 1)))
     return left.filter("taken").select("src", "key")
 
 

@@ -104,7 +104,7 @@ def train(bags: list[tuple[str, int]], min_docs: int = MIN_DOCS, rounds: int = 2
           rate: float = 0.15, shrink: float = 5e-5) -> Model:
     """Fit to (text, label) by Adam on the log-likelihood of the noisy-or."""
     labels = np.array([y for _, y in bags], float)
-    if labels.min(initial=1) == labels.max(initial=0):
+    if not bags or labels.min() == labels.max():
         return Model()
     chosen = _telling([t for t, _ in bags], labels, min_docs)
     vocabulary = sorted(chosen)
