@@ -26,8 +26,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ WIDTHS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 
 MAGIC = b"GS8B"
 BLOCK_IDS = 256
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 600_000
 
 FILE_SCHEMA = (
     "shard int, chunk int, local_start long, n_ids long, "
@@ -170,55 +170,60 @@ class Encoder:
     """Ids of whole texts by a ``tokenizers`` file; each distinct word is encoded once.
 
     The tokenizer drops white space and never joins across it, so the ids of a text
-    are those of its words in order.  A word of printable ASCII needs no normalising
-    beyond lower case, and its pieces go straight to the library's model; any other
-    word takes the whole of the library's path.
+    are those of its words in order.  A word of printable ASCII and Latin-1 letters needs
+    no normalising beyond lower case, and its pieces go straight to the library's model;
+    any other word takes the whole of the library's path.  Ids are held as little-endian
+    32-bit integers, so a text is a join of byte strings.
     """
 
-    # Fixed value: the file's own splitting rule, for lower-case printable ASCII.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    # The file's own splitting rule for such words, in lower case.
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+    PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
     # White space to str.split() but not to the file's rule.
     ODD = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def ids(self, texts: list[str]) -> list[list[int]]:
-        if len(self.words) > MEMO_ENTRIES:
-            self.words.clear()
-        if len(self.pieces) > MEMO_ENTRIES:
-            self.pieces.clear()
+        self.octets = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        for memo in (self.words, self.pieces):
+            if len(memo) > MEMO_ENTRIES:
+                memo.clear()
         split = [None if self.ODD.search(t) else t.split() for t in texts]
         self._learn({w for ws in split if ws for w in ws} - self.words.keys())
         known = self.words.__getitem__
         return [
-            self.tokenizer.encode(t, add_special_tokens=False).ids
-            if ws is None
-            else list(chain.from_iterable(map(known, ws)))
+            self._whole([t])[0] if ws is None else b"".join(map(known, ws))
             for t, ws in zip(texts, split)
         ]
 
     def _learn(self, new: set[str]) -> None:
         other = []
+        plain, pieces, known = self.PLAIN.fullmatch, self.PIECES.findall, self.pieces
         for word in new:
-            if word.isascii() and word.isprintable() and "<|" not in word:
-                ids: tuple[int, ...] = ()
-                for piece in self.PIECES.findall(word.lower()):
-                    ids += self.pieces.get(piece) or self._piece(piece)
-                self.words[word] = ids
+            if plain(word) and "<|" not in word:
+                self.words[word] = b"".join(
+                    [known.get(p) or self._piece(p) for p in pieces(word.lower())]
+                )
             else:
                 other.append(word)
         if other:
-            found = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-            self.words.update((w, tuple(e.ids)) for w, e in zip(other, found))
+            self.words.update(zip(other, self._whole(other)))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(t.id for t in self.model.tokenize(piece))
+    def _piece(self, piece: str) -> bytes:
+        octets = piece if piece.isascii() else self.octets.pre_tokenize_str(piece)[0][0]
+        ids = array("I", [t.id for t in self.model.tokenize(octets)]).tobytes()
         self.pieces[piece] = ids
         return ids
 
@@ -245,16 +250,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer_path)
+        end = np.array([end_id], "<u4").tobytes()
         shard = TaskContext.get().partitionId()
         chunk = start = 0
         for batch in batches:
             for part in arrow_slices(batch, "text"):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 found = codec.ids(texts)
-                counts = [len(x) + 1 for x in found]
-                ids = np.fromiter(
-                    chain.from_iterable(chain(x, (end_id,)) for x in found), np.uint64, sum(counts)
-                )
+                counts = [len(x) // 4 + 1 for x in found]
+                ids = np.frombuffer(end.join([*found, b""]), "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([shard], pa.int32()),
