@@ -137,9 +137,12 @@ def with_statistics(docs: DataFrame, prefix: str = "_q_") -> DataFrame:
         counted = counted.withColumn(f"{prefix}h{2 * span}", ahead).drop(f"{prefix}h{span}")
     windows = F.col(f"{prefix}h{WINDOW_WORDS}")
     again = F.size(F.array_distinct(windows)) < F.size(windows)
-    return counted.withColumn(
-        f"{prefix}n_repeat_words",
-        F.when(again, _covered(windows)).otherwise(F.lit(0)).cast("long"),
+    # The row number's only use is that filters stay above it: pushed below, a filter on
+    # statistics would compute them anew for each time it names them.
+    return counted.select(
+        "*",
+        F.when(again, _covered(windows)).otherwise(F.lit(0)).cast("long").alias(f"{prefix}n_repeat_words"),
+        F.monotonically_increasing_id().alias(f"{prefix}row"),
     ).drop(f"{prefix}h{WINDOW_WORDS}")
 
 
@@ -151,7 +154,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, statistics) of every document."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = with_statistics(narrow)
-    return found.select("doc_id", *_named(found.columns, "_q_"))
+    return found.select("doc_id", *_named(found.columns, "_q_")).drop("row")
 
 
 def vote(rule: Rule) -> Column:
@@ -248,4 +251,4 @@ def keep_good(docs: DataFrame, min_posterior: float = 0.5) -> DataFrame:
     slot = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
     held = with_statistics(docs.select(slot, F.col("text")))
     stats = held.select("_doc", *_named(held.columns, "_q_"))
-    return judged(stats, model, min_posterior).filter("kept").select("_doc.*")
+    return judged(stats, model, min_posterior).filter("kept and row >= 0").select("_doc.*")
