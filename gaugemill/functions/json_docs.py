@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, functions as F
 
 from gaugemill.constants import (
-    HUMIDITY_KEY, PROBE_ARRAY_KEY, PROBE_KEY, READING_TYPE, TEMPERATURE_KEY,
+    HUMIDITY_KEY, PROBE_ARRAY_KEY, PROBE_KEY, TEMPERATURE_KEY,
 )
 
 # PostgreSQL-style row documents keep NULL fields and ISO timestamps with offset.
@@ -17,10 +17,10 @@ ROW_JSON_OPTIONS = {
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss",
 }
 
+# Values are kept as text: one that is no number must not spoil its neighbours.
 READINGS_DOC = (
-    f"{HUMIDITY_KEY} {READING_TYPE}, {TEMPERATURE_KEY} {READING_TYPE}, "
-    f"{PROBE_KEY} {READING_TYPE}, "
-    f"{PROBE_ARRAY_KEY} array<map<string,{READING_TYPE}>>"
+    f"{HUMIDITY_KEY} string, {TEMPERATURE_KEY} string, {PROBE_KEY} string, "
+    f"{PROBE_ARRAY_KEY} array<map<string,string>>"
 )
 
 
@@ -40,7 +40,7 @@ def texts_of(doc: Column, keys: Iterable[str]) -> Column:
 
 
 def readings_of(doc: Column) -> Column:
-    """Struct of all sensor readings, with one parse of the document."""
+    """Struct of all sensor readings as text, with one parse of the document."""
     return F.from_json(doc, READINGS_DOC)
 
 

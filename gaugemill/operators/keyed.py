@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from gaugemill.functions import clock, numeric
-from gaugemill.operators import gates, readings, sizing
+from gaugemill.operators import gates, readings
 
 KEYS = ("calendar_id", "time_id", "timezone")
 MINUTE_KEY = ("calendar_id", "time_id", "timezone", "sensor_name", "node_unique_id")
@@ -26,8 +26,8 @@ def star_view(keyed: DataFrame, dates: DataFrame, times: DataFrame) -> DataFrame
     )
     return (
         keyed.select("calendar_id", "time_id", "timezone", "sensor_values")
-        .join(sizing.fixed(dates), "calendar_id")
-        .join(sizing.fixed(times), "time_id")
+        .join(F.broadcast(dates), "calendar_id")
+        .join(F.broadcast(times), "time_id")
         .select(
             clock.at_second(F.col("datum"), clock.second_behind(F.col("time_id"))).alias("tstamp"),
             "datum", "formatteddate", "year", "month", "timeofday", "hour", "minute",
@@ -48,8 +48,8 @@ def _lookup_keys(incoming: DataFrame) -> DataFrame:
 
 def key_lookup(incoming: DataFrame, dates: DataFrame, times: DataFrame) -> DataFrame:
     """Surrogate keys of incoming rows; rows outside the dimensions are dropped."""
-    days = sizing.fixed(dates.select("calendar_id", F.col("datum").alias("_datum")))
-    seconds = sizing.fixed(times.select("time_id", F.col("timeofday").alias("_timeofday")))
+    days = F.broadcast(dates.select("calendar_id", F.col("datum").alias("_datum")))
+    seconds = F.broadcast(times.select("time_id", F.col("timeofday").alias("_timeofday")))
     return (
         _lookup_keys(incoming)
         .join(days, "_datum")
@@ -60,7 +60,7 @@ def key_lookup(incoming: DataFrame, dates: DataFrame, times: DataFrame) -> DataF
 
 def key_rejects(incoming: DataFrame, dates: DataFrame) -> DataFrame:
     """Incoming rows whose date is not in the date dimension (every second always is)."""
-    days = sizing.fixed(dates.select(F.col("datum").alias("_datum")))
+    days = F.broadcast(dates.select(F.col("datum").alias("_datum")))
     return _lookup_keys(incoming).join(days, "_datum", "left_anti").select(*incoming.columns)
 
 
@@ -89,10 +89,7 @@ def roll_up(detail: DataFrame) -> DataFrame:
 
 def eligible_rows(keyed: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is in a given id relation, each once."""
-    return sizing.attach(
-        keyed, ids.select("observation_id").distinct(), ["observation_id"], "left_semi",
-        spread_by=["observation_id"],
-    )
+    return keyed.join(ids.select("observation_id").distinct(), "observation_id", "left_semi")
 
 
 def probe_rows_of(keyed: DataFrame, ids: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gaugemill.session import materialize
+
 BLOCK_BITS = 20
 
 
@@ -31,6 +33,16 @@ def block_columns(order: Column, bits: Sequence[int] = (BLOCK_BITS, BLOCK_BITS))
     return list(reversed(levels))
 
 
+def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join in which a NULL key equals NULL; the keys appear once."""
+    renamed = right.select(
+        *[F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)],
+        *[c for c in right.columns if c not in keys],
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r{i}")) for i, k in enumerate(keys)])
+    return left.join(renamed, same).drop(*[f"_r{i}" for i in range(len(keys))])
+
+
 def block_offsets(
     counts: DataFrame,
     groups: Sequence[str],
@@ -66,7 +78,7 @@ def block_offsets(
             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(f"_before{depth}"),
             *([F.sum("_n").over(Window.partitionBy(*parent)).alias("total")] if depth == 0 else []),
         )
-        out = starts if out is None else starts.join(out, parent)
+        out = starts if out is None else _same_keys(starts, out, parent)
     total = reduce(lambda a, b: a + b, [F.col(f"_before{d}") for d in range(len(levels))])
     return out.select(*keys, total.cast("long").alias(offset), "total")
 
@@ -81,6 +93,8 @@ def number_rows(
 ) -> DataFrame:
     """1-based consecutive number of each row within its group.
 
+    A NULL group or block key is a key like any other; it comes first.
+
     The rows are read twice (counts, then numbers): pass a stored relation.
 
     ``levels`` are order-preserving block keys, coarse to fine: a row with a smaller
@@ -88,12 +102,13 @@ def number_rows(
     """
     keys = [*groups, *levels]
     blocked = df.withColumns(levels)
-    counts = blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    # Small and read once per level, so it is staged.
+    counts = materialize(blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "counts")
     offsets = block_offsets(counts, groups, list(levels), offset="_offset")
     local = Window.partitionBy(*keys).orderBy(*order_by)
     numbered = blocked.withColumn("_local", F.row_number().over(local))
     return (
-        numbered.join(offsets, keys)
+        _same_keys(numbered, offsets, keys)
         .withColumn(out, F.col("_offset") + F.col("_local"))
         .select(*df.columns, out, *([F.col("total").alias(total)] if total else []))
     )

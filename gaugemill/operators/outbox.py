@@ -11,7 +11,7 @@ from gaugemill.constants import (
     STATUS_NOT_FOUND, STATUS_UNAUTHORIZED,
 )
 from gaugemill.functions import json_docs
-from gaugemill.operators import gates, sizing
+from gaugemill.operators import gates
 
 FEED_COLUMNS = ("id", "observe_date", "sensor_name", "node_unique_id", "sensor_value")
 
@@ -101,7 +101,7 @@ def route(pending: DataFrame, results: DataFrame, stop_at_fatal: bool = False) -
     ends the run, and every row behind it stays pending.
     """
     replies = results.select("id", "status_code")
-    joined = sizing.attach(pending, replies, ["id"], "left", spread_by=["id"])
+    joined = pending.join(replies, "id", "left")
     routed = joined.select(
         "id",
         "observe_date",

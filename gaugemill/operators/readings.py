@@ -48,11 +48,11 @@ def wide_readings(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
     Rows without a reading are not filtered here: a filter on parsed values would be
     pushed below the projection and parse every document again.
     """
-    fields = ", ".join(f"{key} {READING_TYPE}" for key in WIDE_KEYS)
-    parsed = raw.select(*keep, F.from_json("sensor_values", fields).alias("_doc"))
-    values = [F.col(f"_doc.{key}").alias(key) for key in WIDE_KEYS]
-    present = F.coalesce(*[F.col(f"_doc.{key}") for key in WIDE_KEYS]).isNotNull()
-    return parsed.select(*keep, *values, present.alias("has_reading"))
+    texts = json_docs.texts_of(F.col("sensor_values"), WIDE_KEYS)
+    parsed = raw.select(*keep, texts.alias("_doc"))
+    values = [numeric.to_number(F.col(f"_doc.{key}")) for key in WIDE_KEYS]
+    named = [v.alias(key) for v, key in zip(values, WIDE_KEYS)]
+    return parsed.select(*keep, *named, F.coalesce(*values).isNotNull().alias("has_reading"))
 
 
 def _last_per_key(element: Column) -> Column:
@@ -73,12 +73,21 @@ def _last_per_key(element: Column) -> Column:
     return F.when(repeated, last).otherwise(entries)
 
 
+def _node_texts() -> Column:
+    """All (key, text) entries of all elements of the node array; NULL without one."""
+    none = F.array().cast("array<struct<key:string,value:string>>")
+    elements = F.col(f"_doc.{PROBE_ARRAY_KEY}")
+    return F.flatten(F.transform(elements, lambda m: F.coalesce(_last_per_key(m), none)))
+
+
 def _node_items() -> Column:
     """All (key, value) entries of all elements of the node array; empty without one."""
     none = F.array().cast(f"array<{_ITEM}>")
-    elements = F.col(f"_doc.{PROBE_ARRAY_KEY}")
-    per_element = F.transform(elements, lambda m: F.coalesce(_last_per_key(m), none))
-    return F.coalesce(F.flatten(per_element), none)
+    numbers = F.transform(
+        _node_texts(),
+        lambda e: F.struct(e["key"].alias("key"), numeric.to_number(e["value"]).alias("value")),
+    )
+    return F.coalesce(numbers, none)
 
 
 def _long(
@@ -97,7 +106,10 @@ def _long(
     parsed = raw.select(*keep, json_docs.readings_of(F.col("sensor_values")).alias("_doc"))
     items = F.array(
         *[
-            F.struct(F.lit(None).cast("string").alias("key"), F.col(f"_doc.{key}").alias("value"))
+            F.struct(
+                F.lit(None).cast("string").alias("key"),
+                numeric.to_number(F.col(f"_doc.{key}")).alias("value"),
+            )
             for key in scalars
         ]
     )
@@ -177,3 +189,39 @@ def unreadable(raw: DataFrame) -> DataFrame:
     return parsed.select("id", F.inline(entries)).filter(
         F.col("text").isNotNull() & numeric.to_number(F.col("text")).isNull()
     )
+
+
+def unreadable_nodes(raw: DataFrame) -> DataFrame:
+    """Node values that are present but no number in range: (id, node_unique_id, text).
+
+    A member that is no array of objects is listed whole, without a node.
+    """
+    doc = F.col("sensor_values")
+    parsed = raw.select(
+        "id",
+        json_docs.readings_of(doc).alias("_doc"),
+        json_docs.text_of(doc, PROBE_ARRAY_KEY).alias("_member"),
+    )
+    entries = F.transform(
+        _node_texts(),
+        lambda e: F.struct(e["key"].alias("node_unique_id"), e["value"].alias("text")),
+    )
+    whole = F.array(
+        F.struct(F.lit(None).cast("string").alias("node_unique_id"), F.col("_member").alias("text"))
+    )
+    listed = F.when(F.col(f"_doc.{PROBE_ARRAY_KEY}").isNotNull(), entries).when(
+        F.col("_member").isNotNull(), whole
+    )
+    rows = parsed.select("id", listed.alias("_listed")).select("id", F.inline_outer("_listed"))
+    return rows.filter(F.col("text").isNotNull() & numeric.to_number(F.col("text")).isNull())
+
+
+def quarantined(raw: DataFrame) -> DataFrame:
+    """Everything of the documents that is no reading: (id, sensor_name, node_unique_id, text)."""
+    scalars = unreadable(raw).select(
+        "id", "sensor_name", F.lit(None).cast("string").alias("node_unique_id"), "text"
+    )
+    nodes = unreadable_nodes(raw).select(
+        "id", F.lit(PROBE_KEY).alias("sensor_name"), "node_unique_id", "text"
+    )
+    return scalars.unionByName(nodes)

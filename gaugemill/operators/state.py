@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugemill.constants import RETENTION_HOURS, STORED_TYPE
 from gaugemill.functions import calendar, clock, text
-from gaugemill.operators import gates, keyed as keyed_ops, rollup, sizing
+from gaugemill.operators import gates, keyed as keyed_ops, rollup
 from gaugemill.operators.numbering import block_offsets, number_rows
 
 RECEIPT_KEYS = ("end_15min", "sensor_name", "node_unique_id")
@@ -43,7 +43,7 @@ def observation_ids(observations: DataFrame, start: int = 0) -> DataFrame:
     starts = offsets.join(counts.select("station", "_first"), "station").select(
         "station", "_offset", "_first"
     )
-    numbered = sizing.attach(observations, starts, ["station"], "inner", spread_by=["batch_no"])
+    numbered = observations.join(starts, "station")
     number = F.col("_offset") + F.col("batch_no") - F.col("_first") + F.lit(start + 1)
     return numbered.select(number.alias("id"), *observations.columns)
 
@@ -70,7 +70,7 @@ def mark_imported(raw: DataFrame, minutes: DataFrame) -> DataFrame:
         F.col("observe_date").cast(ts_type).alias("_minute"), F.lit(True).alias("_loaded")
     ).distinct()
     minute = clock.minute_of(F.col("observe_date")).cast(ts_type)
-    return _flag(raw.withColumn("_minute", minute), keys, ["_minute"], ["id"], raw.columns)
+    return _flag(raw.withColumn("_minute", minute), keys, ["_minute"], raw.columns)
 
 
 def mark_imported_keyed(keyed: DataFrame, minute_fact: DataFrame) -> DataFrame:
@@ -80,13 +80,12 @@ def mark_imported_keyed(keyed: DataFrame, minute_fact: DataFrame) -> DataFrame:
         "calendar_id", F.col("time_id").alias("_minute"), F.lit(True).alias("_loaded")
     )
     staged = keyed.withColumn("_minute", keyed_ops.minute_key())
-    return _flag(staged, keys, ["calendar_id", "_minute"], ["observation_id"], keyed.columns)
+    return _flag(staged, keys, ["calendar_id", "_minute"], keyed.columns)
 
 
-def _flag(
-    rows: DataFrame, keys: DataFrame, on: Sequence[str], row_id: Sequence[str], columns: list[str]
-) -> DataFrame:
-    joined = sizing.attach(rows, keys, on, "left", spread_by=row_id)
+def _flag(rows: DataFrame, keys: DataFrame, on: Sequence[str], columns: list[str]) -> DataFrame:
+    """Adaptive execution broadcasts the keys by their measured bytes, or splits a hot one."""
+    joined = rows.join(keys, list(on), "left")
     flag = F.col("imported") | F.coalesce(F.col("_loaded"), F.lit(False))
     return joined.withColumn("imported", flag).select(*columns)
 
@@ -179,14 +178,12 @@ def upsert(
     nullable = [k for k in keys if old.schema[k].dataType.simpleString() == "string"]
     if not null_safe:
         replaced = new.select(*keys).distinct()
-        kept = sizing.attach(old, replaced, keys, "left_anti", spread_by=old.columns)
+        kept = old.join(replaced, list(keys), "left_anti")
         return kept.unionByName(new)
     plain = [k for k in keys if k not in nullable]
     marks = {f"_k_{k}": F.coalesce(F.concat(F.lit("="), F.col(k)), F.lit("")) for k in nullable}
     replaced = new.withColumns(marks).select(*plain, *marks).distinct()
-    kept = sizing.attach(
-        old.withColumns(marks), replaced, [*plain, *marks], "left_anti", spread_by=old.columns
-    )
+    kept = old.withColumns(marks).join(replaced, [*plain, *marks], "left_anti")
     return kept.select(*old.columns).unionByName(new)
 
 
@@ -202,7 +199,7 @@ def expired_rows(raw: DataFrame, as_of: datetime, hours: int = RETENTION_HOURS)
 def apply_acks(rollup_rows: DataFrame, acks: DataFrame) -> DataFrame:
     """Flag acknowledged averages as delivered."""
     acked = acks.select("id", F.lit(True).alias("_loaded")).distinct()
-    return _flag(rollup_rows, acked, ["id"], ["id"], rollup_rows.columns)
+    return _flag(rollup_rows, acked, ["id"], rollup_rows.columns)
 
 
 def as_receipts(rows: DataFrame) -> DataFrame:

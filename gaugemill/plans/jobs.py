@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gaugemill import schemas
 from gaugemill.constants import LINES_PER_BATCH, RETENTION_HOURS
 from gaugemill.functions import clock
-from gaugemill.operators import batching, gates, sizing, state
+from gaugemill.operators import batching, gates, state
 from gaugemill.session import materialize
 from gaugemill.sources import observations as store
 
@@ -58,7 +58,7 @@ def mark(spark: SparkSession, raw_path: str, as_of: datetime) -> None:
     raw = store.scan_raw(spark, raw_path)
     pending = store.scan_raw(spark, raw_path, before=as_of)
     days = state.touched_days(pending, as_of)
-    affected = raw.join(sizing.fixed(days), store.DAY, "left_semi")  # one row per calendar day
+    affected = raw.join(F.broadcast(days), store.DAY, "left_semi")  # one row per calendar day
     flagged = state.flag_closed(affected, as_of).select(*schemas.OBSERVATION_RAW.fieldNames())
     store.overwrite_days(materialize(flagged, "flagged"), raw_path)
 
@@ -67,11 +67,11 @@ def acknowledge(spark: SparkSession, rollup_path: str, acked: DataFrame) -> None
     """Flag delivered averages, rewriting only loads that hold acknowledged rows."""
     rollup = store.read_rollup(spark, rollup_path)
     touched = (
-        sizing.attach(rollup.select("id", *store.LOAD_KEYS), acked.select("id").distinct(),
-                            ["id"], "left_semi", spread_by=["id"])
+        rollup.select("id", *store.LOAD_KEYS)
+        .join(acked.select("id").distinct(), "id", "left_semi")
         .select(*store.LOAD_KEYS).distinct()
     )
-    affected = sizing.attach(rollup, touched, store.LOAD_KEYS, "left_semi", spread_by=["id"])
+    affected = rollup.join(touched, store.LOAD_KEYS, "left_semi")
     store.overwrite_loads(materialize(state.apply_acks(affected, acked), "acked"), rollup_path)
 
 

@@ -673,6 +673,18 @@ def oracle_sql() -> dict[str, str]:
     sql["dq_unreadable_values"] = with_("parsed") + """SELECT line_no AS id,
         'dht11_t' AS sensor_name, raw_value AS text FROM parsed WHERE reject_reason = 'not_numeric'"""
 
+    sql["dq_unreadable_nodes"] = """SELECT event_id AS id, unnest(['B', 'H', 'O']) AS node_unique_id,
+            unnest(['bad', '1.0E15', '{"q":1}']) AS text FROM events WHERE event_type = 'click'
+        UNION ALL SELECT event_id, NULL, '{"N9":3}' FROM events
+        WHERE event_type NOT IN ('click', 'signup', 'purchase')"""
+    sql["minute_avg_nodes_spoiled"] = sql["minute_avg_nodes"]
+    sql["scan_line_files"] = with_("lines") + """SELECT station,
+        row_number() OVER (PARTITION BY station ORDER BY line_no) AS line_no, line
+        FROM lines WHERE line <> ''"""
+    sql["null_key_numbers"] = """SELECT event_id, kind, part, row_number() OVER (
+            PARTITION BY kind ORDER BY part NULLS FIRST, event_id) AS row_no
+        FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS kind,
+            CASE WHEN user_id % 5 <> 0 THEN user_id % 5 END AS part FROM events)"""
     # streams
     sql["stream_minute_avg"] = with_("readings", "models", "watermark") + f"""SELECT * FROM (
         SELECT date_trunc('minute', observe_date) AS observe_date, m.id AS node_model_id,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from gaugemill.functions import calendar, clock, json_docs, numeric, text
 from gaugemill.operators import (
     batching, gates, keyed as keyed_ops, outbox, parsing, quality, readings, rollup,
-    sizing, state, windows,
+    state, windows,
 )
 from gaugemill.operators.numbering import block_columns, number_rows
 from gaugemill.session import configure, materialize, scratch_path
@@ -105,6 +105,18 @@ def _(spark, d):
     return lines.scan_lines(testbed.lines(spark, d))
 
 
+@query("scan_line_files")
+def _(spark, d):
+    """Lines of text files, two per station, the earlier lines in the file written first."""
+    root = scratch_path(spark, "captures")
+    table = lines.scan_lines(testbed.lines(spark, d)).filter("line <> ''")
+    half = table.agg(F.percentile("line_no", F.lit(0.5))).first()[0]
+    for part in (F.col("line_no") <= half, F.col("line_no") > half):
+        ordered = table.filter(part).repartition("station").sortWithinPartitions("station", "line_no")
+        ordered.select("station", "line").write.mode("append").partitionBy("station").text(root)
+    return lines.read_line_files(spark, root).select("station", "line_no", "line")
+
+
 @query("scan_raw_observations")
 def _(spark, d):
     return testbed.raw(spark, d).select("id", "observe_date", "sensor_values")
@@ -153,7 +165,7 @@ def _(spark, d):
         .groupBy(F.col("ts").cast("date").alias("datum"))
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
-    return days.join(sizing.fixed(dimensions.calendar_dimension(spark)), "datum")
+    return days.join(F.broadcast(dimensions.calendar_dimension(spark)), "datum")
 
 
 @query("time_dim")
@@ -164,7 +176,7 @@ def _(spark, d):
         .groupBy(clock.time_id_of(clock.second_of_day(F.col("ts"))).alias("time_id"))
         .agg(F.count(F.lit(1)).alias("n_events"))
     )
-    return seconds.join(sizing.fixed(dimensions.time_dimension(spark)), "time_id")
+    return seconds.join(F.broadcast(dimensions.time_dimension(spark)), "time_id")
 
 
 def _catalogue_counts(spark, d):
@@ -470,6 +482,13 @@ def minute_avg_nodes(spark, d):
     return _shown(rollup.minute_avg_nodes(testbed.raw(spark, d), _models(spark)))
 
 
+@query("minute_avg_nodes_spoiled")
+def _(spark, d):
+    """Good readings stay, whatever stands next to them."""
+    spoiled = testbed.spoiled_from(testbed.table(spark, d, "events"))
+    return _shown(rollup.minute_avg_nodes(spoiled, _models(spark)))
+
+
 @query("minute_avg_scalar")
 def _(spark, d):
     return _shown(rollup.minute_avg_scalar(testbed.raw(spark, d), _models(spark)))
@@ -534,6 +553,17 @@ def _(spark, d):
 
 # ---- numbering ----------------------------------------------------------------------------
 
+@query("null_key_numbers")
+def _(spark, d):
+    """Numbers within groups and blocks that can be NULL; NULL is a key like any other."""
+    events = testbed.table(spark, d, "events").select(
+        "event_id",
+        F.when(F.col("event_type") != "error", F.col("event_type")).alias("kind"),
+        F.when(F.col("user_id") % 5 != 0, F.col("user_id") % 5).alias("part"),
+    )
+    return number_rows(events, ["kind"], {"_part": F.col("part")}, ["event_id"])
+
+
 @query("row_number_ids")
 def _(spark, d):
     """Consecutive ids over all orders in date order."""
@@ -846,6 +876,12 @@ def _(spark, d):
     return readings.unreadable(docs)
 
 
+@query("dq_unreadable_nodes")
+def _(spark, d):
+    """Node values that are no reading, next to good ones, and members that are no array."""
+    return readings.unreadable_nodes(testbed.spoiled_from(testbed.table(spark, d, "events")))
+
+
 # ---- streams ---------------------------------------------------------------------------------------------------
 
 def _stream_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

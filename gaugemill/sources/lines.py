@@ -5,41 +5,63 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugemill.operators import parsing
+from gaugemill.operators.numbering import number_rows
 
 STATION_IN_PATH = r"station=([^/]+)/"
-# A file is split at multiples of the scan's split size, which must be at least this.
-MIN_SPLIT_BITS = 20
+# Position of a line: its file in order of arrival, the byte at which its part of the
+# file starts, and its row in the task that reads that part.
+POSITION = ("file_order", "part_start", "part_row")
 
 
 def _with_position(text: DataFrame) -> DataFrame:
-    """Station from the folder name, and a number that follows the file order.
+    """Station from the folder name, arrival, line, and the line's position.
 
-    The high bits are the offset of the file split in MiB, the low bits the row
-    within its scan task.  Numbers have gaps but keep the order of each file, and a
-    repeated task gives the same numbers.
+    Files come in order of their modification time, then path.  Rows of one part of a
+    file are read by one task in file order, so their numbers ascend, with gaps; a
+    repeated task gives the same order.
     """
-    split = F.shiftright(F.col("_metadata.file_block_start"), MIN_SPLIT_BITS)
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    modified = F.col("_metadata.file_modification_time")
+    file_order = F.concat(
+        F.lpad(F.unix_micros(modified).cast("string"), 20, "0"), F.lit("|"), F.col("_metadata.file_path")
+    )
     return text.select(
         F.regexp_extract(F.col("_metadata.file_path"), STATION_IN_PATH, 1).alias("station"),
-        (F.shiftleft(split, 33) + row).alias("line_no"),
-        F.col("_metadata.file_modification_time").alias("arrived_at"),
+        modified.alias("arrived_at"),
         F.col("value").alias("line"),
+        file_order.alias("file_order"),
+        F.col("_metadata.file_block_start").alias("part_start"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("part_row"),
     )
 
 
+def position_levels() -> dict:
+    """Block keys of a line's position, coarse to fine."""
+    return {"_file": F.col("file_order"), "_part": F.col("part_start")}
+
+
 def read_line_files(spark: SparkSession, path: str) -> DataFrame:
-    """Capture files ``<path>/station=<name>/<file>``, one file per station."""
+    """Capture files ``<path>/station=<name>/<file>``, any number per station.
+
+    ``line_no`` counts a station's non-blank lines over all its files, from 1.
+    """
     text = spark.read.option("recursiveFileLookup", "true").text(path)
-    return parsing.drop_blank(_with_position(text))
+    numbered = number_rows(
+        parsing.drop_blank(_with_position(text)), ["station"], position_levels(), ["part_row"],
+        out="line_no",
+    )
+    return numbered.select("station", F.col("line_no").cast("long"), "arrived_at", "line")
 
 
 def stream_line_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """The same as a stream; each micro-batch holds the newly arrived files."""
+    """The same as a stream; each micro-batch holds the newly arrived files.
+
+    Lines carry their position instead of a number: ``CountWindow`` orders them by it.
+    """
     reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parsing.drop_blank(_with_position(reader.text(path)))
+    placed = parsing.drop_blank(_with_position(reader.text(path)))
+    return placed.select("station", F.col("part_row").alias("line_no"), "arrived_at", "line", *POSITION)
 
 
 def scan_lines(lines: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from gaugemill.functions import clock
 DAY = "obs_day"
 LOAD = "load_at"
 LOAD_KEYS = [DAY, LOAD]
+ORDER = ["observe_date"]
 
 
 def with_day(df: DataFrame, ts: str = "observe_date") -> DataFrame:
@@ -49,9 +50,10 @@ def _by_folder(df: DataFrame, *folders: str) -> DataFrame:
     """Rows clustered by target folder, in evenly sized tasks.
 
     A task then opens few files, and a folder that receives most of the rows is
-    split over several tasks by adaptive execution.
+    split over several tasks by adaptive execution.  Rows are sorted by time within a
+    task, so the statistics of row groups prune within a day.
     """
-    return df.hint("rebalance", *folders)
+    return df.hint("rebalance", *folders).sortWithinPartitions(*folders, *ORDER)
 
 
 def append_by_day(df: DataFrame, path: str, ts: str = "observe_date") -> None:

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gaugemill.constants import PROBE_ARRAY_KEY, PROBE_KEY
 from gaugemill.functions import calendar, clock
 from gaugemill.operators import readings
 
@@ -87,6 +88,26 @@ def raw_from(events: DataFrame) -> DataFrame:
     )
 
 
+def spoiled_from(events: DataFrame) -> DataFrame:
+    """Raw observations whose node arrays also hold values that are no readings.
+
+    Documents with one probe get a member that is no array at all.
+    """
+    opening = f'"{PROBE_ARRAY_KEY}": ['
+    spoiled = opening + '{"B": "bad"},{"H": 1e15},{"O": {"q": 1}},'
+    whole = F.concat(
+        F.expr("substring(sensor_values, 1, length(sensor_values) - 1)"),
+        F.lit(f', "{PROBE_ARRAY_KEY}": {{"N9": 3}}}}'),
+    )
+    return raw_from(events).withColumn(
+        "sensor_values",
+        F.when(F.col("sensor_values").contains(opening),
+               F.replace("sensor_values", F.lit(opening), F.lit(spoiled)))
+        .when(F.col("sensor_values").startswith(f'{{"{PROBE_KEY}"'), whole)
+        .otherwise(F.col("sensor_values")),
+    )
+
+
 def keyed_raw_from(events: DataFrame) -> DataFrame:
     """Raw observations under date and second keys, with every signup replayed.
 

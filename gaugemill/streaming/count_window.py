@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugemill import schemas
-from gaugemill.operators import batching, parsing, sizing
+from gaugemill.operators import batching, parsing
 from gaugemill.operators.numbering import number_rows
 from gaugemill.session import materialize
+from gaugemill.sources.lines import position_levels
 
 OBSERVATIONS = "station string, batch_no long, observe_date timestamp, sensor_values string"
 COUNTERS = "station string, next_batch long"
+WAITING = "station string, line_no long, arrived_at timestamp, line string, seq long"
 
 
 class CountWindow:
@@ -32,14 +33,18 @@ class CountWindow:
 
     def __call__(self, lines: DataFrame, batch_id: int) -> None:
         waiting, counters = self._state_before(batch_id)
-        fresh = parsing.drop_blank(lines).select(*schemas.LINES.fieldNames())
-        # Waiting lines arrived earlier, whatever their numbers.
+        fresh = parsing.drop_blank(lines)
+        # Waiting lines arrived earlier, in the order of their sequence, whatever their
+        # numbers: those start anew in every file and delivery.
         both = waiting.withColumn("phase", F.lit(0)).unionByName(
-            fresh.withColumn("phase", F.lit(1))
+            fresh.withColumn("phase", F.lit(1)), allowMissingColumns=True
         )
+        placed = position_levels() if "file_order" in fresh.columns else {}
         numbered = materialize(
             number_rows(
-                both, ["station"], {"_phase": F.col("phase"), **batching.line_levels()},
+                both, ["station"],
+                {"_phase": F.col("phase"), "_seq": F.coalesce("seq", F.lit(0)), **placed,
+                 **batching.line_levels()},
                 ["line_no"], out="row_no", total="station_lines",
             ),
             "numbered",
@@ -49,11 +54,9 @@ class CountWindow:
             numbered.withColumn("seq", F.col("row_no")), self.size
         )
         observations = batching.assemble(
-            full.withColumn("line_no", F.col("seq")).drop("phase", "seq")
+            full.select("station", F.col("seq").alias("line_no"), "arrived_at", "line", "batch_no")
         )
-        shifted = sizing.attach(
-            observations, counters, ["station"], "left", spread_by=["batch_no"]
-        ).select(
+        shifted = observations.join(counters, "station", "left").select(
             "station",
             (F.col("batch_no") + F.coalesce("next_batch", F.lit(0))).alias("batch_no"),
             "observe_date",
@@ -65,12 +68,12 @@ class CountWindow:
     def _state_before(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
         if batch_id == 0:
             return (
-                self.spark.createDataFrame([], schemas.LINES),
+                self.spark.createDataFrame([], WAITING),
                 self.spark.createDataFrame([], COUNTERS),
             )
         version = f"{self.state}/version={batch_id - 1}"
         return (
-            self.spark.read.schema(schemas.LINES).parquet(f"{version}/waiting"),
+            self.spark.read.schema(WAITING).parquet(f"{version}/waiting"),
             self.spark.read.schema(COUNTERS).parquet(f"{version}/counters"),
         )
 
@@ -78,9 +81,9 @@ class CountWindow:
         self, batch_id: int, rest: DataFrame, numbered: DataFrame, counters: DataFrame
     ) -> None:
         version = f"{self.state}/version={batch_id}"
-        rest.select(*schemas.LINES.fieldNames()).write.mode("overwrite").parquet(
-            f"{version}/waiting"
-        )
+        rest.select("station", "line_no", "arrived_at", "line", F.col("seq").cast("long")).write.mode(
+            "overwrite"
+        ).parquet(f"{version}/waiting")
         done = numbered.groupBy("station").agg(
             F.call_function("div", F.max("station_lines"), F.lit(self.size)).alias("next_batch")
         )

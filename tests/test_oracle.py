@@ -5,9 +5,10 @@ import compare
 from conftest import plan_of
 
 import __spark_entry__ as entry_point
+from gaugemill.plans import oracle, registry
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +18,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
