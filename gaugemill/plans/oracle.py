@@ -686,12 +686,12 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT event_id, CASE WHEN event_type <> 'error' THEN event_type END AS kind,
             CASE WHEN user_id % 5 <> 0 THEN user_id % 5 END AS part FROM events)"""
     # streams
-    sql["stream_minute_avg"] = with_("readings", "models", "watermark") + f"""SELECT * FROM (
+    sql["stream_minute_avg_in_order"] = with_("readings", "models", "watermark") + f"""SELECT * FROM (
         SELECT date_trunc('minute', observe_date) AS observe_date, m.id AS node_model_id,
             sensor_name, node_unique_id, {mean(6)} AS sensor_value
         FROM readings r JOIN models m ON m.column_name = r.sensor_name GROUP BY 1, 2, 3, 4)
         WHERE observe_date + INTERVAL 1 MINUTE <= (SELECT seen FROM watermark)"""
-    sql["stream_quarterhour_avg"] = with_("readings", "watermark") + f"""
+    sql["stream_quarterhour_avg_in_order"] = with_("readings", "watermark") + f"""
         , minute_means AS (SELECT date_trunc('minute', observe_date) AS moment, sensor_name,
             node_unique_id, {mean(2)} AS m FROM readings GROUP BY 1, 2, 3)
         , quarter_means AS (SELECT date_trunc('hour', moment)
@@ -701,6 +701,10 @@ def oracle_sql() -> dict[str, str]:
         SELECT start_15min, start_15min + INTERVAL 14 MINUTE AS end_15min, sensor_name,
             node_unique_id, sensor_value FROM quarter_means
         WHERE start_15min + INTERVAL 15 MINUTE <= (SELECT seen FROM watermark) - INTERVAL 2 MINUTE"""
+    # Over deliveries in any order: the same, by the exact time of the latest reading.
+    exact = ("date_trunc('millisecond', max(observe_date))", "max(observe_date)")
+    for name in ("stream_minute_avg", "stream_quarterhour_avg"):
+        sql[name] = sql[f"{name}_in_order"].replace(*exact)
     sql["stream_count_window"] = sql["assemble_observations"]
     sql["late_append"] = with_("partials") + f"""SELECT observe_date, sensor_name, node_unique_id,
         CAST(micro_batch AS BIGINT) AS micro_batch, {mean(2)} AS sensor_value

@@ -888,6 +888,33 @@ def _stream_of(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.readStream.schema(schema).parquet(path)
 
 
+def _in_deliveries(spark, deliveries: list[DataFrame], step, label: str) -> None:
+    """Deliveries to one folder, the stream resumed from its progress in between."""
+    inbox, mark = scratch_path(spark, f"{label}-inbox"), scratch_path(spark, f"{label}-progress")
+    for delivery in deliveries:
+        delivery.write.mode("append").parquet(inbox)
+        runner.drain(runner.per_batch(_stream_of(spark, inbox, delivery.schema), step, mark))
+
+
+def _shuffled_log(spark, d) -> DataFrame:
+    """Partials of three deliveries, each of which reaches over the whole time."""
+    raw = testbed.raw(spark, d)
+    log = scratch_path(spark, "partials")
+    thirds = [raw.filter(F.col("id") % 3 == n) for n in (2, 0, 1)]
+    _in_deliveries(spark, thirds, late.PartialLog(log), "shuffled")
+    return late.read_log(spark, log)
+
+
+@query("stream_minute_avg")
+def _(spark, d):
+    return _shown(tumbling.closed_minutes(_shuffled_log(spark, d), _models(spark)))
+
+
+@query("stream_quarterhour_avg")
+def _(spark, d):
+    return tumbling.closed_quarters(_shuffled_log(spark, d))
+
+
 def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     """The events as a stream; the pattern matches a single file as well as a folder."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
@@ -900,35 +927,27 @@ def _collected(spark: SparkSession, stream: DataFrame, label: str) -> DataFrame:
     return runner.read_sink(spark, path, stream)
 
 
-@query("stream_minute_avg")
+@query("stream_minute_avg_in_order")
 def _(spark, d):
+    """The stateful form, over one delivery."""
     raw = testbed.raw_from(_event_stream(spark, d))
     return _shown(_collected(spark, tumbling.minute_averages(raw, _models(spark)), "minute-avg"))
 
 
-@query("stream_quarterhour_avg")
+@query("stream_quarterhour_avg_in_order")
 def _(spark, d):
     raw = testbed.raw_from(_event_stream(spark, d))
     return _collected(spark, tumbling.quarter_averages(raw), "quarter-avg")
 
 
-def _in_two_deliveries(spark, first: DataFrame, second: DataFrame, step, label: str) -> None:
-    """Two deliveries to one folder, the stream resumed from its progress in between."""
-    inbox, mark = scratch_path(spark, f"{label}-inbox"), scratch_path(spark, f"{label}-progress")
-    for delivery in (first, second):
-        delivery.write.mode("append").parquet(inbox)
-        runner.drain(runner.per_batch(_stream_of(spark, inbox, delivery.schema), step, mark))
-
-
 @query("stream_count_window")
 def _(spark, d):
     arrived = testbed.lines(spark, d)
     out, memory = scratch_path(spark, "counted"), scratch_path(spark, "counted-state")
     noon = clock.instant(AS_OF, arrived.schema["arrived_at"].dataType)
-    _in_two_deliveries(
+    _in_deliveries(
         spark,
-        arrived.filter(F.col("arrived_at") < noon),
-        arrived.filter(F.col("arrived_at") >= noon),
+        [arrived.filter(F.col("arrived_at") < noon), arrived.filter(F.col("arrived_at") >= noon)],
         count_window.CountWindow(spark, BATCH_SIZE, out, memory),
         "counted",
     )
@@ -939,9 +958,7 @@ def _late_log(spark, d) -> DataFrame:
     raw = testbed.raw(spark, d)
     is_late = F.col("id") % 13 == 0
     log = scratch_path(spark, "partials")
-    _in_two_deliveries(
-        spark, raw.filter(~is_late), raw.filter(is_late), late.PartialLog(log), "late"
-    )
+    _in_deliveries(spark, [raw.filter(~is_late), raw.filter(is_late)], late.PartialLog(log), "late")
     return late.read_log(spark, log)
 
 

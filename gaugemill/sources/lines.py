@@ -10,7 +10,7 @@ from gaugemill.operators.numbering import number_rows
 STATION_IN_PATH = r"station=([^/]+)/"
 # Position of a line: its file in order of arrival, the byte at which its part of the
 # file starts, and its row in the task that reads that part.
-POSITION = ("file_order", "part_start", "part_row")
+POSITION = ("file_order", "part_start")
 
 
 def _with_position(text: DataFrame) -> DataFrame:
@@ -30,10 +30,15 @@ def _with_position(text: DataFrame) -> DataFrame:
         F.col("value").alias("line"),
         file_order.alias("file_order"),
         F.col("_metadata.file_block_start").alias("part_start"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("part_row"),
     )
 
 
+def with_part_row(placed: DataFrame) -> DataFrame:
+    """Add ``line_no``, the row within the task: ascending within a part of a file."""
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.withColumn("line_no", row)
+
+
 def position_levels() -> dict:
     """Block keys of a line's position, coarse to fine."""
     return {"_file": F.col("file_order"), "_part": F.col("part_start")}
@@ -45,11 +50,9 @@ def read_line_files(spark: SparkSession, path: str) -> DataFrame:
     ``line_no`` counts a station's non-blank lines over all its files, from 1.
     """
     text = spark.read.option("recursiveFileLookup", "true").text(path)
-    numbered = number_rows(
-        parsing.drop_blank(_with_position(text)), ["station"], position_levels(), ["part_row"],
-        out="line_no",
-    )
-    return numbered.select("station", F.col("line_no").cast("long"), "arrived_at", "line")
+    placed = with_part_row(parsing.drop_blank(_with_position(text)))
+    numbered = number_rows(placed, ["station"], position_levels(), ["line_no"], out="row_no")
+    return numbered.select("station", F.col("row_no").cast("long").alias("line_no"), "arrived_at", "line")
 
 
 def stream_line_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -61,7 +64,7 @@ def stream_line_files(spark: SparkSession, path: str, max_files: int | None = No
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     placed = parsing.drop_blank(_with_position(reader.text(path)))
-    return placed.select("station", F.col("part_row").alias("line_no"), "arrived_at", "line", *POSITION)
+    return placed.select("station", "arrived_at", "line", *POSITION)
 
 
 def scan_lines(lines: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gaugemill.operators import batching, parsing
 from gaugemill.operators.numbering import number_rows
 from gaugemill.session import materialize
-from gaugemill.sources.lines import position_levels
+from gaugemill.sources.lines import position_levels, with_part_row
 
 OBSERVATIONS = "station string, batch_no long, observe_date timestamp, sensor_values string"
 COUNTERS = "station string, next_batch long"
@@ -34,12 +34,15 @@ class CountWindow:
     def __call__(self, lines: DataFrame, batch_id: int) -> None:
         waiting, counters = self._state_before(batch_id)
         fresh = parsing.drop_blank(lines)
+        from_files = "file_order" in fresh.columns
+        if from_files:
+            fresh = with_part_row(fresh)
         # Waiting lines arrived earlier, in the order of their sequence, whatever their
         # numbers: those start anew in every file and delivery.
         both = waiting.withColumn("phase", F.lit(0)).unionByName(
             fresh.withColumn("phase", F.lit(1)), allowMissingColumns=True
         )
-        placed = position_levels() if "file_order" in fresh.columns else {}
+        placed = position_levels() if from_files else {}
         numbered = materialize(
             number_rows(
                 both, ["station"],

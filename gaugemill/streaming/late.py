@@ -15,18 +15,22 @@ from gaugemill.operators import readings
 KEYS = ["observe_date", "sensor_name", "node_unique_id"]
 PARTIALS = (
     "observe_date timestamp, sensor_name string, node_unique_id string, "
-    "total decimal(28,6), n long"
+    "total decimal(28,6), n long, seen timestamp"
 )
 
 
 def partials(raw: DataFrame) -> DataFrame:
-    """Sum and count per minute, sensor and node; groups without a value are left out."""
-    long = readings.all_readings(raw).filter(F.col("sensor_value").isNotNull())
+    """Sum and count per minute, sensor and node, and the latest reading's time.
+
+    A group without a value counts 0; it shows that the minute was observed.
+    """
+    long = readings.all_readings(raw)
     return long.groupBy(
         clock.minute_of(F.col("observe_date")).alias("observe_date"),
         "sensor_name",
         "node_unique_id",
-    ).agg(F.sum("sensor_value").alias("total"), F.count("sensor_value").alias("n"))
+    ).agg(F.sum("sensor_value").alias("total"), F.count("sensor_value").alias("n"),
+          F.max("observe_date").cast("timestamp").alias("seen"))
 
 
 class PartialLog:
@@ -43,20 +47,36 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PARTIALS + ", micro_batch long").parquet(path)
 
 
+def watermark(log: DataFrame) -> Column:
+    """Time of the latest reading of all deliveries so far."""
+    return log.agg(F.max("seen")).scalar()
+
+
+def merged(log: DataFrame) -> DataFrame:
+    """One partial per minute, sensor and node, whatever the order of deliveries."""
+    return log.groupBy(*KEYS).agg(
+        F.sum("total").cast("decimal(28,6)").alias("total"), F.sum("n").alias("n")
+    )
+
+
+def _valued(log: DataFrame) -> DataFrame:
+    return log.filter("n > 0")
+
+
 def _mean() -> Column:
     return F.round(numeric.mean_of(F.col("total"), F.col("n")), 2).alias("sensor_value")
 
 
 def append_policy(log: DataFrame) -> DataFrame:
     """Each partial is a row of its own: a late reading adds a second average."""
-    return log.select(*KEYS, "micro_batch", _mean())
+    return _valued(log).select(*KEYS, "micro_batch", _mean())
 
 
 def overwrite_policy(log: DataFrame) -> DataFrame:
     """The latest partial replaces earlier ones."""
     latest = F.max_by(F.struct("total", "n"), F.col("micro_batch")).alias("_last")
     return (
-        log.groupBy(*KEYS).agg(latest)
+        _valued(log).groupBy(*KEYS).agg(latest)
         .select(*KEYS, F.col("_last.total").alias("total"), F.col("_last.n").alias("n"))
         .select(*KEYS, _mean())
     )
@@ -64,8 +84,4 @@ def overwrite_policy(log: DataFrame) -> DataFrame:
 
 def exact_policy(log: DataFrame) -> DataFrame:
     """Partials are merged: the mean over all readings, late or not."""
-    return (
-        log.groupBy(*KEYS)
-        .agg(F.sum("total").cast("decimal(28,6)").alias("total"), F.sum("n").alias("n"))
-        .select(*KEYS, _mean())
-    )
+    return merged(_valued(log)).select(*KEYS, _mean())
