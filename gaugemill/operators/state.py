@@ -218,7 +218,14 @@ def as_receipts(rows: DataFrame) -> DataFrame:
 
 def record_receipts(existing: DataFrame, rows: DataFrame) -> DataFrame:
     """Delivery log with the new receipts, each once."""
-    return existing.select(*RECEIPT_KEYS).unionByName(as_receipts(rows)).distinct()
+    return existing.select(*RECEIPT_KEYS).unionByName(new_receipts(existing, rows))
+
+
+def new_receipts(existing: DataFrame, rows: DataFrame) -> DataFrame:
+    """Receipts that the log does not hold yet, to be appended; the log itself stays."""
+    fresh, log = as_receipts(rows).distinct().alias("fresh"), existing.alias("log")
+    same = [F.col(f"fresh.{k}").eqNullSafe(F.col(f"log.{k}")) for k in RECEIPT_KEYS]
+    return fresh.join(log, same[0] & same[1] & same[2], "left_anti")
 
 
 # ---- schema evolution -----------------------------------------------------------

@@ -1,21 +1,32 @@
 """Scheduled jobs over stored, day-partitioned tables.
 
 The jobs of one table set run one after another (one writer at a time).  Each can be
-repeated after a failure with the same arguments without changing the outcome.
+repeated after a failure with the same label (``delivery``, ``as_of``) without changing
+the outcome: what a job is about to do (its first id, the rows it takes) is recorded
+beside the table before it does it, and a repetition goes by the record.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from gaugemill import schemas
 from gaugemill.constants import LINES_PER_BATCH, RETENTION_HOURS
 from gaugemill.functions import clock
-from gaugemill.operators import batching, gates, state
+from gaugemill.operators import batching, gates, readings, state
 from gaugemill.session import materialize
-from gaugemill.sources import observations as store
+from gaugemill.sources import contracts, observations as store
+from gaugemill.streaming import runner
+
+DELIVERY_RECORD = "first long, n long"
+LOAD_RECORD = "id long, obs_day date, first long"
+REJECTED_AVERAGES = "observe_date timestamp, node_model_id int, node_unique_id string, reject_reason string"
+REJECTED_VALUES = "id long, sensor_name string, node_unique_id string, text string"
 
 
 def highest_id(table: DataFrame) -> int:
@@ -23,43 +34,109 @@ def highest_id(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
 
-def ingest(lines: DataFrame, raw_path: str, start: int = 0, firmware: str = "expanded") -> None:
-    """Lines of one complete delivery to appended raw observations; ids follow ``start``.
+def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """A stored table, or None where there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _next_start(spark: SparkSession, path: str) -> int:
+    table = _stored(spark, path, "id long")
+    return 0 if table is None else highest_id(table)
+
 
-    Lines of an unfinished batch are left out.  Where deliveries continue each other,
-    use the streaming count window, which keeps them for the next one.
+def ingest(
+    lines: DataFrame, raw_path: str, start: int | None = None, firmware: str = "expanded",
+    delivery: str | None = None,
+) -> None:
+    """Lines of one complete delivery to appended raw observations.
+
+    Ids follow ``start``, by default the highest id in use.  A delivery with a label is
+    appended once, however often it is ingested.  Lines of an unfinished batch are left
+    out; where deliveries continue each other, use the streaming count window.
     """
+    spark = lines.sparkSession
+    contracts.require(lines, schemas.LINES)
+    first = _next_start(spark, raw_path) if start is None else start
+    record = f"{raw_path}_jobs/ingest={delivery}" if delivery else None
+    known = _stored(spark, record, DELIVERY_RECORD) if record else None
+    if known is not None and (planned := known.first()):
+        first, n = planned
+        raw = _stored(spark, raw_path, "id long")
+        if not n or raw is not None and not raw.filter(F.col("id") == first + 1).isEmpty():
+            return
     observations = materialize(
         batching.assemble(batching.count_windows(lines, LINES_PER_BATCH[firmware])), "assembled"
     )
-    store.append_raw(state.observation_ids(observations, start), raw_path)
+    if record and known is None:
+        _one_row(spark, DELIVERY_RECORD, first, observations.count()).write.parquet(record)
+    store.append_raw(state.observation_ids(observations, first), raw_path)
+
+
+def _one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
+    return spark.createDataFrame([values], schema).coalesce(1)
 
 
 def load(
     spark: SparkSession, raw_path: str, rollup_path: str, models: DataFrame, as_of: datetime,
-    start: int = 0,
+    start: int | None = None,
 ) -> DataFrame:
     """Closed minutes to the rollup table, flags on the raw rows; returns the quarantine.
 
-    The averages are evaluated once and written under the load's own label, then
-    the touched days of the raw table are replaced.  Repeating the load with the
-    same ``as_of`` and ``start`` rewrites the same folders.
+    The ids of the rows that the load takes are recorded first.  Averages and flags go
+    by that record, so a row delivered meanwhile is neither averaged nor flagged, and a
+    repetition with the same ``as_of`` rewrites the same folders with the same ids.
+    What can't be stored is kept beside the rollup: averages and, with the text, single
+    values (``read_rejected_values``).
     """
-    raw = store.scan_raw(spark, raw_path, before=as_of)
-    averages = materialize(state.closed_averages(raw, models, as_of), "averages")
+    contracts.require(spark.read.parquet(raw_path).drop(store.DAY), schemas.OBSERVATION_RAW)
+    label = store.load_label(as_of)
+    taken = _taken(spark, raw_path, rollup_path, as_of, label, start)
+    first = taken.agg(F.coalesce(F.min("first"), F.lit(0))).first()[0]
+    raw = store.scan_raw(spark, raw_path, before=as_of).join(taken.select("id"), "id", "left_semi")
+    rows = materialize(state.reset_imported(raw), "taken")
+    averages = materialize(state.closed_averages(rows, models, as_of), "averages")
     good, bad = state.split_averages(averages)
-    store.write_load(state.rollup_ids(good, start), rollup_path, as_of)
-    mark(spark, raw_path, as_of)
-    return bad
+    bad.write.mode("overwrite").parquet(f"{rollup_path}_jobs/rejected_averages/load_at={label}")
+    readings.quarantined(rows).write.mode("overwrite").parquet(
+        f"{rollup_path}_jobs/rejected_values/load_at={label}"
+    )
+    store.write_load(state.rollup_ids(good, first), rollup_path, as_of)
+    mark(spark, raw_path, taken)
+    return spark.read.schema(REJECTED_AVERAGES).parquet(
+        f"{rollup_path}_jobs/rejected_averages/load_at={label}"
+    )
 
 
-def mark(spark: SparkSession, raw_path: str, as_of: datetime) -> None:
-    """Set the flags of loaded rows, rewriting only days that hold such rows."""
-    raw = store.scan_raw(spark, raw_path)
-    pending = store.scan_raw(spark, raw_path, before=as_of)
-    days = state.touched_days(pending, as_of)
-    affected = raw.join(F.broadcast(days), store.DAY, "left_semi")  # one row per calendar day
-    flagged = state.flag_closed(affected, as_of).select(*schemas.OBSERVATION_RAW.fieldNames())
+def _taken(spark, raw_path, rollup_path, as_of, label, start) -> DataFrame:
+    """The record of a load: its rows' ids and days, and the id its averages follow."""
+    path = f"{rollup_path}_jobs/taken/load_at={label}"
+    known = _stored(spark, path, LOAD_RECORD)
+    if known is not None:
+        return known
+    first = _next_start(spark, rollup_path) if start is None else start
+    pending = gates.closed_minutes(gates.not_imported(store.scan_raw(spark, raw_path, before=as_of)), as_of)
+    record = pending.select("id", F.col(store.DAY).alias("obs_day"), F.lit(first).cast("long").alias("first"))
+    record.write.mode("overwrite").parquet(path)
+    return spark.read.schema(LOAD_RECORD).parquet(path)
+
+
+def read_rejected_values(spark: SparkSession, rollup_path: str) -> DataFrame:
+    """Values of all loads that are no reading: (id, sensor_name, node_unique_id, text, load_at)."""
+    return spark.read.schema(REJECTED_VALUES + ", load_at string").parquet(
+        f"{rollup_path}_jobs/rejected_values"
+    )
+
+
+def mark(spark: SparkSession, raw_path: str, taken: DataFrame) -> None:
+    """Set the flags of the recorded rows, rewriting only days that hold such rows."""
+    days = taken.select(F.col("obs_day").alias(store.DAY)).distinct()  # one row per calendar day
+    affected = store.scan_raw(spark, raw_path).join(F.broadcast(days), store.DAY, "left_semi")
+    flagged = state.apply_acks(affected, taken).select(*schemas.OBSERVATION_RAW.fieldNames())
     store.overwrite_days(materialize(flagged, "flagged"), raw_path)
 
 
@@ -75,21 +152,40 @@ def acknowledge(spark: SparkSession, rollup_path: str, acked: DataFrame) -> None
     store.overwrite_loads(materialize(state.apply_acks(affected, acked), "acked"), rollup_path)
 
 
+def expire(
+    spark: SparkSession, raw_path: str, as_of: datetime, hours: int = RETENTION_HOURS
+) -> None:
+    """Remove expired rows in place.
+
+    Only days up to the retention bound are read.  Of these, days without expired rows
+    keep their files, days that keep some rows are rewritten, and the folders of days
+    that keep none are dropped.
+    """
+    bound = clock.naive_utc(clock.hours_before(as_of, hours))
+    old = store.scan_raw(spark, raw_path).filter(F.col(store.DAY) <= F.lit(bound.date()))
+    days = old.filter(gates.expired(old, as_of, hours)).select(store.DAY).distinct()
+    touched = materialize(old.join(F.broadcast(days), store.DAY, "left_semi"), "touched")
+    kept = state.retain(touched, as_of, hours)
+    left = {r[0] for r in kept.select(store.DAY).distinct().collect()}
+    gone = [r[0] for r in touched.select(store.DAY).distinct().collect() if r[0] not in left]
+    if left:
+        store.overwrite_days(kept.select(*schemas.OBSERVATION_RAW.fieldNames()), raw_path)
+    store.drop_days(spark, raw_path, gone)
+
+
 def clean(
     spark: SparkSession, raw_path: str, kept_path: str, as_of: datetime,
     hours: int = RETENTION_HOURS,
 ) -> None:
-    """Write the raw table without expired rows to a new place.
+    """Write the raw table without expired rows to a new place, replacing what is there.
 
     Days after the retention bound cannot hold expired rows; they are copied as
-    they are, only older days are filtered row by row.
+    they are, only older days are filtered row by row.  ``expire`` works in place.
     """
     raw = store.scan_raw(spark, raw_path)
     bound = clock.hours_before(as_of, hours).date()
     expired = (F.col(store.DAY) <= F.lit(bound)) & gates.expired(raw, as_of, hours)
-    store.append_by_day(
-        raw.filter(~expired).select(*schemas.OBSERVATION_RAW.fieldNames()), kept_path
-    )
+    store.overwrite_days(raw.filter(~expired).select(*schemas.OBSERVATION_RAW.fieldNames()), kept_path)
 
 
 def reprocess(
@@ -98,5 +194,18 @@ def reprocess(
 ) -> DataFrame:
     """Everything again from raw: flags cleared, rollup rebuilt from empty."""
     raw = store.scan_raw(spark, raw_path).select(*schemas.OBSERVATION_RAW.fieldNames())
-    store.append_by_day(state.reset_imported(raw), new_raw_path)
-    return load(spark, new_raw_path, new_rollup_path, models, as_of)
+    store.overwrite_days(state.reset_imported(raw), new_raw_path)
+    return load(spark, new_raw_path, new_rollup_path, models, as_of, start=0)
+
+
+def on_cadence(
+    spark: SparkSession, step: Callable[[datetime], None], checkpoint: str,
+    now: Callable[[], datetime],
+) -> StreamingQuery:
+    """Run ``step(now())`` on the service's cadence, for the rollup and the cleanup alike.
+
+    A clock stream triggers it; a run that takes longer than the interval delays the
+    next one, and two runs never overlap.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return runner.every_minute(runner.per_batch(ticks, lambda _, __: step(now()), checkpoint))

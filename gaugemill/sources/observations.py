@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -86,13 +86,16 @@ def rollup_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def load_label(as_of: datetime) -> str:
+    return clock.naive_utc(as_of).strftime("%Y%m%dT%H%M%S")
+
+
 def write_load(rows: DataFrame, path: str, as_of: datetime) -> None:
     """Append one load of minute averages in folders of its own.
 
     Repeating a load replaces its folders, so nothing is stored twice.
     """
-    label = clock.naive_utc(as_of).strftime("%Y%m%dT%H%M%S")
-    overwrite_loads(with_day(rollup_rows(rows)).withColumn(LOAD, F.lit(label)), path)
+    overwrite_loads(with_day(rollup_rows(rows)).withColumn(LOAD, F.lit(load_label(as_of))), path)
 
 
 def overwrite_loads(rows: DataFrame, path: str) -> None:
@@ -123,3 +126,11 @@ def overwrite_days(df: DataFrame, path: str, ts: str = "observe_date") -> None:
         .partitionBy(DAY)
         .parquet(path)
     )
+
+
+def drop_days(spark: SparkSession, path: str, days: list[date]) -> None:
+    """Remove whole day folders; a folder that is gone already is no error."""
+    jvm = spark.sparkContext._jvm
+    for day in days:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={day.isoformat()}")
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -57,7 +57,7 @@ def test_load_can_be_repeated(spark, tables):
 
     # a later load takes the rest, and nothing twice
     later = AS_OF + timedelta(days=1)
-    jobs.load(spark, raw_path, rollup_path, models, later, start=jobs.highest_id(rollup))
+    jobs.load(spark, raw_path, rollup_path, models, later)
     rollup = observations.read_rollup(spark, rollup_path)
     assert rollup.count() > len(want)
     assert rollup.groupBy("observe_date", "node_model_id", "node_unique_id").count().filter(
@@ -67,6 +67,105 @@ def test_load_can_be_repeated(spark, tables):
     assert observations.scan_raw(spark, raw_path).filter("not imported").isEmpty()
 
 
+def test_ingest_of_a_labelled_delivery_happens_once(spark, sf_dir):
+    raw_path = scratch_path(spark, "job-raw")
+    some = testbed.lines(spark, sf_dir)
+    for delivery in ("a", "a", "b", "a", "b"):
+        jobs.ingest(some, raw_path, delivery=delivery)
+    raw = observations.scan_raw(spark, raw_path)
+    count = raw.count()
+    assert count % 2 == 0 and raw.select("id").distinct().count() == count == jobs.highest_id(raw)
+
+
+def test_load_takes_one_snapshot(spark, tables, monkeypatch):
+    """A row delivered between averages and flags is left for the next load."""
+    raw_path, rollup_path = tables
+    models = dimensions.node_models(spark)
+    late = spark.createDataFrame(
+        [(10**6, datetime(2024, 1, 1, 2), '{"dht11_t": 1, "ds18b20_t_uq": [{"a": "bad"}]}')],
+        "id long, observe_date timestamp, sensor_values string",
+    )
+    write = observations.write_load
+
+    def write_then_deliver(*args):
+        write(*args)
+        observations.append_raw(late, raw_path)
+        monkeypatch.setattr(observations, "write_load", write)
+
+    monkeypatch.setattr(observations, "write_load", write_then_deliver)
+    jobs.load(spark, raw_path, rollup_path, models, AS_OF)
+    first = pairs(observations.read_rollup(spark, rollup_path), "id", "observe_date")
+    left = observations.scan_raw(spark, raw_path).filter("id = 1000000").first()
+    assert not left.imported
+    # the same load again changes nothing, the next one takes the row and numbers on
+    jobs.load(spark, raw_path, rollup_path, models, AS_OF)
+    assert pairs(observations.read_rollup(spark, rollup_path), "id", "observe_date") == first
+    jobs.load(spark, raw_path, rollup_path, models, AS_OF + timedelta(minutes=1))
+    rollup = observations.read_rollup(spark, rollup_path)
+    assert rollup.select("id").distinct().count() == rollup.count() > len(first)
+    assert observations.scan_raw(spark, raw_path).filter("id = 1000000").first().imported
+    values = jobs.read_rejected_values(spark, rollup_path).filter("id = 1000000").collect()
+    assert [(r.node_unique_id, r.text) for r in values] == [("a", "bad")]
+
+
+def test_load_that_dies_anywhere_can_be_repeated(spark, sf_dir, tables, monkeypatch):
+    raw_path, rollup_path = tables
+    models = dimensions.node_models(spark)
+    for name in ("write_load", "overwrite_days"):
+        with monkeypatch.context() as patch:
+            patch.setattr(observations, name, lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+            with pytest.raises(RuntimeError):
+                jobs.load(spark, raw_path, rollup_path, models, AS_OF)
+    jobs.load(spark, raw_path, rollup_path, models, AS_OF)
+    rollup = observations.read_rollup(spark, rollup_path)
+    ids = [r.id for r in rollup.select("id").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+
+
+def test_expire_touches_old_days_only(spark):
+    path = scratch_path(spark, "job-raw")
+    rows = [(d * 10 + i, datetime(2024, 1, d, 12), "{}", d != 2 or i > 0) for d in range(1, 6) for i in range(3)]
+    raw = spark.createDataFrame(rows, "id long, observe_date timestamp, sensor_values string, imported boolean")
+    observations.append_by_day(raw, path)
+
+    def files(df):
+        return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
+
+    before = files(observations.scan_raw(spark, path).filter("obs_day >= '2024-01-04'"))
+    for _ in range(2):
+        jobs.expire(spark, path, datetime(2024, 1, 4, 13), hours=24)
+        kept = observations.scan_raw(spark, path)
+        assert sorted(r.id for r in kept.collect()) == [20, 40, 41, 42, 50, 51, 52]
+        assert files(kept.filter("obs_day >= '2024-01-04'")) == before
+    assert {str(r[0]) for r in kept.select("obs_day").distinct().collect()} == {
+        "2024-01-02", "2024-01-04", "2024-01-05"}
+
+
+def test_stored_days_are_sorted(spark, sf_dir):
+    path = scratch_path(spark, "job-raw")
+    observations.append_raw(testbed.raw(spark, sf_dir), path)
+    rows = observations.scan_raw(spark, path).select(
+        F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"), "observe_date"
+    ).collect()
+    by_file = {}
+    for r in sorted(rows, key=lambda r: r.n):
+        by_file.setdefault(r.f, []).append(r.observe_date)
+    assert all(times == sorted(times) for times in by_file.values())
+
+
+def test_cadence_starts_the_job(spark, tmp_path):
+    import time
+
+    runs = []
+    query = jobs.on_cadence(spark, runs.append, str(tmp_path / "mark"), lambda: AS_OF)
+    for _ in range(200):
+        if runs:
+            break
+        time.sleep(0.1)
+    query.stop()
+    assert runs[0] == AS_OF
+
+
 def test_flags_by_row_equal_flags_by_join(spark, sf_dir):
     raw = testbed.raw(spark, sf_dir)
     models = dimensions.node_models(spark)
@@ -94,7 +193,8 @@ def test_clean_keeps_what_is_not_expired(spark, tables):
     jobs.load(spark, raw_path, rollup_path, dimensions.node_models(spark), AS_OF)
     raw = observations.scan_raw(spark, raw_path)
     kept_path = scratch_path(spark, "job-kept")
-    jobs.clean(spark, raw_path, kept_path, AS_OF, hours=2)
+    for _ in range(2):
+        jobs.clean(spark, raw_path, kept_path, AS_OF, hours=2)
     kept = observations.scan_raw(spark, kept_path)
     expired = state.expired_rows(raw, AS_OF, hours=2)
     assert expired.count() > 0
