@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
-from collections.abc import Iterator
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import gaugemill
 from gaugemill.session import materialize
 
-__all__ = ["arrow_slices", "joined", "materialize", "sha256_hex", "table", "white_words"]
+__all__ = [
+    "arrow_slices", "joined", "materialize", "sha256_hex", "shipped", "table", "white_words",
+]
 
 # Rows handed to a Python loop at once hold about this many bytes of text (or one
 # row, if that is longer), so that very long documents do not add up.
@@ -24,6 +31,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shipped(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Before ``function(spark, ...)`` runs, make this package importable for Python workers.
+
+    Workers that start elsewhere than in the repository get it as a zip file from the
+    driver, once for each session.
+    """
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args, **kwargs) -> DataFrame:
+        context = spark.sparkContext
+        if not getattr(context, "_gaugemill_shipped", False):
+            root = Path(gaugemill.__file__).parent
+            base = f"{tempfile.mkdtemp(prefix='gaugemill-')}/gaugemill"
+            context.addPyFile(shutil.make_archive(base, "zip", root.parent, root.name))
+            context._gaugemill_shipped = True
+        return function(spark, *args, **kwargs)
+
+    return run
+
+
 def arrow_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about SLICE_BYTES of ``column`` each, in order."""
     texts = batch.column(batch.schema.get_field_index(column))

@@ -1,7 +1,40 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
+
+The others rest on fitted models, block codes, HTML parsing, XXH64 or seeded draws; they
+are tested against plain versions instead (``tests/llm``).
+"""
 
 from __future__ import annotations
 
+WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+CONTAMINATION = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+items AS (SELECT item_id, {WORDS} AS words FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(words[i:i + k - 1], ' ') AS gram
+    FROM (SELECT *, least(10, len(words)) AS k FROM items WHERE len(words) > 0) x,
+        unnest(range(1, len(words) - k + 2)) AS t(i)),
+widths AS (SELECT DISTINCT k FROM item_windows),
+doc_windows AS (
+    SELECT doc_id, k, i, array_to_string(words[i:i + k - 1], ' ') AS gram
+    FROM (SELECT * FROM docs, widths) x, unnest(range(1, len(words) - k + 2)) AS t(i)),
+hits AS (SELECT doc_id, i, k, item_id FROM doc_windows JOIN item_windows USING (k, gram)),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT doc_id, i, k FROM hits) x, unnest(range(i, i + k)) AS t(p) GROUP BY doc_id),
+named AS (
+    SELECT doc_id, count(*) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+    coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_decontaminate": CONTAMINATION}

@@ -10,7 +10,7 @@ from gaugemill.llm import (
     decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
     simhash_tree, token_blocks, toxic_bags,
 )
-from gaugemill.llm.common import table
+from gaugemill.llm.common import shipped, table
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -70,7 +70,7 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
+OPERATORS = {
     "op1_secret_grammar": op1_secret_grammar,
     "op2_page_template": op2_page_template,
     "op3_token_blocks": op3_token_blocks,
@@ -82,3 +82,5 @@ QUERIES = {
     "op9_mixing_tree": op9_mixing_tree,
     "op10_license_index": op10_license_index,
 }
+
+QUERIES = {name: shipped(query) for name, query in OPERATORS.items()}

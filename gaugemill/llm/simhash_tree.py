@@ -41,19 +41,21 @@ LEAF_ROWS = 32
 
 def fingerprint(text: str | None, shingle_words: int = 3) -> int:
     """SimHash over word shingles, repeats included; 0 for a text without words."""
+    words = (text or "").encode().lower().split()
+    return majority(shingle_hashes(words, shingle_words)) if words else 0
+
+
+def shingle_hashes(words: list[bytes], shingle_words: int) -> np.ndarray:
+    """XXH64 of every shingle in order; of the whole sequence if that is shorter."""
     from xxhash import xxh64_intdigest
 
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
     line = b" ".join(words)
     lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    span = min(shingle_words, len(words))
-    firsts = starts[: len(words) - span + 1].tolist()
+    starts = np.concatenate([[0], np.cumsum(lengths)]) if words else np.array([0, 1])
+    span = min(shingle_words, max(1, len(words)))
+    firsts = starts[: max(1, len(words)) - span + 1].tolist()
     lasts = (starts[span:] - 1).tolist()
-    hashes = np.array([xxh64_intdigest(line[a:b], SEED) for a, b in zip(firsts, lasts)], np.uint64)
-    return majority(hashes)
+    return np.array([xxh64_intdigest(line[a:b], SEED) for a, b in zip(firsts, lasts)], np.uint64)
 
 
 def majority(hashes: np.ndarray) -> int:
