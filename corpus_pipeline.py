@@ -11,31 +11,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugemill.llm import decontaminate, mixing_tree, quality_vote, simhash_tree, token_blocks
-from gaugemill.llm.common import materialize, table
+from gaugemill.llm import copy_groups, decontaminate, mixing_tree, quality_vote, token_blocks
+from gaugemill.llm.common import materialize, shipped, table
 from gaugemill.llm.queries import tokenizer_path
 
 
+@shipped
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the label model keeps."""
     return quality_vote.keep_good(docs)
 
 
+@shipped
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id."""
-    return simhash_tree.first_of_each(docs)
+    """One document of each group of near duplicates, that with the smallest id.
 
+    Fingerprints two bits apart as in the SimHash operator, and five-word shingles alike
+    to 0.8, which that radius does not reach.
+    """
+    return copy_groups.first_of_each(docs)
 
+
+@shipped
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@shipped
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the sources' targets ask for."""
     return mixing_tree.mixed(docs)
 
 
+@shipped
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the written token files hold of each document."""
     return token_blocks.token_files(docs, tokenizer_path())
