@@ -22,6 +22,7 @@ from gaugemill.operators import batching, gates, readings, state
 from gaugemill.session import materialize
 from gaugemill.sources import contracts, observations as store
 from gaugemill.streaming import runner
+from gaugemill.streaming.count_window import CountWindow
 
 DELIVERY_RECORD = "first long, n long"
 LOAD_RECORD = "id long, obs_day date, first long"
@@ -61,6 +62,17 @@ def ingest(
     """
     spark = lines.sparkSession
     contracts.require(lines, schemas.LINES)
+    observations = materialize(
+        batching.assemble(batching.count_windows(lines, LINES_PER_BATCH[firmware])), "assembled"
+    )
+    append_once(observations, raw_path, delivery, start)
+
+
+def append_once(
+    observations: DataFrame, raw_path: str, delivery: str | None, start: int | None = None
+) -> None:
+    """Append stored observations (station, batch_no, ...) under new ids, once per label."""
+    spark = observations.sparkSession
     first = _next_start(spark, raw_path) if start is None else start
     record = f"{raw_path}_jobs/ingest={delivery}" if delivery else None
     known = _stored(spark, record, DELIVERY_RECORD) if record else None
@@ -69,14 +81,28 @@ def ingest(
         raw = _stored(spark, raw_path, "id long")
         if not n or raw is not None and not raw.filter(F.col("id") == first + 1).isEmpty():
             return
-    observations = materialize(
-        batching.assemble(batching.count_windows(lines, LINES_PER_BATCH[firmware])), "assembled"
-    )
     if record and known is None:
         _one_row(spark, DELIVERY_RECORD, first, observations.count()).write.parquet(record)
     store.append_raw(state.observation_ids(observations, first), raw_path)
 
 
+class StreamIngest:
+    """``foreachBatch`` step from a line stream to the raw table.
+
+    Count windows keep unfinished batches for the next micro-batch; full ones are
+    appended under dense ids, once per micro-batch, so a replay changes nothing.
+    """
+
+    def __init__(self, spark: SparkSession, raw_path: str, size: int, work: str, label: str):
+        self.window = CountWindow(spark, size, f"{work}/windows", f"{work}/state")
+        self.raw_path = raw_path
+        self.label = label
+
+    def __call__(self, lines: DataFrame, batch_id: int) -> None:
+        self.window(lines, batch_id)
+        append_once(self.window.observations(batch_id), self.raw_path, f"{self.label}-{batch_id}")
+
+
 def _one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
     return spark.createDataFrame([values], schema).coalesce(1)
 

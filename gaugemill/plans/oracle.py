@@ -6,6 +6,8 @@ decimals is a binary float in the checking engine.
 
 from __future__ import annotations
 
+from gaugemill.constants import SYNTHETIC_PAYLOAD
+
 AS_OF = "TIMESTAMP '2024-01-01 06:00:30'"
 OPEN_MINUTE = "TIMESTAMP '2024-01-01 06:00:00'"
 KEYED_AS_OF = "TIMESTAMP '2024-01-01 14:00:30'"
@@ -307,9 +309,6 @@ def feed_doc(extra: str = "") -> str:
         || {cents('//')} || '.' || lpad(CAST({cents('%')} AS VARCHAR), 2, '0') || '{extra}}}'"""
 
 
-_PAYLOAD = '{"dht11_h": 88.8, "dht11_t": 3.1, "ds18b20_t": 3.14}'
-
-
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
@@ -371,11 +370,11 @@ def oracle_sql() -> dict[str, str]:
             epoch_us(TIMESTAMP '2018-01-01') + (event_id + 1) * 10000000
             + CAST(trunc(({draw('event_id + 1', 'late')} * 3 - {draw('event_id + 1', 'early')} * 2)
                 * 10 / 2.0) AS BIGINT)) AS observe_date,
-            '{_PAYLOAD}' AS sensor_values FROM events"""
+            '{SYNTHETIC_PAYLOAD}' AS sensor_values FROM events"""
     sql["gen_observations_v1"] = f"""SELECT event_id + 1 AS observation_id,
             CAST({draw('event_id + 1', 'day')} * 365 // 1000000 + 1 AS INTEGER) AS calendar_id,
             CAST({draw('event_id + 1', 'second')} * 86398 // 1000000 + 1 AS INTEGER) AS time_id,
-            'America/Denver' AS timezone, '{_PAYLOAD}' AS sensor_values, false AS imported
+            'America/Denver' AS timezone, '{SYNTHETIC_PAYLOAD}' AS sensor_values, false AS imported
         FROM events"""
     sql["schema_contract"] = with_("raw") + " UNION ALL ".join(
         f"SELECT 'observation_raw' AS table_name, '{c}' AS column_name,"
@@ -701,6 +700,11 @@ def oracle_sql() -> dict[str, str]:
         SELECT start_15min, start_15min + INTERVAL 14 MINUTE AS end_15min, sensor_name,
             node_unique_id, sensor_value FROM quarter_means
         WHERE start_15min + INTERVAL 15 MINUTE <= (SELECT seen FROM watermark) - INTERVAL 2 MINUTE"""
+    sql["stream_ingest_raw"] = with_("assembled") + (
+        "SELECT observe_date, sensor_values, true AS dense FROM assembled"
+    )
+    sql["load_repeat"] = sql["append_minute_rollup"]
+    sql["expire_in_place"] = sql["retention_keep"]
     # Over deliveries in any order: the same, by the exact time of the latest reading.
     exact = ("date_trunc('millisecond', max(observe_date))", "max(observe_date)")
     for name in ("stream_minute_avg", "stream_quarterhour_avg"):

@@ -17,6 +17,7 @@ from gaugemill.operators import (
     state, windows,
 )
 from gaugemill.operators.numbering import block_columns, number_rows
+from gaugemill.plans import jobs
 from gaugemill.session import configure, materialize, scratch_path
 from gaugemill.sources import contracts, dimensions, generators, lines, observations, testbed
 from gaugemill.sources.testbed import AS_OF
@@ -763,6 +764,26 @@ def _(spark, d):
     return state.upsert(*_two_loads(spark, d), keyed_ops.MINUTE_KEY, null_safe=True)
 
 
+@query("load_repeat")
+def _(spark, d):
+    """The stored rollup after a load that was run twice."""
+    raw_path, rollup_path = scratch_path(spark, "load-raw"), scratch_path(spark, "load-rollup")
+    observations.append_by_day(testbed.raw(spark, d), raw_path)
+    for _ in range(2):
+        jobs.load(spark, raw_path, rollup_path, _models(spark), AS_OF)
+    return observations.read_rollup(spark, rollup_path).drop("load_at")
+
+
+@query("expire_in_place")
+def _(spark, d):
+    """The stored raw table after retention, applied twice."""
+    raw_path = scratch_path(spark, "expire-raw")
+    observations.append_by_day(testbed.raw(spark, d), raw_path)
+    for _ in range(2):
+        jobs.expire(spark, raw_path, AS_OF, hours=2)
+    return observations.scan_raw(spark, raw_path, columns=["id", "observe_date", "imported"])
+
+
 @query("retention_keep")
 def _(spark, d):
     return state.retain(testbed.raw(spark, d), AS_OF, hours=2).select("id", "observe_date", "imported")
@@ -954,6 +975,21 @@ def _(spark, d):
     return count_window.read_observations(spark, out)
 
 
+@query("stream_ingest_raw")
+def _(spark, d):
+    """Lines in two deliveries to rows of the raw table, under dense ids."""
+    arrived = testbed.lines(spark, d)
+    raw_path, work = scratch_path(spark, "streamed-raw"), scratch_path(spark, "streamed")
+    halves = [arrived.filter(F.col("arrived_at") < clock.instant(AS_OF)),
+              arrived.filter(F.col("arrived_at") >= clock.instant(AS_OF))]
+    _in_deliveries(
+        spark, halves, jobs.StreamIngest(spark, raw_path, BATCH_SIZE, work, "lines"), "streamed"
+    )
+    raw = observations.scan_raw(spark, raw_path)
+    dense = raw.agg(F.count_distinct("id") == F.max("id")).scalar()
+    return raw.select("observe_date", "sensor_values", dense.alias("dense"))
+
+
 def _late_log(spark, d) -> DataFrame:
     raw = testbed.raw(spark, d)
     is_late = F.col("id") % 13 == 0

@@ -68,6 +68,10 @@ class CountWindow:
         shifted.write.mode("overwrite").parquet(f"{self.out}/micro_batch={batch_id}")
         self._write_state(batch_id, rest, numbered, counters)
 
+    def observations(self, batch_id: int) -> DataFrame:
+        """What one micro-batch gave."""
+        return self.spark.read.schema(OBSERVATIONS).parquet(f"{self.out}/micro_batch={batch_id}")
+
     def _state_before(self, batch_id: int) -> tuple[DataFrame, DataFrame]:
         if batch_id == 0:
             return (
