@@ -21,7 +21,7 @@ __all__ = [
 
 # Rows handed to a Python loop at once hold about this many bytes of text (or one
 # row, if that is longer), so that very long documents do not add up.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # The white space that separates words: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"

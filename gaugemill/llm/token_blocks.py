@@ -44,7 +44,7 @@ WIDTHS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 
 MAGIC = b"GS8B"
 BLOCK_IDS = 256
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 
 FILE_SCHEMA = (
     "shard int, chunk int, local_start long, n_ids long, "
