@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugemill.llm import (
-    decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar,
+    copy_groups, decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar,
     shard_pack, simhash_tree, token_blocks, toxic_bags,
 )
 from gaugemill.llm.queries import tokenizer_path
@@ -145,6 +145,40 @@ def test_simhash(docs, none):
     assert simhash_tree.near_duplicates(none).count() == 0 and simhash_tree.first_of_each(none).count() == 0
 
 
+def test_copy_groups(spark, docs, none, monkeypatch):
+    kept = copy_groups.first_of_each(docs)
+    assert kept.columns == docs.columns
+    ids = sorted(r["doc_id"] for r in kept.filter("doc_id is not null").collect())
+    assert ids == [1, 4, 5, 7] and kept.filter("doc_id is null").count() == 2
+    assert copy_groups.first_of_each(none).count() == 0
+
+    rng = np.random.default_rng(3)
+    rows, groups = [], []
+    for group in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 200)]
+        for copy in range(10 if group else 90):
+            edited = list(words)
+            for at in rng.integers(0, 200, copy % 4):
+                edited[at] = f"e{rng.integers(0, 10**6)}"
+            rows.append((len(rows), " ".join(edited)))
+            groups.append(group)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    first = [groups.index(g) for g in groups]
+    for limit in (4096, 32):  # the second deals the largest group into parts
+        monkeypatch.setattr(copy_groups, "BUCKET_ROWS", limit)
+        monkeypatch.setattr(copy_groups, "LEADERS", 8)
+        found = {r["doc_id"]: r["component_id"] for r in copy_groups.copy_groups(df).collect()}
+        assert [found[i] for i in range(len(rows))] == first
+
+
+def test_linked_classes_follow_paths():
+    row = np.arange(128)
+    chain = np.stack([np.where(row < 20 * k, row + 1000, row) for k in range(5)]).astype("<u4")
+    alone = (row + 10**6).astype("<u4")[None]
+    label = copy_groups.linked_classes(np.concatenate([chain, alone, alone]))
+    assert len(set(label[:5])) == 1 and label[5] == label[6] != label[0]
+
+
 def test_shards(docs, none):
     found = shard_pack.placed(docs).collect()
     assert len(found) == len(ROWS)
