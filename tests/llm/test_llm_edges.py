@@ -179,6 +179,36 @@ def test_linked_classes_follow_paths():
     assert len(set(label[:5])) == 1 and label[5] == label[6] != label[0]
 
 
+def alike_by_force(texts):
+    """Smallest row reached over all pairs within two fingerprint bits or alike to 0.8."""
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    prints = [simhash_tree.fingerprint(t) for t in texts]
+    root = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            both = len(sets[a] & sets[b])
+            if root[a] != root[b] and (
+                5 * both >= 4 * (len(sets[a]) + len(sets[b]) - both) or (prints[a] ^ prints[b]).bit_count() <= 2
+            ):
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+    return root
+
+
+def test_copy_groups_by_force(spark):
+    rng, texts = np.random.default_rng(7), []
+    for pair in range(240):
+        words = [f"w{x}" for x in rng.integers(0, 10**7, 304)]
+        # 2 * cut of 600 + cut shingles differ: alike to (300 - cut) / (300 + cut), 0.70 to 0.85.
+        cut = 25 + pair % 28
+        texts += [" ".join(words), " ".join([*words[: 304 - cut], *[f"e{pair}x{i}" for i in range(cut)]])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in copy_groups.copy_groups(df).collect()}
+    first = alike_by_force(texts)
+    assert 240 < len(set(first)) < 480
+    assert [found[i] for i in range(len(texts))] == first
+
+
 def test_shards(docs, none):
     found = shard_pack.placed(docs).collect()
     assert len(found) == len(ROWS)
