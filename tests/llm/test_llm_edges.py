@@ -209,6 +209,23 @@ def test_copy_groups_by_force(spark):
     assert [found[i] for i in range(len(texts))] == first
 
 
+def test_copy_groups_of_a_hot_bucket(spark, monkeypatch):
+    # Copies alike to their original only, dealt into many parts with few shared nodes.
+    rng, texts = np.random.default_rng(5), []
+    words = [f"w{x}" for x in rng.integers(0, 10**7, 304)]
+    for copy in range(160):
+        edited = list(words)
+        for at in rng.choice(np.arange(4, 300, 5), 6 if copy else 0, replace=False):
+            edited[at] = f"e{copy}x{at}"
+        texts.append(" ".join(edited))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(copy_groups, "BUCKET_ROWS", 16)
+    monkeypatch.setattr(copy_groups, "LEADERS", 2)
+    first = alike_by_force(texts)
+    found = {r["doc_id"]: r["component_id"] for r in copy_groups.copy_groups(df).collect()}
+    assert set(first) == {0} and [found[i] for i in range(len(texts))] == first
+
+
 def test_shards(docs, none):
     found = shard_pack.placed(docs).collect()
     assert len(found) == len(ROWS)
