@@ -4,11 +4,13 @@
    vocabulary it holds.  Only texts that hold all words of some key phrase keep their
    words for the later steps: without them no phrase can be verified.
 2. The vocabulary is ordered by inverse document frequency, counted over all documents.
-3. A file's RARE_WORDS rarest licence words are looked up in the templates' postings.
-   Postings are intersected by relative position: an occurrence at word i of a word that
-   stands at t in a template votes for the template starting at i - t.
-4. Starts with at least MIN_VOTES votes are verified: the template's key phrase must
-   stand, word by word, where the start puts it.
+3. Of each template whose key words a file holds, the MIN_VOTES rarest words of the key
+   phrase are looked up in the file.  Postings are intersected by relative position: an
+   occurrence at word i of a word that stands at t in a template votes for the template
+   starting at i - t.
+4. Starts with MIN_VOTES votes are verified: the template's key phrase must stand, word by
+   word, where the start puts it.  Wherever it stands, all its words vote for that start,
+   so no key phrase is missed.
 
 Base labels come from their phrases alone and stay whatever the index says.  All of it
 is built-in column functions; the vocabulary and the templates are literals.
@@ -27,7 +29,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gaugemill.llm.common import materialize
 
-RARE_WORDS = 12
 MIN_VOTES = 2
 
 # Base phrases and the labels they give.
@@ -157,12 +158,26 @@ def _stands(words: Column, at: Column, phrase: tuple[str, ...]) -> Column:
     return same
 
 
-def _candidates(words: Column, rare: Column, known: list[Template]) -> Column:
-    """Starts (template, at) for which at least MIN_VOTES rare words stand at the right places."""
-    postings = F.array(*[
-        F.struct(F.lit(w).alias("word"), F.lit(t.number).alias("template"), F.lit(i).alias("at"))
-        for t in known for i, w in enumerate(t.words)
-    ])
+def _postings(present: Column, known: list[Template], rarity: list[str]) -> Column:
+    """(word, template, at): MIN_VOTES places of each key phrase whose words are all present, rarest words first."""
+    none = F.array().cast("array<struct<word:string,template:int,at:int>>")
+    found = []
+    for t in known:
+        places = sorted(range(len(t.key)), key=lambda k: rarity.index(t.key[k]))
+        # A key phrase of fewer words votes repeatedly.
+        places = (places * MIN_VOTES)[:MIN_VOTES]
+        one = F.array(*[
+            F.struct(F.lit(t.key[k]).alias("word"), F.lit(t.number).alias("template"),
+                     F.lit(t.key_at + k).alias("at"))
+            for k in places
+        ])
+        found.append(F.when(_holds(present, t.key), one).otherwise(none))
+    return F.flatten(F.array(*found)) if found else none
+
+
+def _candidates(words: Column, postings: Column) -> Column:
+    """Starts (template, at) for which MIN_VOTES postings stand at the right places."""
+    rare = F.transform(postings, lambda p: p["word"])
     found = F.filter(
         F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("i"))),
         lambda x: F.array_contains(rare, x["word"]),
@@ -218,15 +233,15 @@ def scan(docs: DataFrame, notices: list[tuple[str, str, str]] | None = None) ->
         F.when(some & _holds(present, p), _starts(words, p)).otherwise(nowhere).alias(f"base{n}")
         for n, p in enumerate(phrases)
     ]
-    rare = F.slice(F.array_intersect(_strings(rarity), present), 1, RARE_WORDS)
-    found = held.select("doc_id", "n_words", "words", *places, F.when(some, rare).alias("rare"))
+    postings = F.when(some, _postings(present, known, rarity))
+    found = held.select("doc_id", "n_words", "words", *places, postings.alias("postings"))
     none = F.array().cast("array<struct<label:string,share:double>>")
     verified = F.when(
         some,
         _let(
-            F.struct(words.alias("w"), F.col("rare").alias("r")),
+            F.struct(words.alias("w"), F.col("postings").alias("p")),
             lambda x: _let(
-                _candidates(x["w"], x["r"], known), lambda c: _verified(x["w"], c, known)
+                _candidates(x["w"], x["p"]), lambda c: _verified(x["w"], c, known)
             ),
         ),
     ).otherwise(none)

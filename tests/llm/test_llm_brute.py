@@ -324,6 +324,22 @@ def test_op10_verifies_key_phrases(spark):
         1: "gpl-3", 2: "", 3: "mit", 4: "all-rights-reserved,bsd-3"}
 
 
+def test_op10_finds_every_key_phrase(spark):
+    notices = license_index.NOTICES
+    filler = "some ordinary words of a text " * 300
+    mit = notices[1][1]
+    rows = [f"{filler} {mit} {filler} {words} {filler}" for _, words, _ in notices]
+    rows += [" ".join(words for _, words, _ in notices), " ".join(words for _, words, _ in notices[::-1])]
+    every = " ".join(sorted({w for _, words, _ in notices for w in words.split()}))
+    rows += [f"{every} {words} {filler}" for _, words, _ in notices]
+    found = license_index.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+    for r in found.collect():
+        text = f" {' '.join(rows[r['doc_id']].split())} "
+        labels = {label for label, _, key in notices if f" {key} " in text}
+        labels |= {label for key, label in license_index.BASE.items() if f" {key} " in text}
+        assert r["labels"] == ",".join(sorted(labels)), r["doc_id"]
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
