@@ -59,3 +59,16 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``materialize`` wrote, once nothing reads it any more.
+
+    Only folders below the shared folder that hold this table's files are touched.
+    """
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
