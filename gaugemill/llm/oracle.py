@@ -36,5 +36,39 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+
+
+def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Integer k-means per part position, its rounds written out."""
+    ctes = [f"""kept AS (SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+            f"""pieces AS (SELECT r, vec_id, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS x
+    FROM kept, unnest(range({parts})) AS t(p))""",
+            f"""first_ids AS (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT {entries})""",
+            """numbered AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM first_ids)""",
+            """b0 AS (SELECT p, e, min(x) AS c FROM pieces JOIN numbered USING (vec_id) GROUP BY p, e)"""]
+    for i in range(rounds + 1):
+        ctes.append(f"""d{i} AS (SELECT r, pieces.p, e, x,
+    list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM pieces JOIN b{i} ON pieces.p = b{i}.p)""")
+        ctes.append(f"""a{i} AS (SELECT r, p, min(struct_pack(d := CAST(d AS BIGINT), e := e)) AS near, any_value(x) AS x
+    FROM d{i} GROUP BY r, p)""")
+        if i < rounds:
+            ctes.append(f"""s{i} AS (SELECT p, near.e AS e, k, sum(x[k]) AS s, count(*) AS n
+    FROM a{i}, unnest(range(1, len(x) + 1)) AS t(k) GROUP BY p, near.e, k)""")
+            ctes.append(f"""m{i} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY k) AS c
+    FROM s{i} GROUP BY p, e)""")
+            ctes.append(f"""b{i + 1} AS (SELECT p, e, coalesce(m{i}.c, b{i}.c) AS c
+    FROM b{i} LEFT JOIN m{i} USING (p, e))""")
+    ctes.append(f"""coded AS (SELECT r, string_agg(printf('%02x', near.e), '' ORDER BY p) AS code,
+    CAST(sum(near.d) AS BIGINT) AS error FROM a{rounds} GROUP BY r)""")
+    ctes.append(f"""books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256
+    FROM b{rounds})""")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": CONTAMINATION}
+    return {"op6_decontaminate": CONTAMINATION, "op11_code_bounds": vector_codes()}

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugemill.llm import (
-    decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
+    code_bounds, decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
     simhash_tree, token_blocks, toxic_bags,
 )
 from gaugemill.llm.common import shipped, table
@@ -70,6 +70,10 @@ def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_index.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_code_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_bounds.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 OPERATORS = {
     "op1_secret_grammar": op1_secret_grammar,
     "op2_page_template": op2_page_template,
@@ -81,6 +85,7 @@ OPERATORS = {
     "op8_shard_pack": op8_shard_pack,
     "op9_mixing_tree": op9_mixing_tree,
     "op10_license_index": op10_license_index,
+    "op11_code_bounds": op11_code_bounds,
 }
 
 QUERIES = {name: shipped(query) for name, query in OPERATORS.items()}
