@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugemill.llm import (
-    code_bounds, decontaminate, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
+    code_bounds, decontaminate, grouped_join, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
     simhash_tree, token_blocks, toxic_bags,
 )
 from gaugemill.llm.common import shipped, table
@@ -74,6 +74,10 @@ def op11_code_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return code_bounds.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_grouped_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = {
     "op1_secret_grammar": op1_secret_grammar,
     "op2_page_template": op2_page_template,
@@ -86,6 +90,7 @@ OPERATORS = {
     "op9_mixing_tree": op9_mixing_tree,
     "op10_license_index": op10_license_index,
     "op11_code_bounds": op11_code_bounds,
+    "op12_grouped_join": op12_grouped_join,
 }
 
 QUERIES = {name: shipped(query) for name, query in OPERATORS.items()}
