@@ -38,6 +38,31 @@ FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 
 
+COLLOCATIONS = """
+WITH texts AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^ \\t]+') AS ws
+    FROM texts, unnest(regexp_split_to_array(text, '[.,;:!?\\n\\x0B\\x0C\\r]')) AS p(piece)),
+words AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+phrases AS (SELECT lang, ws[i:i + k - 1] AS ws, count(*) AS f
+    FROM pieces, unnest([1, 2, 3]) AS s(k), unnest(range(1, len(ws) - k + 2)) AS t(i)
+    GROUP BY ALL HAVING count(*) >= 10),
+covered AS (SELECT DISTINCT s.lang, s.ws FROM phrases s JOIN phrases x ON s.lang = x.lang
+    AND len(s.ws) = 2 AND len(x.ws) = 3 AND (s.ws = x.ws[1:2] OR s.ws = x.ws[2:3]) AND 100 * x.f >= 50 * s.f),
+cuts AS (SELECT c.lang, c.ws, c.f AS a, k, x.f AS l, y.f AS r,
+    (1000000 * c.f::HUGEINT * c.f::HUGEINT) // (x.f::HUGEINT * y.f::HUGEINT) AS score
+    FROM (SELECT * FROM phrases ANTI JOIN covered USING (lang, ws) WHERE len(ws) > 1) c,
+        unnest(range(1, len(c.ws))) AS t(k)
+    JOIN phrases x ON x.lang = c.lang AND x.ws = c.ws[1:k]
+    JOIN phrases y ON y.lang = c.lang AND y.ws = c.ws[k + 1:len(c.ws)]),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+ranked AS (SELECT *, array_to_string(ws, ' ') AS phrase,
+    row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(ws, ' ')) AS rank FROM best)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN words USING (lang) WHERE rank <= 2000
+"""
+
+
 def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Integer k-means per part position, its rounds written out."""
     ctes = [f"""kept AS (SELECT row_number() OVER () AS r, vec_id, label,
@@ -71,4 +96,5 @@ FROM kept JOIN coded USING (r), books"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontaminate": CONTAMINATION, "op11_code_bounds": vector_codes()}
+    return {"op6_decontaminate": CONTAMINATION, "op11_code_bounds": vector_codes(),
+            "op13_phrase_trie": COLLOCATIONS}

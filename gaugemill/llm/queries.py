@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugemill.llm import (
-    code_bounds, decontaminate, grouped_join, license_index, mixing_tree, page_template, quality_vote, secret_grammar, shard_pack,
-    simhash_tree, token_blocks, toxic_bags,
+    code_bounds, decontaminate, grouped_join, license_index, mixing_tree, page_template, phrase_trie, quality_vote,
+    secret_grammar, shard_pack, simhash_tree, token_blocks, toxic_bags,
 )
 from gaugemill.llm.common import shipped, table
 
@@ -78,6 +78,10 @@ def op12_grouped_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_phrase_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_trie.collocations(table(spark, sf_dir, "documents"))
+
+
 OPERATORS = {
     "op1_secret_grammar": op1_secret_grammar,
     "op2_page_template": op2_page_template,
@@ -91,6 +95,7 @@ OPERATORS = {
     "op10_license_index": op10_license_index,
     "op11_code_bounds": op11_code_bounds,
     "op12_grouped_join": op12_grouped_join,
+    "op13_phrase_trie": op13_phrase_trie,
 }
 
 QUERIES = {name: shipped(query) for name, query in OPERATORS.items()}
