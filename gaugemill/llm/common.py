@@ -9,6 +9,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,13 +17,17 @@ import gaugemill
 from gaugemill.session import materialize
 
 __all__ = [
-    "arrow_slices", "joined", "materialize", "sha256_hex", "shipped", "table", "white_words",
+    "arrow_slices", "bitmap", "joined", "marked", "materialize", "sha256_hex", "shipped", "table",
+    "white_words",
 ]
 
 # Rows handed to a Python loop at once hold about this many bytes of text (or one
 # row, if that is longer), so that very long documents do not add up.
 SLICE_BYTES = 4 << 20
 
+# Bits of a broadcast bitmap of hashes: 16 MB, whatever it is made of.
+BITMAP_BITS = 27
+
 # The white space that separates words: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -78,3 +83,20 @@ def white_words(text: Column) -> Column:
     """Words between white space of a non-null text, as an array without empty entries."""
     parts = F.split(text, r"[ \t-\r]+")
     return F.filter(parts, lambda w: w != "")
+
+
+def bitmap(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """2**bits bits, those set that the values ``g`` name; its size does not grow with them."""
+    at = F.shiftrightunsigned(F.col("g"), 64 - bits)
+    one = F.expr("shiftleft(1L, cast(at & 63L as int))")
+    found = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
+        F.bit_or(one).alias("set")).toArrow()
+    out = np.zeros(1 << (bits - 6), np.int64)
+    out[found.column("w").to_numpy()] = found.column("set").to_numpy()
+    return out
+
+
+def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    width = np.uint64(64 - (len(bits).bit_length() - 1 + 6))
+    at = hashes >> width
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)).astype(np.int64)) & 1 > 0

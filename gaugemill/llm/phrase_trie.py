@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gaugemill.llm.common import arrow_slices, materialize
+from gaugemill.llm.common import arrow_slices, bitmap, marked, materialize
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -41,10 +41,9 @@ TOP = 2000
 CONTAINED_PERCENT = 50
 NO_LANG = "und"
 
-BITMAP_BITS = 27
-BLOCK_PHRASES = 1 << 20
-TALLY_ROWS = 1 << 20
-MEMO_WORDS = 400_000
+BLOCK_PHRASES = 1 << 19
+TALLY_ROWS = 1 << 18
+MEMO_WORDS = 150_000
 WIDE_NODE = 24
 
 # What ends a piece.
@@ -150,23 +149,6 @@ def _ambiguous(words: DataFrame) -> bool:
     return not pairs.unionByName(langs, allowMissingColumns=True).filter("twice").isEmpty()
 
 
-def bitmap(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
-    """2**bits bits, those set that the values ``g`` name; its size does not grow with them."""
-    at = F.shiftrightunsigned(F.col("g"), 64 - bits)
-    one = F.expr("shiftleft(1L, cast(at & 63L as int))")
-    found = hashes.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("w")).agg(
-        F.bit_or(one).alias("set")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[found.column("w").to_numpy()] = found.column("set").to_numpy()
-    return out
-
-
-def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    width = np.uint64(64 - (len(bits).bit_length() - 1 + 6))
-    at = hashes >> width
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)).astype(np.int64)) & 1 > 0
-
-
 class Tally:
     """Counts of rows of numbers by their hash, in bounded memory."""
 
