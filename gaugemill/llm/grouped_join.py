@@ -6,10 +6,11 @@ Jaccard similarity of their sets is at least a percentage.
 1. *Nodes.*  Documents with equal sets are one node, named by a 128-bit digest.
 2. *Order.*  Shingles are ordered by hash, but those that occur among the lowest shingles
    of more than HOT_ROWS nodes come last, by that count.  Two sets of n and m shingles
-   that link share one within the first n - ceil(t n) + 1 and m - ceil(t m) + 1 of any
+   that link share at least v within the first n - ceil(t n) + v and m - ceil(t m) + v of any
    common order, so these prefixes are all that is indexed; the order only decides how
-   selective they are.  The lowest shingles of a node nearly always hold its prefix; where
-   too many of them are frequent, the whole text is taken.
+   selective they are.  ``v``, the votes a set asks for, is about half of n - ceil(t n) + 1;
+   of two sets the smaller one counts.  The lowest shingles of a node nearly always hold its
+   prefix; where too many of them are frequent, the whole text is taken.
 3. *Groups.*  Nodes with the same prefix and the same size are one group: one entry in
    every posting list, however many members it has.
 4. *Stars.*  In each of STAR_ROUNDS rounds a group looks at one other group, the leader
@@ -17,9 +18,9 @@ Jaccard similarity of their sets is at least a percentage.
    size), and its members are compared with the leader's first member, and with their own
    group's.  This joins families of near copies in a number of comparisons that grows with
    their members, not with their pairs.
-5. *Rest.*  Every pair of groups that share a prefix shingle, agree in size, pass the bound
-   their positions put on the overlap and are not known to be of one class is expanded to
-   its members of different classes, and these are compared.  So no link between classes is
+5. *Rest.*  Every pair of groups that share enough prefix shingles, agree in size, pass the
+   bound their positions put on the overlap and are not known to be of one class is expanded
+   to its members of different classes, and these are compared.  So no link between classes is
    missed, however long a posting list is; long lists are dealt block against block.
 
 A comparison takes both whole texts and counts the intersection exactly (of 64-bit hashes).
@@ -40,8 +41,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gaugemill.llm.common import arrow_slices, materialize
+from gaugemill.llm.common import arrow_slices, bitmap, marked, materialize
 from gaugemill.llm.simhash_tree import components
+from gaugemill.session import discard
 
 SHINGLE_WORDS = 3
 PERCENT = 90
@@ -51,6 +53,8 @@ HOT_ENTRIES = 1 << 20
 STAR_ROUNDS = 2
 SALTS = 32
 BLOCK_ROWS = 1024
+# Keys of wanted texts are broadcast up to this many, joined by a shuffle beyond it.
+BROADCAST_NODES = 1 << 19
 PAIRS_A_BLOCK = 4096
 
 _MULTIPLIERS = np.random.default_rng(42).integers(1, 2**63, 64, dtype=np.int64).astype(np.uint64) | np.uint64(1)
@@ -81,6 +85,11 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - (percent * size + 99) // 100 + 1
 
 
+def votes_asked(size: int, percent: int = PERCENT) -> int:
+    """Prefix shingles that a linked set of no smaller size shares at least."""
+    return (prefix_length(size, percent) + 1) // 2
+
+
 def linked(one: np.ndarray, other: np.ndarray, percent: int = PERCENT) -> bool:
     small, large = sorted((len(one), len(other)))
     if not small or 100 * small < percent * large:
@@ -137,7 +146,7 @@ def prefix_of(
 
     ``held`` are the least shingles of a set, or all; None where they don't decide.
     """
-    need = prefix_length(size, percent)
+    need = prefix_length(size, percent) + votes_asked(size, percent) - 1
     at = np.minimum(np.searchsorted(hot, held), max(len(hot) - 1, 0))
     frequent = hot[at] == held if len(hot) else np.zeros(len(held), bool)
     cold = held[~frequent][:need]
@@ -193,42 +202,73 @@ def prefixes(
     done = first.filter("prefix is not null")
     deep = nodes.join(first.filter("prefix is null").select("node"), "node", "left_semi")
     rest = texts_of(deep, docs).mapInArrow(from_text, PREFIXES)
-    return materialize(done.unionByName(rest), "prefixes")
+    found = materialize(done.unionByName(rest), "prefixes")
+    discard(first)
+    return found
 
 
 def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, text) of ``nodes`` (node, doc_id, said), once each."""
     named = nodes.select("node", F.col("doc_id").alias("_doc"), F.col("said").alias("_said"))
+    if named.count() <= BROADCAST_NODES:
+        named = F.broadcast(named)
     met = _narrow(docs).join(
         named, (F.col("said") == F.col("_said")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
     )
     return met.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def postings(members: DataFrame) -> DataFrame:
+def postings(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(token, salt, rows, grp, size, pos) of all prefix shingles that several groups share.
 
-    The posting list of a frequent shingle is dealt over SALTS.
+    ``groups`` has grp, size, prefix and hot.  A bitmap of the shared shingles' hashes keeps
+    the others from being shuffled.  The list of a frequent shingle is dealt over SALTS.
     """
-    groups = members.groupBy("grp").agg(
-        F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot")
+    tokens = groups.select(F.explode(F.arrays_zip("prefix", "hot")).alias("at")).select("at.prefix", "at.hot")
+    shared = materialize(
+        tokens.groupBy(F.col("prefix").alias("token")).agg(
+            F.count(F.lit(1)).alias("rows"), F.max("hot").alias("hot")
+        ).filter("rows > 1"),
+        "shared",
     )
-    index = groups.select(
-        "grp", "size", F.posexplode(F.arrays_zip("prefix", "hot")).alias("pos", "at")
-    ).select(
-        F.col("at.prefix").alias("token"), F.col("at.hot").alias("hot"), "grp", "size", "pos",
-        F.when(F.col("at.hot"), F.pmod(F.xxhash64("grp"), F.lit(SALTS))).otherwise(0).alias("salt"),
+    held = groups.sparkSession.sparkContext.broadcast(bitmap(shared.select(F.col("token").alias("g"))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("prefix")
+            offsets = lists.offsets.to_numpy()
+            token = lists.values.to_numpy()[offsets[0] : offsets[-1]]
+            hot = batch.column("hot").values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            pos = np.arange(len(token)) - (offsets[:-1] - offsets[0])[owner]
+            keep = np.nonzero(marked(held.value, token.view(np.uint64)))[0]
+            own = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(token[keep]), pa.array(hot[keep], pa.bool_()), batch.column("grp").take(own),
+                 batch.column("size").take(own), pa.array(pos[keep].astype(np.int32))],
+                names=["token", "hot", "grp", "size", "pos"],
+            )
+
+    index = groups.select("grp", "size", "prefix", "hot").mapInArrow(
+        run, "token long, hot boolean, grp binary, size long, pos int"
+    ).withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("grp"), F.lit(SALTS)).cast("int")).otherwise(0)
     )
-    index = materialize(index, "index")
-    shared = index.groupBy("token").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("hot").alias("hot")
-    ).filter("rows > 1").select("token", "rows", F.explode(_salts(F.col("hot"))).alias("salt"))
-    return materialize(index.drop("hot").join(shared, ["token", "salt"]), "postings")
+    spread = shared.select("token", "rows", F.explode(_salts(F.col("hot"))).alias("salt"))
+    met = materialize(index.drop("hot").join(spread, ["token", "salt"]), "postings")
+    discard(shared)
+    return met
 
 
 def _salts(hot: Column) -> Column:
-    one = F.array(F.lit(0).cast("long"))
-    return F.when(hot, F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(one)
+    return F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+
+
+def _votes(size: Column, other: Column, percent: int) -> Column:
+    """``votes_asked`` of the smaller of two sizes."""
+    least = F.least(size, other)
+    prefix = least - F.call_function("div", least * percent + 99, F.lit(100)) + 1
+    return F.call_function("div", prefix + 1, F.lit(2))
 
 
 def _sizes_agree(one: Column, other: Column, percent: int) -> Column:
@@ -238,6 +278,8 @@ def _sizes_agree(one: Column, other: Column, percent: int) -> Column:
 def star_pairs(met: DataFrame, classes: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
     """(grp, leader): the group that most of a group's shingles name first among like sizes.
 
+    Where fewer shingles name it than links share there is no leader.
+
     ``classes`` has grp, least and most: the smallest and largest class of its members.
     """
     step = F.floor(F.log("size") / F.lit(log(100 / percent)) + F.lit(turn / STAR_ROUNDS))
@@ -255,7 +297,9 @@ def star_pairs(met: DataFrame, classes: DataFrame, turn: int, percent: int = PER
         & _sizes_agree(F.col("size"), F.col("first.size"), percent)
         & _may_differ("least", "most", "first.least", "first.most")
     )
-    votes = asked.groupBy("grp", F.col("first.grp").alias("leader")).agg(F.count(F.lit(1)).alias("votes"))
+    votes = asked.groupBy("grp", F.col("first.grp").alias("leader")).agg(
+        F.count(F.lit(1)).alias("votes"), F.max(_votes(F.col("size"), F.col("first.size"), percent)).alias("need")
+    ).filter("votes >= need")
     return votes.groupBy("grp").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader"))
 
 
@@ -288,13 +332,16 @@ def group_pairs(met: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
         (F.col("grp") < F.col("_grp")) & _sizes_agree(F.col("size"), F.col("_size"), percent)
         & (most >= need) & _may_differ("least", "most", "_least", "_most")
     )
-    return met_pairs.select(F.col("grp").alias("one"), F.col("_grp").alias("other")).distinct()
+    votes = met_pairs.groupBy(F.col("grp").alias("one"), F.col("_grp").alias("other")).agg(
+        F.count(F.lit(1)).alias("votes"), F.max(_votes(F.col("size"), F.col("_size"), percent)).alias("asked")
+    )
+    return votes.filter("votes >= asked").select("one", "other")
 
 
 def compared(
-    pairs: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
+    pairs: DataFrame, nodes: DataFrame, docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The pairs (a, b) of nodes that link.
+    """The pairs (a, b) of ``nodes`` that link.
 
     The first text of a block of pairs is held while the others pass by one at a time.
     """
@@ -319,11 +366,15 @@ def compared(
                     [pa.array([x[i] for x in out], pa.binary()) for i in range(2)], names=["a", "b"]
                 )
 
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts_of(materialize(nodes.select("node", "doc_id", "said").join(wanted, "node", "left_semi"), "wanted"), docs)
     ordered = (
         first.unionByName(rest).join(texts, "node").select("a", "block", "side", "node", "text")
         .repartition("a", "block").sortWithinPartitions("a", "block", "side")
     )
-    return materialize(ordered.mapInArrow(run, "a binary, b binary"), "links")
+    found = materialize(ordered.mapInArrow(run, "a binary, b binary"), "links")
+    discard(pairs)
+    return found
 
 
 def node_links(
@@ -331,13 +382,15 @@ def node_links(
 ) -> DataFrame:
     """(a, b): links among ``nodes`` whose components are those of all links."""
     members = prefixes(nodes, docs, shingle_words, percent)
-    met = postings(members)
-    kept = members.select("node", "grp")
-    crowds = members.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first"))
-    crowds = materialize(crowds, "groups")
+    groups = materialize(members.groupBy("grp").agg(
+        F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"),
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
+    ), "groups")
+    met = postings(groups, percent)
+    crowds = groups.select("grp", "n", "first")
     in_play = met.select("grp").unionByName(crowds.filter("n > 1").select("grp")).distinct()
-    kept = materialize(kept.join(in_play, "grp", "left_semi"), "members")
-    texts = materialize(texts_of(nodes.join(kept, "node", "left_semi"), docs), "texts")
+    kept = materialize(members.select("node", "grp").join(in_play, "grp", "left_semi"), "members")
+    discard(members)
 
     links = None
     for turn in range(STAR_ROUNDS):
@@ -348,7 +401,7 @@ def node_links(
         if turn == 0:
             led = led.unionByName(crowds.filter("n > 1").select("grp", F.col("first").alias("a")))
         pairs = led.join(kept, "grp").select("a", F.col("node").alias("b"))
-        found = compared(pairs, texts, shingle_words, percent)
+        found = compared(pairs, nodes, docs, shingle_words, percent)
         links = found if links is None else materialize(links.unionByName(found), "links")
 
     named, classes = _classes(kept, links)
@@ -360,7 +413,10 @@ def node_links(
     pairs = across.unionByName(within).join(left, "one").join(right, "other").filter(
         (F.col("ca") != F.col("cb")) & ((F.col("one") != F.col("other")) | (F.col("a") < F.col("b")))
     ).select("a", "b")
-    return links.unionByName(compared(pairs, texts, shingle_words, percent))
+    links = links.unionByName(compared(pairs, nodes, docs, shingle_words, percent))
+    discard(met)
+    discard(groups)
+    return links
 
 
 def _classes(members: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame]:
@@ -380,22 +436,24 @@ def similar_documents(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    marked = materialize(marks(docs, shingle_words, percent), "marks")
+    marked_rows = materialize(marks(docs, shingle_words, percent), "marks")
     row = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "said")).alias("row")
     nodes = materialize(
-        marked.filter("size > 0").groupBy("node").agg(
+        marked_rows.filter("size > 0").groupBy("node").agg(
             F.first("size").alias("size"), F.first("low").alias("low"), F.min("doc_id").alias("least"), row
         ).select("node", "size", "low", "least", "row.doc_id", "row.said"),
         "nodes",
     )
+    slim = materialize(marked_rows.select("doc_id", "node", "size"), "marks")
+    discard(marked_rows)
     found = components(node_links(nodes, docs, shingle_words, percent)).withColumnRenamed("node", "_node")
     roots = nodes.join(found, nodes["node"] == found["_node"], "left").select(
         "node", "least", F.coalesce("root", "node").alias("root")
     )
     names = roots.groupBy("root").agg(F.min("least").alias("_least"))
     named = roots.join(names, "root").select(F.col("node").alias("_node"), "_least")
-    whole = marked.filter("size > 0").join(named, F.col("node") == F.col("_node")).select(
+    whole = slim.filter("size > 0").join(named, F.col("node") == F.col("_node")).select(
         "doc_id", F.col("size").alias("n_shingles"), F.col("_least").alias("component_id"))
-    empty = marked.filter("size = 0").select(
+    empty = slim.filter("size = 0").select(
         "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return whole.unionByName(empty)
