@@ -41,6 +41,13 @@ def pending_feed(named: DataFrame, rows: int | None = PENDING_FEED_ROWS) -> Data
     return fields.select(json_docs.row_json(*FEED_COLUMNS).alias("observation_data"))
 
 
+def payload_documents(pending: DataFrame) -> DataFrame:
+    """(id, observation_data): each pending average with its JSON document."""
+    return payload_rows(pending).select(
+        "id", json_docs.row_json(*FEED_COLUMNS).alias("observation_data")
+    )
+
+
 def enriched_feed(named: DataFrame, api_key: str, sensor_id: str) -> DataFrame:
     """All pending averages with the sender's credentials added to every document."""
     fields = payload_rows(newest_pending(named, None))
@@ -94,11 +101,14 @@ def outcome(status: Column) -> Column:
     )
 
 
-def route(pending: DataFrame, results: DataFrame, stop_at_fatal: bool = False) -> DataFrame:
+def route(
+    pending: DataFrame, results: DataFrame, stop_at_fatal: bool = False, keep_unsent: bool = True
+) -> DataFrame:
     """What becomes of each pending row: acked, fatal, retry or pending.
 
     Rows are sent newest first.  With ``stop_at_fatal`` the first refused credential
-    ends the run, and every row behind it stays pending.
+    ends the run, and every row behind it stays pending, or is left out unless
+    ``keep_unsent``.
     """
     replies = results.select("id", "status_code")
     joined = pending.join(replies, "id", "left")
@@ -111,6 +121,8 @@ def route(pending: DataFrame, results: DataFrame, stop_at_fatal: bool = False) -
         newest = F.struct("observe_date", (-F.col("id")).alias("back"))
         stop = routed.filter(F.col("outcome") == "fatal").agg(F.max(newest)).scalar()
         behind = F.coalesce(newest < stop, F.lit(False))
+        if not keep_unsent:
+            routed = routed.filter(~behind)
         routed = routed.withColumn(
             "outcome", F.when(behind, "pending").otherwise(F.col("outcome"))
         )

@@ -3,15 +3,17 @@
 The jobs of one table set run one after another (one writer at a time).  Each can be
 repeated after a failure with the same label (``delivery``, ``as_of``) without changing
 the outcome: what a job is about to do (its first id, the rows it takes) is recorded
-beside the table before it does it, and a repetition goes by the record.
+beside the table before it does it, and a repetition goes by the record.  An append that
+died half way is finished by whatever job comes next (``settle``), before it does its own
+work.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,13 +21,16 @@ from gaugemill import schemas
 from gaugemill.constants import LINES_PER_BATCH, RETENTION_HOURS
 from gaugemill.functions import clock
 from gaugemill.operators import batching, gates, readings, state
-from gaugemill.session import materialize
+from gaugemill.plans import ledger
+from gaugemill.plans.ledger import Entry, Ledger
+from gaugemill.session import discard, folders, materialize, remove_folder
 from gaugemill.sources import contracts, observations as store
 from gaugemill.streaming import runner
 from gaugemill.streaming.count_window import CountWindow
 
-DELIVERY_RECORD = "first long, n long"
 LOAD_RECORD = "id long, obs_day date, first long"
+SNAPSHOT = "raw_high long"
+LOAD_MARK = "as_of timestamp, raw_high long, pending_day date"
 REJECTED_AVERAGES = "observe_date timestamp, node_model_id int, node_unique_id string, reject_reason string"
 REJECTED_VALUES = "id long, sensor_name string, node_unique_id string, text string"
 
@@ -35,19 +40,10 @@ def highest_id(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
 
 
-def _stored(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """A stored table, or None where there is none yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def _next_start(spark: SparkSession, path: str) -> int:
-    table = _stored(spark, path, "id long")
-    return 0 if table is None else highest_id(table)
+    """The id that new rows follow: above all planned ones and all in the table."""
+    table = ledger.stored(spark, path, "id long")
+    return max(0 if table is None else highest_id(table), Ledger(spark, path).high_water())
 
 
 def ingest(
@@ -56,34 +52,83 @@ def ingest(
 ) -> None:
     """Lines of one complete delivery to appended raw observations.
 
-    Ids follow ``start``, by default the highest id in use.  A delivery with a label is
-    appended once, however often it is ingested.  Lines of an unfinished batch are left
-    out; where deliveries continue each other, use the streaming count window.
+    Ids follow ``start``, by default the highest id ever given out.  A delivery with a
+    label is appended once, however often it is ingested and whatever retention has removed
+    since.  Lines of an unfinished batch are left out; where deliveries continue each other,
+    use the streaming count window.
     """
     spark = lines.sparkSession
     contracts.require(lines, schemas.LINES)
+    settle(spark, raw_path)
+    if delivery and Ledger(spark, raw_path).find(delivery):
+        return
     observations = materialize(
         batching.assemble(batching.count_windows(lines, LINES_PER_BATCH[firmware])), "assembled"
     )
     append_once(observations, raw_path, delivery, start)
+    discard(observations)
 
 
 def append_once(
     observations: DataFrame, raw_path: str, delivery: str | None, start: int | None = None
 ) -> None:
-    """Append stored observations (station, batch_no, ...) under new ids, once per label."""
+    """Append observations (station, batch_no, ...) under new ids, once per label.
+
+    The rows are staged, then planned in the ledger, then appended, then marked as done.
+    Up to the plan nothing has happened; after it the staged rows are appended exactly once,
+    by this call, by a repetition, or by ``settle``.
+    """
     spark = observations.sparkSession
+    book = Ledger(spark, raw_path)
+    label = delivery or f"unlabelled-{uuid.uuid4().hex}"
+    settle(spark, raw_path)
+    if book.find(label):
+        return
     first = _next_start(spark, raw_path) if start is None else start
-    record = f"{raw_path}_jobs/ingest={delivery}" if delivery else None
-    known = _stored(spark, record, DELIVERY_RECORD) if record else None
-    if known is not None and (planned := known.first()):
-        first, n = planned
-        raw = _stored(spark, raw_path, "id long")
-        if not n or raw is not None and not raw.filter(F.col("id") == first + 1).isEmpty():
-            return
-    if record and known is None:
-        _one_row(spark, DELIVERY_RECORD, first, observations.count()).write.parquet(record)
-    store.append_raw(state.observation_ids(observations, first), raw_path)
+    staged = _staged_path(raw_path, label)
+    state.observation_ids(observations, first).select(
+        F.col("id").cast("long").alias("id"), F.col("observe_date").cast("timestamp").alias("observe_date"),
+        "sensor_values",
+    ).write.mode("overwrite").parquet(staged)
+    n, lowest = spark.read.schema(STAGED).parquet(staged).agg(
+        F.count(F.lit(1)), F.min("observe_date").cast("date")
+    ).first()
+    _append_planned(spark, raw_path, book.plan(label, first, n, lowest), repeated=False)
+
+
+STAGED = "id long, observe_date timestamp, sensor_values string"
+
+
+def _staged_path(raw_path: str, label: str) -> str:
+    return f"{raw_path}_jobs/staged/{uuid.uuid5(uuid.NAMESPACE_URL, label).hex}"
+
+
+def _append_planned(spark: SparkSession, raw_path: str, entry: Entry, repeated: bool) -> None:
+    """Append the staged rows of a planned entry; after a failure, in place of what it left."""
+    staged = _staged_path(raw_path, entry.label)
+    rows = spark.read.schema(STAGED).parquet(staged)
+    if repeated and (raw := ledger.stored(spark, raw_path, store.stored_schema(schemas.OBSERVATION_RAW))) is not None:
+        mine = F.col("id").between(entry.first + 1, entry.first + entry.n)
+        # Only the delivery's own days are looked through.
+        days = rows.select(F.col("observe_date").cast("date").alias(store.DAY)).distinct()
+        left = raw.join(F.broadcast(days), store.DAY, "left_semi")
+        hit = left.filter(mine).select(store.DAY).distinct()
+        kept = materialize(
+            left.join(F.broadcast(hit), store.DAY, "left_semi").filter(~mine), "before_append"
+        )
+        gone = [r[0] for r in hit.join(kept.select(store.DAY).distinct(), store.DAY, "left_anti").collect()]
+        store.overwrite_days(kept.select(*schemas.OBSERVATION_RAW.fieldNames()), raw_path)
+        store.drop_days(spark, raw_path, gone)
+        discard(kept)
+    store.append_raw(rows, raw_path)
+    Ledger(spark, raw_path).finish(entry)
+    remove_folder(spark, staged)
+
+
+def settle(spark: SparkSession, raw_path: str) -> None:
+    """Finish appends that were planned but not done, before anything reads the table."""
+    for entry in Ledger(spark, raw_path).unfinished():
+        _append_planned(spark, raw_path, entry, repeated=True)
 
 
 class StreamIngest:
@@ -103,10 +148,6 @@ class StreamIngest:
         append_once(self.window.observations(batch_id), self.raw_path, f"{self.label}-{batch_id}")
 
 
-def _one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
-    return spark.createDataFrame([values], schema).coalesce(1)
-
-
 def load(
     spark: SparkSession, raw_path: str, rollup_path: str, models: DataFrame, as_of: datetime,
     start: int | None = None,
@@ -119,11 +160,15 @@ def load(
     What can't be stored is kept beside the rollup: averages and, with the text, single
     values (``read_rejected_values``).
     """
+    settle(spark, raw_path)
     contracts.require(spark.read.parquet(raw_path).drop(store.DAY), schemas.OBSERVATION_RAW)
     label = store.load_label(as_of)
     taken = _taken(spark, raw_path, rollup_path, as_of, label, start)
-    first = taken.agg(F.coalesce(F.min("first"), F.lit(0))).first()[0]
-    raw = store.scan_raw(spark, raw_path, before=as_of).join(taken.select("id"), "id", "left_semi")
+    first, lowest = taken.agg(F.coalesce(F.min("first"), F.lit(0)), F.min("obs_day")).first()
+    since = datetime.combine(lowest, datetime.min.time()) if lowest else as_of
+    raw = store.scan_raw(spark, raw_path, since=since, before=as_of).join(
+        taken.select("id"), "id", "left_semi"
+    )
     rows = materialize(state.reset_imported(raw), "taken")
     averages = materialize(state.closed_averages(rows, models, as_of), "averages")
     good, bad = state.split_averages(averages)
@@ -131,8 +176,13 @@ def load(
     readings.quarantined(rows).write.mode("overwrite").parquet(
         f"{rollup_path}_jobs/rejected_values/load_at={label}"
     )
+    book = Ledger(spark, rollup_path)
+    if (entry := book.find(f"load-{label}")) is None:
+        entry = book.plan(f"load-{label}", first, good.count(), lowest)
     store.write_load(state.rollup_ids(good, first), rollup_path, as_of)
+    book.finish(entry)
     mark(spark, raw_path, taken)
+    _record_load(spark, rollup_path, as_of)
     return spark.read.schema(REJECTED_AVERAGES).parquet(
         f"{rollup_path}_jobs/rejected_averages/load_at={label}"
     )
@@ -141,16 +191,48 @@ def load(
 def _taken(spark, raw_path, rollup_path, as_of, label, start) -> DataFrame:
     """The record of a load: its rows' ids and days, and the id its averages follow."""
     path = f"{rollup_path}_jobs/taken/load_at={label}"
-    known = _stored(spark, path, LOAD_RECORD)
+    snapshot = f"{rollup_path}_jobs/snapshots/load_at={label}"
+    known = ledger.stored(spark, path, LOAD_RECORD)
     if known is not None:
         return known
     first = _next_start(spark, rollup_path) if start is None else start
-    pending = gates.closed_minutes(gates.not_imported(store.scan_raw(spark, raw_path, before=as_of)), as_of)
+    high = spark.createDataFrame([(Ledger(spark, raw_path).high_water(),)], SNAPSHOT)
+    high.coalesce(1).write.mode("overwrite").parquet(snapshot)
+    raw = store.scan_raw(spark, raw_path, since=pending_since(spark, raw_path, rollup_path), before=as_of)
+    pending = gates.closed_minutes(gates.not_imported(raw), as_of)
     record = pending.select("id", F.col(store.DAY).alias("obs_day"), F.lit(first).cast("long").alias("first"))
     record.write.mode("overwrite").parquet(path)
     return spark.read.schema(LOAD_RECORD).parquet(path)
 
 
+def _record_load(spark: SparkSession, rollup_path: str, as_of: datetime) -> None:
+    """Note that nothing before the day of ``as_of`` is pending among the ids the load saw."""
+    now = clock.naive_utc(as_of)
+    label = store.load_label(as_of)
+    raw_high = spark.read.schema(SNAPSHOT).parquet(f"{rollup_path}_jobs/snapshots/load_at={label}").first()[0]
+    row = spark.createDataFrame([(now, raw_high, now.date())], LOAD_MARK).coalesce(1)
+    row.write.mode("overwrite").parquet(f"{rollup_path}_jobs/marks/load_at={label}")
+
+
+def pending_since(spark: SparkSession, raw_path: str, rollup_path: str) -> datetime | None:
+    """Start of the earliest day that can hold pending rows; None where that is not known.
+
+    A load takes every closed minute, so what it leaves is of its own day or later; rows
+    delivered since may be older, and the ledger has the earliest day of each delivery.
+    Rows that came into the table past the ledger leave no lower bound.
+    """
+    marks = ledger.stored(spark, f"{rollup_path}_jobs/marks", LOAD_MARK)
+    last = None if marks is None else marks.orderBy(F.desc("as_of")).first()
+    table = ledger.stored(spark, raw_path, "id long")
+    book = Ledger(spark, raw_path)
+    if last is None or table is None or highest_id(table) > book.high_water():
+        return None
+    days: list[date] = [last["pending_day"]]
+    if (later := book.lowest_day_after(last["raw_high"])) is not None:
+        days.append(later)
+    return datetime.combine(min(days), datetime.min.time())
+
+
 def read_rejected_values(spark: SparkSession, rollup_path: str) -> DataFrame:
     """Values of all loads that are no reading: (id, sensor_name, node_unique_id, text, load_at)."""
     return spark.read.schema(REJECTED_VALUES + ", load_at string").parquet(
@@ -167,15 +249,35 @@ def mark(spark: SparkSession, raw_path: str, taken: DataFrame) -> None:
 
 
 def acknowledge(spark: SparkSession, rollup_path: str, acked: DataFrame) -> None:
-    """Flag delivered averages, rewriting only loads that hold acknowledged rows."""
-    rollup = store.read_rollup(spark, rollup_path)
+    """Note delivered averages in a small file of their own; the rollup is not touched.
+
+    ``read_rollup`` reads the rollup through these notes, ``fold_acks`` moves them into it.
+    """
+    store.append_acks(acked, rollup_path)
+
+
+def fold_acks(spark: SparkSession, rollup_path: str) -> None:
+    """Move the noted acknowledgements into the flags of the loads they belong to.
+
+    Only loads that hold newly acknowledged rows are rewritten, then the notes that were
+    read are removed.  In between a row is acknowledged twice, which is no different.
+    """
+    notes = folders(spark, store.acks_path(rollup_path))
+    if not notes:
+        return
+    acked = materialize(spark.read.schema(store.ACKS).parquet(*notes).distinct(), "acks")
+    rollup = store.read_rollup(spark, rollup_path, with_acks=False)
     touched = (
-        rollup.select("id", *store.LOAD_KEYS)
-        .join(acked.select("id").distinct(), "id", "left_semi")
-        .select(*store.LOAD_KEYS).distinct()
+        rollup.select("id", "imported", *store.LOAD_KEYS)
+        .join(acked, "id", "left_semi").filter("not imported").select(*store.LOAD_KEYS).distinct()
     )
     affected = rollup.join(touched, store.LOAD_KEYS, "left_semi")
-    store.overwrite_loads(materialize(state.apply_acks(affected, acked), "acked"), rollup_path)
+    flagged = materialize(state.apply_acks(affected, acked), "acked")
+    store.overwrite_loads(flagged, rollup_path)
+    for note in notes:
+        remove_folder(spark, note)
+    discard(flagged)
+    discard(acked)
 
 
 def expire(
@@ -187,6 +289,7 @@ def expire(
     keep their files, days that keep some rows are rewritten, and the folders of days
     that keep none are dropped.
     """
+    settle(spark, raw_path)
     bound = clock.naive_utc(clock.hours_before(as_of, hours))
     old = store.scan_raw(spark, raw_path).filter(F.col(store.DAY) <= F.lit(bound.date()))
     days = old.filter(gates.expired(old, as_of, hours)).select(store.DAY).distinct()
@@ -208,6 +311,7 @@ def clean(
     Days after the retention bound cannot hold expired rows; they are copied as
     they are, only older days are filtered row by row.  ``expire`` works in place.
     """
+    settle(spark, raw_path)
     raw = store.scan_raw(spark, raw_path)
     bound = clock.hours_before(as_of, hours).date()
     expired = (F.col(store.DAY) <= F.lit(bound)) & gates.expired(raw, as_of, hours)
@@ -219,6 +323,7 @@ def reprocess(
     models: DataFrame, as_of: datetime,
 ) -> DataFrame:
     """Everything again from raw: flags cleared, rollup rebuilt from empty."""
+    settle(spark, raw_path)
     raw = store.scan_raw(spark, raw_path).select(*schemas.OBSERVATION_RAW.fieldNames())
     store.overwrite_days(state.reset_imported(raw), new_raw_path)
     return load(spark, new_raw_path, new_rollup_path, models, as_of, start=0)

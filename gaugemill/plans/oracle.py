@@ -703,6 +703,29 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_ingest_raw"] = with_("assembled") + (
         "SELECT observe_date, sensor_values, true AS dense FROM assembled"
     )
+    split = "FROM lines WHERE line <> ''"
+    sql["ingest_after_expiry"] = with_("assembled").replace(
+        split, f"{split} AND arrived_at >= {AS_OF}"
+    ) + f""", before AS (SELECT sum(n // 7) AS n FROM (SELECT station, count(*) AS n {split}
+            AND arrived_at < {AS_OF} GROUP BY station))
+        SELECT observe_date, sensor_values, CAST((SELECT coalesce(n, 0) FROM before) + 1 AS BIGINT) AS first_id,
+            CAST((SELECT coalesce(n, 0) FROM before) + count(*) OVER () AS BIGINT) AS last_id FROM assembled"""
+    sql["pending_feed_noted"] = sql["pending_json_feed"]
+    sql["acks_folded"] = with_("rollup") + (
+        "SELECT id, id % 10 <= 6 OR id % 3 = 0 AS imported FROM rollup"
+    )
+    sql["outbox_attempts"] = with_("rollup") + """
+        , refused AS (SELECT id, observe_date FROM rollup WHERE id % 100 = 8
+            ORDER BY observe_date DESC, id LIMIT 1)
+        , seen AS (SELECT r.id, r.id % 10 AS digit, r.id % 100 = 8 AS refused, coalesce(
+                r.observe_date < f.observe_date OR r.observe_date = f.observe_date AND r.id > f.id, false) AS behind
+            FROM rollup r LEFT JOIN refused f ON true)
+        SELECT id, CASE WHEN digit IN (0, 1, 2, 9) THEN 1::BIGINT WHEN digit IN (3, 4) OR behind THEN 2 ELSE 3 END AS attempts,
+            CASE WHEN digit IN (0, 1, 2, 3, 4, 9) THEN 'acked' WHEN digit IN (6, 7) THEN 'pending'
+                WHEN digit = 5 THEN CASE WHEN behind THEN 'retry' ELSE 'acked' END
+                WHEN behind THEN 'pending' WHEN refused THEN 'fatal' ELSE 'acked' END AS last_outcome,
+            digit IN (0, 1, 2, 3, 4, 9) OR digit IN (5, 8) AND NOT behind AND NOT refused AS imported
+        FROM seen"""
     sql["load_repeat"] = sql["append_minute_rollup"]
     sql["expire_in_place"] = sql["retention_keep"]
     # Over deliveries in any order: the same, by the exact time of the latest reading.
@@ -720,6 +743,8 @@ def oracle_sql() -> dict[str, str]:
         WHERE micro_batch = last_batch GROUP BY 1, 2, 3"""
     sql["late_merge_exact"] = with_("partials") + f"""SELECT observe_date, sensor_name,
         node_unique_id, {mean(2)} AS sensor_value FROM partials GROUP BY 1, 2, 3"""
+    for policy, name in (("append", "append"), ("overwrite", "overwrite"), ("exact", "merge_exact")):
+        sql[f"late_{policy}_sealed"] = sql[f"late_{name}"]
     pause = "CAST(CASE WHEN outcome = 'retry' THEN 25.0 ELSE 0.0 END AS DOUBLE) AS retry_after_s"
     sql["outbox_route_status"] = with_("routed") + f"SELECT id, outcome, {pause} FROM routed"
     sql["outbox_route_stop"] = with_("routed") + f"""SELECT id, outcome, {pause} FROM (

@@ -7,7 +7,7 @@ presented with plain types: decimals as doubles, instants as UTC local timestamp
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,7 +17,7 @@ from gaugemill.operators import (
     state, windows,
 )
 from gaugemill.operators.numbering import block_columns, number_rows
-from gaugemill.plans import jobs
+from gaugemill.plans import delivery, jobs
 from gaugemill.session import configure, materialize, scratch_path
 from gaugemill.sources import contracts, dimensions, generators, lines, observations, testbed
 from gaugemill.sources.testbed import AS_OF
@@ -108,12 +108,15 @@ def _(spark, d):
 
 @query("scan_line_files")
 def _(spark, d):
-    """Lines of text files, two per station, the earlier lines in the file written first."""
+    """Lines of text files, several per station, the earlier lines in the files written first."""
     root = scratch_path(spark, "captures")
     table = lines.scan_lines(testbed.lines(spark, d)).filter("line <> ''")
-    half = table.agg(F.percentile("line_no", F.lit(0.5))).first()[0]
+    half = table.agg((F.min("line_no") + F.max("line_no")) / 2).first()[0] or 0
     for part in (F.col("line_no") <= half, F.col("line_no") > half):
-        ordered = table.filter(part).repartition("station").sortWithinPartitions("station", "line_no")
+        # Files of a station follow each other in the order of their ranges.
+        ordered = table.filter(part).repartitionByRange("station", "line_no").sortWithinPartitions(
+            "station", "line_no"
+        )
         ordered.select("station", "line").write.mode("append").partitionBy("station").text(root)
     return lines.read_line_files(spark, root).select("station", "line_no", "line")
 
@@ -774,6 +777,64 @@ def _(spark, d):
     return observations.read_rollup(spark, rollup_path).drop("load_at")
 
 
+@query("ingest_after_expiry")
+def _(spark, d):
+    """A delivery, its load and full expiry, the same delivery again, and a later one."""
+    arrived = testbed.lines(spark, d)
+    raw_path, rollup_path = scratch_path(spark, "ledger-raw"), scratch_path(spark, "ledger-rollup")
+    early = F.col("arrived_at") < clock.instant(AS_OF)
+    jobs.ingest(arrived.filter(early), raw_path, delivery="early")
+    jobs.load(spark, raw_path, rollup_path, _models(spark), AS_OF + timedelta(days=1))
+    jobs.expire(spark, raw_path, AS_OF + timedelta(days=3))
+    jobs.ingest(arrived.filter(early), raw_path, delivery="early")
+    jobs.ingest(arrived.filter(~early), raw_path, delivery="later")
+    raw = observations.scan_raw(spark, raw_path)
+    ends = [raw.agg(end("id")).scalar() for end in (F.min, F.max)]
+    return raw.select("observe_date", "sensor_values", ends[0].alias("first_id"), ends[1].alias("last_id"))
+
+
+def _stored_rollup(spark, d) -> str:
+    """Path of a stored rollup, nothing of it delivered."""
+    path = scratch_path(spark, "observation")
+    averages = materialize(_averages(spark, d), "averages")
+    observations.write_load(state.rollup_ids(averages), path, AS_OF)
+    return path
+
+
+@query("pending_feed_noted")
+def _(spark, d):
+    """The feed of a stored rollup, a third of which is acknowledged by notes."""
+    path = _stored_rollup(spark, d)
+    for rest in (0, 3):
+        done = observations.read_rollup(spark, path).filter(F.col("id") % 6 == rest)
+        jobs.acknowledge(spark, path, done)
+    return outbox.pending_feed(
+        rollup.named_observations(observations.read_rollup(spark, path), _models(spark))
+    )
+
+
+@query("acks_folded")
+def _(spark, d):
+    """Flags of a stored rollup after notes of acknowledgements were folded into it."""
+    path = _stored_rollup(spark, d)
+    jobs.acknowledge(spark, path, observations.read_rollup(spark, path).filter(F.col("id") % 10 <= 6))
+    jobs.fold_acks(spark, path)
+    jobs.acknowledge(spark, path, observations.read_rollup(spark, path).filter(F.col("id") % 3 == 0))
+    return observations.read_rollup(spark, path).select("id", "imported")
+
+
+@query("outbox_attempts")
+def _(spark, d):
+    """How often every average was sent in three rounds, and what became of it."""
+    path = _stored_rollup(spark, d)
+    delivery.drain(
+        spark, path, _models(spark), testbed.replies_of_round, AS_OF, rounds=3, rows=None
+    )
+    sent = delivery.attempt_counts(delivery.read_attempts(spark, path))
+    flags = observations.read_rollup(spark, path).select("id", "imported")
+    return flags.join(sent, "id", "left").select("id", "attempts", "last_outcome", "imported")
+
+
 @query("expire_in_place")
 def _(spark, d):
     """The stored raw table after retention, applied twice."""
@@ -990,11 +1051,17 @@ def _(spark, d):
     return raw.select("observe_date", "sensor_values", dense.alias("dense"))
 
 
-def _late_log(spark, d) -> DataFrame:
+def _late_log(spark, d, sealed: bool = False) -> DataFrame:
     raw = testbed.raw(spark, d)
     is_late = F.col("id") % 13 == 0
     log = scratch_path(spark, "partials")
-    _in_deliveries(spark, [raw.filter(~is_late), raw.filter(is_late)], late.PartialLog(log), "late")
+    step = late.PartialLog(log)
+
+    def sealing(rows: DataFrame, batch_id: int) -> None:
+        step(rows, batch_id)
+        late.seal(spark, log, upto=batch_id)
+
+    _in_deliveries(spark, [raw.filter(~is_late), raw.filter(is_late)], sealing if sealed else step, "late")
     return late.read_log(spark, log)
 
 
@@ -1013,6 +1080,22 @@ def _(spark, d):
     return late.exact_policy(_late_log(spark, d))
 
 
+@query("late_append_sealed")
+def _(spark, d):
+    """The same over a log whose days are folded after every delivery."""
+    return late.append_policy(_late_log(spark, d, sealed=True))
+
+
+@query("late_overwrite_sealed")
+def _(spark, d):
+    return late.overwrite_policy(_late_log(spark, d, sealed=True))
+
+
+@query("late_exact_sealed")
+def _(spark, d):
+    return late.exact_policy(_late_log(spark, d, sealed=True))
+
+
 @query("outbox_route_status")
 def _(spark, d):
     rows = materialize(_rollup(spark, d), "rollup")

@@ -61,14 +61,27 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove a table that ``materialize`` wrote, once nothing reads it any more.
+def _folder(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), folder
 
-    Only folders below the shared folder that hold this table's files are touched.
-    """
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder; one that is gone already is no error."""
+    system, folder = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders directly below a folder, but for hidden ones; none where it does not exist."""
+    system, folder = _folder(spark, path)
+    if not system.exists(folder):
+        return []
+    found = [s.getPath() for s in system.listStatus(folder) if s.isDirectory()]
+    return sorted(p.toString() for p in found if p.getName()[0] not in "._")
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``materialize`` wrote, once nothing reads it any more."""
     for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        remove_folder(df.sparkSession, folder)

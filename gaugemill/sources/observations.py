@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gaugemill import schemas
 from gaugemill.functions import clock
+from gaugemill.session import remove_folder
 
 DAY = "obs_day"
 LOAD = "load_at"
@@ -109,9 +112,34 @@ def overwrite_loads(rows: DataFrame, path: str) -> None:
     )
 
 
-def read_rollup(spark: SparkSession, path: str) -> DataFrame:
+ACKS = "id long"
+
+
+def acks_path(rollup_path: str) -> str:
+    return f"{rollup_path}_jobs/acks"
+
+
+def append_acks(acked: DataFrame, rollup_path: str) -> None:
+    """Ids of delivered averages, as one more small file beside the rollup."""
+    ids = acked.select(F.col("id").cast("long").alias("id")).distinct()
+    ids.write.parquet(f"{acks_path(rollup_path)}/{uuid.uuid4().hex}")
+
+
+def read_rollup(spark: SparkSession, path: str, with_acks: bool = True) -> DataFrame:
+    """Stored averages, flagged as delivered where the rollup or a later note says so."""
     schema = stored_schema(schemas.OBSERVATION)
-    return spark.read.schema(schema.add(LOAD, T.StringType())).parquet(path)
+    rows = spark.read.schema(schema.add(LOAD, T.StringType())).parquet(path)
+    try:
+        notes = spark.read.schema(ACKS).parquet(f"{acks_path(path)}/*")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return rows
+    if not with_acks:
+        return rows
+    noted = notes.distinct().select("id", F.lit(True).alias("_noted"))
+    flag = F.col("imported") | F.coalesce(F.col("_noted"), F.lit(False))
+    return rows.join(noted, "id", "left").withColumn("imported", flag).select(*rows.columns)
 
 
 def overwrite_days(df: DataFrame, path: str, ts: str = "observe_date") -> None:
@@ -130,7 +158,5 @@ def overwrite_days(df: DataFrame, path: str, ts: str = "observe_date") -> None:
 
 def drop_days(spark: SparkSession, path: str, days: list[date]) -> None:
     """Remove whole day folders; a folder that is gone already is no error."""
-    jvm = spark.sparkContext._jvm
     for day in days:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{DAY}={day.isoformat()}")
-        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        remove_folder(spark, f"{path}/{DAY}={day.isoformat()}")

@@ -181,3 +181,22 @@ def receipts_for(raw_rows: DataFrame) -> DataFrame:
     return windows.filter(delivered).withColumn(
         "node_unique_id", F.when(node.isNull() & (sensor == "dht11_t"), "").otherwise(node)
     )
+
+
+def replies_of_round(documents: DataFrame, number: int) -> DataFrame:
+    """Replies to sent documents (id, ...) that change from round to round.
+
+    By the last digit of the id: 0 to 2 and 9 are taken at once, 3 and 4 at the second try
+    after 404, 5 after 500 and 404; 6 gets 500 for ever, 7 no reply; 8 gets 500 twice, then
+    401 where the last two digits are 08 and else 201.
+    """
+    digit = F.col("id") % 10
+    at_last = F.when(F.col("id") % 100 == 8, 401).otherwise(201)
+    by_round = {
+        1: F.when(digit.isin(0, 1, 2, 9), 201).when(digit.isin(3, 4), 404).when(digit != 7, 500),
+        2: F.when(digit.isin(3, 4), 201).when(digit == 5, 404).when(digit != 7, 500),
+    }
+    third = F.when(digit == 5, 201).when(digit == 8, at_last).when(digit != 7, 500)
+    return documents.select("id", by_round.get(number, third).cast("int").alias("status_code")).filter(
+        "status_code is not null"
+    )
