@@ -6,8 +6,9 @@ pieces into words.  Everything is counted per language.
 1. *Words.*  All words of all texts are counted; frequent ones are phrases of one word.
 2. *Candidates.*  A phrase of k words can be frequent only if both its parts of k - 1 words
    are.  Frequent phrases of one level set bits of a bitmap of fixed size by their hash;
-   tasks look both parts of every text position up in it at once, and occurrences that pass
-   are tallied.  A hash that meets a set bit by chance adds a candidate, it loses none.
+   tasks look both parts of every text position up in it at once.  Occurrences that pass are
+   first counted by hash bucket, and those of common buckets are tallied as phrases.  A hash
+   that meets a set bit or a common bucket by chance adds a candidate, it loses none.
 3. *Tries.*  Candidates of all levels form double-array tries over the digits of their
    words' numbers, in blocks of at most BLOCK_PHRASES phrases.  A block is broadcast; tasks
    move the states of all positions of a slice one word further at a time (numpy gathers, no
@@ -180,18 +181,111 @@ class Tally:
         self.held, self.rows = [], 0
 
 
-def next_level(docs: DataFrame, frequent: DataFrame, k: int, seed: int, min_count: int) -> DataFrame:
+class Level:
+    """Occurrences of phrases of k words whose parts are frequent by a bitmap of hashes."""
+
+    def __init__(self, bits: np.ndarray, k: int, seed: int):
+        self.bits, self.k, self.seed = bits, k, seed
+        self.memo = Memo(lambda word: hashed(word, seed), 0)
+        self.own: dict[str, int] = {}
+
+    def occurrences(self, words, sizes, langs) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+        """Hashes of all occurrences in a slice, and a function from some of them to their rows."""
+        k = self.k
+        h = self.memo.numbers(words, np.uint64)
+        for x in set(langs) - self.own.keys():
+            self.own[x] = hashed(x.encode(), self.seed)
+        lang = np.repeat(np.array([self.own[x] for x in langs], np.uint64), sizes)
+        part = longer(lang, h)
+        for step in range(1, k - 1):
+            part = longer(part[:-1], h[step:])
+        fit = marked(self.bits, part)
+        # No word of the phrase is a break.
+        for i in range(k - 1):
+            fit &= h[i : len(h) - (k - 2) + i] > 0
+        at = np.nonzero(fit[:-1] & fit[1:])[0]
+
+        def rows(some: np.ndarray) -> np.ndarray:
+            return np.column_stack([lang[at[some]], *[h[at[some] + i] for i in range(k)]])
+
+        return longer(part[at], h[at + k - 1]), rows
+
+
+def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
+
+
+def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_count: int, width: int) -> np.ndarray:
+    """Bitmap of the hash buckets (2**width of them) that occur min_count times in all texts.
+
+    Tasks send counted buckets packed by their upper bits, three bytes each; counts beyond
+    min_count are of no interest.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+    kind = np.dtype([("low", "<u2"), ("n", "<u1" if min_count < 256 else "<u4")])
+
+    def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level, tally = Level(held.value, k, seed), Tally(0)
+
+        def packed(at, _, n) -> pa.RecordBatch:
+            entries = np.empty(len(at), kind)
+            entries["low"] = at & np.uint64(0xFFFF)
+            entries["n"] = np.minimum(n, min_count)
+            chunk = (at >> np.uint64(16)).astype(np.int64)
+            first = np.nonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))[0]
+            ends = np.append(first, len(at)) * kind.itemsize
+            body = pa.BinaryArray.from_buffers(
+                pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(entries.tobytes())]
+            )
+            return pa.RecordBatch.from_arrays([pa.array(chunk[first]), body], names=["chunk", "entries"])
+
+        for part in slices(batches):
+            at = _buckets(level.occurrences(*part)[0], width)
+            for found in tally.add(at, np.zeros((len(at), 0), np.uint64)):
+                yield packed(*found)
+        for found in tally.flush():
+            yield packed(*found)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, total = -1, np.zeros(1 << 16, np.int64)
+
+        def told() -> pa.RecordBatch:
+            common = np.nonzero(total >= min_count)[0].astype(np.uint64) + np.uint64(max(name, 0) << 16)
+            return pa.RecordBatch.from_arrays([_long(mixed(common))], names=["g"])
+
+        for batch in batches:
+            for chunk, entries in zip(batch.column("chunk").to_pylist(), batch.column("entries")):
+                if chunk != name:
+                    yield told()
+                    name = chunk
+                    total[:] = 0
+                found = np.frombuffer(entries.as_buffer(), kind)
+                total[found["low"]] += found["n"]
+        yield told()
+
+    common = (
+        docs.mapInArrow(tallied, "chunk long, entries binary")
+        .repartition("chunk").sortWithinPartitions("chunk")
+        .mapInArrow(summed, "g long")
+    )
+    return bitmap(common)
+
+
+def next_level(
+    docs: DataFrame, frequent: DataFrame, k: int, seed: int, min_count: int, width: int
+) -> DataFrame:
     """(l, h1 .. hk, g): phrases of k words that occur min_count times, parts being frequent.
 
     ``frequent`` has the hashes ``g`` of the phrases of k - 1 words.
     """
-    held = docs.sparkSession.sparkContext.broadcast(bitmap(frequent.select("g")))
+    bits = bitmap(frequent.select("g"))
+    common = common_buckets(docs, bits, k, seed, min_count, width)
+    held = docs.sparkSession.sparkContext.broadcast((bits, common))
     names = ["l", *[f"h{i}" for i in range(1, k + 1)]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, tally = held.value, Tally(k + 1)
-        memo = Memo(lambda word: hashed(word, seed), 0)
-        own: dict[str, int] = {}
+        parts, buckets = held.value
+        level, tally = Level(parts, k, seed), Tally(k + 1)
 
         def batch_of(g, rows, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -199,23 +293,10 @@ def next_level(docs: DataFrame, frequent: DataFrame, k: int, seed: int, min_coun
                 names=[*names, "g", "n"],
             )
 
-        for words, sizes, langs in slices(batches):
-            h = memo.numbers(words, np.uint64)
-            for x in set(langs) - own.keys():
-                own[x] = hashed(x.encode(), seed)
-            lang = np.repeat(np.array([own[x] for x in langs], np.uint64), sizes)
-            part = longer(lang, h)
-            for step in range(1, k - 1):
-                part = longer(part[:-1], h[step:])
-            fit = marked(bits, part)
-            # No word of the phrase is a break.
-            for i in range(k - 1):
-                fit &= h[i : len(h) - (k - 2) + i] > 0
-            at = np.nonzero(fit[:-1] & fit[1:])[0]
-            if not len(at):
-                continue
-            rows = np.column_stack([lang[at], *[h[at + i] for i in range(k)]])
-            for found in tally.add(longer(part[at], h[at + k - 1]), rows):
+        for part in slices(batches):
+            g, rows = level.occurrences(*part)
+            some = np.nonzero(marked(buckets, mixed(_buckets(g, width))))[0]
+            for found in tally.add(g[some], rows(some)):
                 yield batch_of(*found)
         for found in tally.flush():
             yield batch_of(*found)
@@ -400,11 +481,13 @@ def phrase_counts(
     while _ambiguous(words):
         seed += 1
         words = materialize(word_counts(texts, seed), "words")
+    # Fewer occurrences than buckets; a chunk of 2**16 buckets is summed at once.
+    width = max(20, int(words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).bit_length())
     level = words.filter(F.col("n") >= min_count).select("l", F.col("h").alias("h1"))
     levels = [level]
     frequent = level.select(_hash_of("l", "h1").alias("g"))
     for k in range(2, max_words + 1):
-        level = next_level(texts, frequent, k, seed, min_count)
+        level = next_level(texts, frequent, k, seed, min_count, width)
         frequent = level.select("g")
         levels.append(level.drop("g"))
     candidates = levels[0]
