@@ -51,6 +51,7 @@ HOT_ROWS = 128
 # At most this many frequent shingles are broadcast, the most frequent ones (16 bytes each).
 HOT_ENTRIES = 1 << 20
 STAR_ROUNDS = 2
+PRUNE_ROUNDS = 2
 SALTS = 32
 BLOCK_ROWS = 1024
 # Keys of wanted texts are broadcast up to this many, joined by a shuffle beyond it.
@@ -218,45 +219,68 @@ def texts_of(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return met.groupBy("node").agg(F.first("text").alias("text"))
 
 
-def postings(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(token, salt, rows, grp, size, pos) of all prefix shingles that several groups share.
+def _shared(rows: DataFrame) -> DataFrame:
+    """(token, rows, hot) of all prefix shingles that several groups of ``rows`` have."""
+    tokens = rows.select(F.explode(F.arrays_zip("prefix", "hot")).alias("at")).select("at.prefix", "at.hot")
+    return tokens.groupBy(F.col("prefix").alias("token")).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("hot").alias("hot")
+    ).filter("rows > 1")
 
-    ``groups`` has grp, size, prefix and hot.  A bitmap of the shared shingles' hashes keeps
-    the others from being shuffled.  The list of a frequent shingle is dealt over SALTS.
-    """
-    tokens = groups.select(F.explode(F.arrays_zip("prefix", "hot")).alias("at")).select("at.prefix", "at.hot")
-    shared = materialize(
-        tokens.groupBy(F.col("prefix").alias("token")).agg(
-            F.count(F.lit(1)).alias("rows"), F.max("hot").alias("hot")
-        ).filter("rows > 1"),
-        "shared",
+
+def _pruned(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` without shingles that one group alone has, and without groups that then have
+    fewer than any link asks for.  A bitmap of hashes tells which are shared."""
+    held = rows.sparkSession.sparkContext.broadcast(
+        bitmap(_shared(rows).select(F.col("token").alias("g")))
     )
-    held = groups.sparkSession.sparkContext.broadcast(bitmap(shared.select(F.col("token").alias("g"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            sizes = batch.column("size").to_numpy()
             lists = batch.column("prefix")
-            offsets = lists.offsets.to_numpy()
-            token = lists.values.to_numpy()[offsets[0] : offsets[-1]]
-            hot = batch.column("hot").values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]]
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            inside = slice(offsets[0], offsets[-1])
+            token = lists.values.to_numpy()[inside]
+            flat = [batch.column(c).values.to_numpy(zero_copy_only=False)[inside] for c in ("hot", "pos")]
             owner = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pos = np.arange(len(token)) - (offsets[:-1] - offsets[0])[owner]
-            keep = np.nonzero(marked(held.value, token.view(np.uint64)))[0]
-            own = pa.array(owner[keep])
+            keep = marked(held.value, token.view(np.uint64))
+            left = np.bincount(owner[keep], minlength=batch.num_rows)
+            least = np.array([votes_asked(-(-percent * n // 100), percent) for n in sizes.tolist()], np.int64)
+            stays = left >= least
+            keep &= stays[owner]
+            ends = pa.array(np.concatenate([[0], np.cumsum(left[stays])]).astype(np.int32))
+            some = pa.array(np.nonzero(stays)[0])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(token[keep]), pa.array(hot[keep], pa.bool_()), batch.column("grp").take(own),
-                 batch.column("size").take(own), pa.array(pos[keep].astype(np.int32))],
-                names=["token", "hot", "grp", "size", "pos"],
+                [batch.column("gid").take(some), batch.column("size").take(some),
+                 *[pa.ListArray.from_arrays(ends, pa.array(x[keep])) for x in (token, *flat)]],
+                names=["gid", "size", "prefix", "hot", "pos"],
             )
 
-    index = groups.select("grp", "size", "prefix", "hot").mapInArrow(
-        run, "token long, hot boolean, grp binary, size long, pos int"
-    ).withColumn(
-        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64("grp"), F.lit(SALTS)).cast("int")).otherwise(0)
+    schema = "gid long, size long, prefix array<long>, hot array<boolean>, pos array<int>"
+    return materialize(rows.mapInArrow(run, schema), "pruned")
+
+
+def postings(groups: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, salt, rows, gid, size, pos) of the prefix shingles that several groups share.
+
+    ``groups`` has gid, size, prefix and hot.  Groups that share too few shingles for any
+    link are left out, PRUNE_ROUNDS times, before lists are made.  The list of a frequent
+    shingle is dealt over SALTS.
+    """
+    place = F.sequence(F.lit(0), F.size("prefix") - 1)
+    rows = groups.select("gid", "size", "prefix", "hot", place.alias("pos"))
+    for turn in range(PRUNE_ROUNDS):
+        fewer = _pruned(rows, percent)
+        if turn:
+            discard(rows)
+        rows = fewer
+    index = rows.select("gid", "size", F.explode(F.arrays_zip("prefix", "hot", "pos")).alias("at")).select(
+        F.col("at.prefix").alias("token"), "gid", "size", "at.pos",
+        F.when(F.col("at.hot"), F.pmod(F.xxhash64("gid"), F.lit(SALTS)).cast("int")).otherwise(0).alias("salt"),
     )
-    spread = shared.select("token", "rows", F.explode(_salts(F.col("hot"))).alias("salt"))
-    met = materialize(index.drop("hot").join(spread, ["token", "salt"]), "postings")
-    discard(shared)
+    spread = _shared(rows).select("token", "rows", F.explode(_salts(F.col("hot"))).alias("salt"))
+    met = materialize(index.join(spread, ["token", "salt"]), "postings")
+    discard(rows)
     return met
 
 
@@ -276,15 +300,15 @@ def _sizes_agree(one: Column, other: Column, percent: int) -> Column:
 
 
 def star_pairs(met: DataFrame, classes: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
-    """(grp, leader): the group that most of a group's shingles name first among like sizes.
+    """(gid, leader): the group that most of a group's shingles name first among like sizes.
 
     Where fewer shingles name it than links share there is no leader.
 
-    ``classes`` has grp, least and most: the smallest and largest class of its members.
+    ``classes`` has gid, least and most: the smallest and largest class of its members.
     """
     step = F.floor(F.log("size") / F.lit(log(100 / percent)) + F.lit(turn / STAR_ROUNDS))
-    rows = met.join(classes, "grp").withColumn("step", step)
-    order = F.struct(F.xxhash64("grp", F.lit(turn)), "grp", "size", "least", "most")
+    rows = met.join(classes, "gid").withColumn("step", step)
+    order = F.struct(F.xxhash64("gid", F.lit(turn)), "gid", "size", "least", "most")
     leaders = rows.groupBy("token", "step").agg(
         F.min(order).alias("first"), F.min("least").alias("from"), F.max("most").alias("to"),
         F.max("salt").alias("salts"),
@@ -293,14 +317,14 @@ def star_pairs(met: DataFrame, classes: DataFrame, turn: int, percent: int = PER
         "token", "step", "first", F.explode(_salts(F.col("salts") > 0)).alias("salt")
     )
     asked = rows.join(spread, ["token", "step", "salt"]).filter(
-        (F.col("grp") != F.col("first.grp"))
+        (F.col("gid") != F.col("first.gid"))
         & _sizes_agree(F.col("size"), F.col("first.size"), percent)
         & _may_differ("least", "most", "first.least", "first.most")
     )
-    votes = asked.groupBy("grp", F.col("first.grp").alias("leader")).agg(
+    votes = asked.groupBy("gid", F.col("first.gid").alias("leader")).agg(
         F.count(F.lit(1)).alias("votes"), F.max(_votes(F.col("size"), F.col("first.size"), percent)).alias("need")
     ).filter("votes >= need")
-    return votes.groupBy("grp").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader"))
+    return votes.groupBy("gid").agg(F.max_by("leader", F.struct("votes", "leader")).alias("leader"))
 
 
 def _may_differ(least: str, most: str, other_least: str, other_most: str) -> Column:
@@ -310,7 +334,7 @@ def _may_differ(least: str, most: str, other_least: str, other_most: str) -> Col
 
 def group_pairs(met: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(one, other): pairs of groups of different classes that may hold linked members."""
-    rows = met.drop("salt").join(classes, "grp")
+    rows = met.drop("salt").join(classes, "gid")
     open_tokens = rows.groupBy("token").agg(
         F.min("least").alias("from"), F.max("most").alias("to")
     ).filter(F.col("from") < F.col("to")).select("token")
@@ -318,10 +342,10 @@ def group_pairs(met: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
     rows = materialize(
         rows.join(open_tokens, "token", "left_semi").withColumn("blocks", blocks), "open"
     )
-    left = rows.withColumn("block", F.pmod(F.xxhash64("grp"), F.col("blocks")))
+    left = rows.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")))
     right = rows.select(
         "token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        *[F.col(c).alias(f"_{c}") for c in ("grp", "size", "pos", "least", "most")],
+        *[F.col(c).alias(f"_{c}") for c in ("gid", "size", "pos", "least", "most")],
     )
     need = F.ceil(F.lit(percent) * (F.col("size") + F.col("_size")) / F.lit(100 + percent) - F.lit(1e-6))
     # Of the shingles before this one at most the shorter run is shared.
@@ -329,10 +353,10 @@ def group_pairs(met: DataFrame, classes: DataFrame, percent: int = PERCENT) -> D
         F.col("size") - F.col("pos") - 1, F.col("_size") - F.col("_pos") - 1
     )
     met_pairs = left.join(right, ["token", "block"]).filter(
-        (F.col("grp") < F.col("_grp")) & _sizes_agree(F.col("size"), F.col("_size"), percent)
+        (F.col("gid") < F.col("_gid")) & _sizes_agree(F.col("size"), F.col("_size"), percent)
         & (most >= need) & _may_differ("least", "most", "_least", "_most")
     )
-    votes = met_pairs.groupBy(F.col("grp").alias("one"), F.col("_grp").alias("other")).agg(
+    votes = met_pairs.groupBy(F.col("gid").alias("one"), F.col("_gid").alias("other")).agg(
         F.count(F.lit(1)).alias("votes"), F.max(_votes(F.col("size"), F.col("_size"), percent)).alias("asked")
     )
     return votes.filter("votes >= asked").select("one", "other")
@@ -385,31 +409,31 @@ def node_links(
     groups = materialize(members.groupBy("grp").agg(
         F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"),
         F.count(F.lit(1)).alias("n"), F.min("node").alias("first"),
-    ), "groups")
+    ).withColumn("gid", F.monotonically_increasing_id()), "groups")
     met = postings(groups, percent)
-    crowds = groups.select("grp", "n", "first")
-    in_play = met.select("grp").unionByName(crowds.filter("n > 1").select("grp")).distinct()
-    kept = materialize(members.select("node", "grp").join(in_play, "grp", "left_semi"), "members")
+    crowded = groups.filter("n > 1").select("gid", F.col("first").alias("a"))
+    in_play = met.select("gid").unionByName(crowded.select("gid")).distinct()
+    named = groups.select("grp", "gid", "first").join(in_play, "gid", "left_semi")
+    kept = materialize(members.select("node", "grp").join(named, "grp").select("node", "gid", "first"), "members")
     discard(members)
 
     links = None
     for turn in range(STAR_ROUNDS):
         named, classes = _classes(kept, links)
-        led = star_pairs(met, classes, turn, percent).join(
-            crowds.select(F.col("grp").alias("leader"), F.col("first").alias("a")), "leader"
-        ).select("grp", "a")
+        firsts = kept.select(F.col("gid").alias("leader"), F.col("first").alias("a")).distinct()
+        led = star_pairs(met, classes, turn, percent).join(firsts, "leader").select("gid", "a")
         if turn == 0:
-            led = led.unionByName(crowds.filter("n > 1").select("grp", F.col("first").alias("a")))
-        pairs = led.join(kept, "grp").select("a", F.col("node").alias("b"))
+            led = led.unionByName(crowded)
+        pairs = led.join(kept, "gid").select("a", F.col("node").alias("b"))
         found = compared(pairs, nodes, docs, shingle_words, percent)
         links = found if links is None else materialize(links.unionByName(found), "links")
 
     named, classes = _classes(kept, links)
     across = group_pairs(met, classes, percent)
     within = classes.filter(F.col("least") < F.col("most")).select(
-        F.col("grp").alias("one"), F.col("grp").alias("other"))
-    left = named.select(F.col("grp").alias("one"), F.col("node").alias("a"), F.col("class").alias("ca"))
-    right = named.select(F.col("grp").alias("other"), F.col("node").alias("b"), F.col("class").alias("cb"))
+        F.col("gid").alias("one"), F.col("gid").alias("other"))
+    left = named.select(F.col("gid").alias("one"), F.col("node").alias("a"), F.col("class").alias("ca"))
+    right = named.select(F.col("gid").alias("other"), F.col("node").alias("b"), F.col("class").alias("cb"))
     pairs = across.unionByName(within).join(left, "one").join(right, "other").filter(
         (F.col("ca") != F.col("cb")) & ((F.col("one") != F.col("other")) | (F.col("a") < F.col("b")))
     ).select("a", "b")
@@ -426,10 +450,10 @@ def _classes(members: DataFrame, links: DataFrame | None) -> tuple[DataFrame, Da
     else:
         roots = components(links).withColumnRenamed("node", "_node")
         named = members.join(roots, members["node"] == roots["_node"], "left").select(
-            "node", "grp", F.coalesce("root", "node").alias("class")
+            "node", "gid", F.coalesce("root", "node").alias("class")
         )
     named = materialize(named, "classes")
-    return named, named.groupBy("grp").agg(F.min("class").alias("least"), F.max("class").alias("most"))
+    return named, named.groupBy("gid").agg(F.min("class").alias("least"), F.max("class").alias("most"))
 
 
 def similar_documents(
