@@ -27,7 +27,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,7 @@ WIDTHS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 
 MAGIC = b"GS8B"
 BLOCK_IDS = 256
+# Words of a memo's generation; two generations are held.
 MEMO_ENTRIES = 300_000
 
 FILE_SCHEMA = (
@@ -54,13 +55,16 @@ FILE_SCHEMA = (
 
 def encode_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     """Pack unsigned 64-bit ids; greedy within each block, all blocks side by side."""
-    ids = np.ascontiguousarray(ids, dtype=np.uint64)
+    ids = np.ascontiguousarray(ids)
+    # Ids of common tokenizers fit 16 bits; they are moved about at that width.
+    small = not ids.size or int(ids.max()) < len(_SMALL_BITS)
+    kind = np.uint16 if small else np.uint64
     n = len(ids)
     blocks = -(-n // block_ids)
     row = block_ids + int(COUNTS.max())
-    grid = np.zeros((blocks, row), np.uint64)
+    grid = np.zeros((blocks, row), kind)
     bits = np.zeros((blocks, row), np.uint8)
-    fill = np.zeros(blocks * block_ids, np.uint64)
+    fill = np.zeros(blocks * block_ids, kind)
     fill[:n] = ids
     grid[:, :block_ids] = fill.reshape(blocks, block_ids)
     bits[:, :block_ids] = _bit_length(grid[:, :block_ids])
@@ -90,13 +94,16 @@ def encode_ids(ids: np.ndarray, block_ids: int = BLOCK_IDS) -> bytes:
     place = offsets[owner] + rank
     flat = grid.reshape(-1)
     first = owner * row + first
-    escapes = flat[first[chosen == 0]]
+    escapes = flat[first[chosen == 0]].astype(np.uint64)
     words[place[chosen == 0]] = np.arange(len(escapes), dtype=np.uint64)
     for s in range(1, len(COUNTS)):
-        mine = chosen == s
-        packed = np.full(np.count_nonzero(mine), s, np.uint64) << np.uint64(60)
+        mine = np.nonzero(chosen == s)[0]
+        if not len(mine):
+            continue
+        begin = first[mine]
+        packed = np.full(len(mine), s, np.uint64) << np.uint64(60)
         for lane in range(COUNTS[s] if WIDTHS[s] else 0):
-            packed |= flat[first[mine] + lane] << np.uint64(lane * WIDTHS[s])
+            packed |= flat[begin + lane].astype(np.uint64) << np.uint64(lane * WIDTHS[s])
         words[place[mine]] = packed
     head = MAGIC + np.array([block_ids], "<u4").tobytes()
     head += np.array([n, len(words), len(escapes)], "<u8").tobytes()
@@ -141,8 +148,8 @@ _SMALL_BITS = np.array([x.bit_length() for x in range(1 << 16)], np.uint8)
 
 
 def _bit_length(values: np.ndarray) -> np.ndarray:
-    if not values.size or values.max() < len(_SMALL_BITS):
-        return _SMALL_BITS[values.astype(np.uint16)]
+    if values.dtype == np.uint16:
+        return _SMALL_BITS[values]
     width = np.zeros(values.shape, np.uint8)
     rest = values.copy()
     for step in (48, 32, 16):
@@ -154,9 +161,14 @@ def _bit_length(values: np.ndarray) -> np.ndarray:
 
 def _widest_word(bits: np.ndarray, block_ids: int) -> np.ndarray:
     """Selector that packs the most ids from each position on."""
-    selector = np.where(bits[:, :block_ids] > 60, 0, 1)
+    widest = int(bits.max(initial=0))
+    # The narrowest word that takes every id; without escapes no wider one is of use.
+    start = max(int(np.count_nonzero(WIDTHS[1:] >= widest)), 1)
+    selector = np.where(bits[:, :block_ids] > 60, np.int8(0), np.int8(start if widest <= 60 else 1))
     span, most = 1, bits
-    for s in range(2, len(COUNTS)):
+    for s in range(start + 1 if widest <= 60 else 2, len(COUNTS)):
+        if most.size and most.min() > WIDTHS[s]:
+            break
         count = int(COUNTS[s])
         while span * 2 <= count:
             most = np.maximum(most[:, : most.shape[1] - span], most[:, span:])
@@ -166,14 +178,29 @@ def _widest_word(bits: np.ndarray, block_ids: int) -> np.ndarray:
     return selector
 
 
+class _Memo(dict):
+    """Ids by word; a word that is not held is encoded when it is asked for."""
+
+    def __init__(self, encoded: Callable[[str], bytes]):
+        super().__init__()
+        self.encoded = encoded
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = self.encoded(word)
+        return ids
+
+
 class Encoder:
-    """Ids of whole texts by a ``tokenizers`` file; each distinct word is encoded once.
+    """Ids of whole texts by a ``tokenizers`` file; a distinct word is encoded once while it is held.
 
     The tokenizer drops white space and never joins across it, so the ids of a text
     are those of its words in order.  A word of printable ASCII and Latin-1 letters needs
     no normalising beyond lower case, and its pieces go straight to the library's model;
     any other word takes the whole of the library's path.  Ids are held as little-endian
     32-bit integers, so a text is a join of byte strings.
+
+    Words are held in two generations.  When the younger is full the older is dropped, so
+    a word stays as long as it keeps coming, and memory is bounded.
     """
 
     # The file's own splitting rule for such words, in lower case.
@@ -188,34 +215,32 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.octets = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words = _Memo(self._encoded)
+        self.older: dict[str, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        for memo in (self.words, self.pieces):
-            if len(memo) > MEMO_ENTRIES:
-                memo.clear()
-        split = [None if self.ODD.search(t) else t.split() for t in texts]
-        self._learn({w for ws in split if ws for w in ws} - self.words.keys())
-        known = self.words.__getitem__
+        if len(self.words) > MEMO_ENTRIES:
+            self.older, self.words = self.words, _Memo(self._encoded)
+        known, odd = self.words.__getitem__, self.ODD.search
         return [
-            self._whole([t])[0] if ws is None else b"".join(map(known, ws))
-            for t, ws in zip(texts, split)
+            self._whole([t])[0] if odd(t) else b"".join(map(known, t.split())) for t in texts
         ]
 
-    def _learn(self, new: set[str]) -> None:
-        other = []
-        plain, pieces, known = self.PLAIN.fullmatch, self.PIECES.findall, self.pieces
-        for word in new:
-            if plain(word) and "<|" not in word:
-                self.words[word] = b"".join(
-                    [known.get(p) or self._piece(p) for p in pieces(word.lower())]
-                )
-            else:
-                other.append(word)
-        if other:
-            self.words.update(zip(other, self._whole(other)))
+    def _encoded(self, word: str) -> bytes:
+        """Ids of a word that the younger generation does not hold."""
+        if (ids := self.older.get(word)) is not None:
+            return ids
+        if word.isascii() and word.isalpha():
+            lower = word.lower()
+            return self._piece(word) if lower == word else self.words[lower]
+        if self.PLAIN.fullmatch(word) and "<|" not in word:
+            pieces = self.PIECES.findall(word.lower())
+            # A lone piece is a lower-case word like any other.
+            if len(pieces) == 1:
+                return self._piece(pieces[0]) if pieces[0] == word else self.words[pieces[0]]
+            return b"".join(map(self.words.__getitem__, pieces))
+        return self._whole([word])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -223,9 +248,7 @@ class Encoder:
 
     def _piece(self, piece: str) -> bytes:
         octets = piece if piece.isascii() else self.octets.pre_tokenize_str(piece)[0][0]
-        ids = array("I", [t.id for t in self.model.tokenize(octets)]).tobytes()
-        self.pieces[piece] = ids
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(octets)]).tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
