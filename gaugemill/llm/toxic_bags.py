@@ -1,9 +1,13 @@
 """Toxicity by multiple-instance learning: a document is a bag of sentences.
 
 A sentence's probability is a logistic function of its words and their beginnings; a
-document's is the noisy-or of its sentences: 1 - product of (1 - p).  Only documents carry labels, yet training
-through the noisy-or teaches which sentences, and which words, make a document toxic; so
-the fitted model also points at the offending sentences.
+document's is the noisy-or of its sentences: 1 - product of (1 - p).  Only documents carry
+labels, yet training through the noisy-or teaches which sentences, and which words, make a
+document toxic; so the fitted model also points at the offending sentences.
+
+A long text is not toxic by its length: a sentence without a word of the model has
+probability 0, in training as in scoring, and sentences below QUIET count together as the
+likeliest of them, so no number of them adds up.
 
 The model is fitted on the driver to a sample of labelled documents: those of the
 TRAIN_DOCS labels first in hash order, without texts of more than TRAIN_CHARS code points.
@@ -13,7 +17,7 @@ its whole text, where it lies: one pass, no shuffle.
 
 Defined results: a null or empty text has no sentence, so its score is 0; several labels
 of one document count as toxic if one of them says so, null labels say nothing; without
-any usable label all scores are those of an untrained model (its bias alone); repeated
+any usable label all scores are 0; repeated
 rows are scored alike; other columns are ignored; an empty table gives no rows.
 """
 
@@ -39,6 +43,7 @@ MIN_DOCS = 4
 FEATURES = 4096
 # Beginnings of longer words are features too: inflected forms share them.
 STEMS = (5, 4)
+QUIET = 0.5
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"[^\W\d_]+")
@@ -73,12 +78,11 @@ class Model:
         """Noisy-or of all sentences, and the sentences with words of the model."""
         if not text:
             return 0.0, []
-        n = sum(1 for _ in SENTENCE.finditer(text))
         seen = self.weights.keys() & features(text)
         known = self.sentences(text) if seen else []
-        plain = 1 / (1 + math.exp(-self.bias))
-        clean = (n - len(known)) * math.log1p(-plain)
-        clean += sum(math.log1p(-min(p, 1 - 1e-12)) for _, _, p in known)
+        quiet = max((p for _, _, p in known if p < QUIET), default=0.0)
+        clean = math.log1p(-quiet)
+        clean += sum(math.log1p(-min(p, 1 - 1e-12)) for _, _, p in known if p >= QUIET)
         return 1 - math.exp(clean), known
 
 
@@ -113,6 +117,8 @@ def train(bags: list[tuple[str, int]], min_docs: int = MIN_DOCS, rounds: int = 2
     for d, (text, _) in enumerate(bags):
         for s in SENTENCE.findall(text):
             ids = sorted(number[w] for w in features(s) & chosen)
+            if not ids:
+                continue
             words.extend(ids)
             sentence_of.extend([len(doc_of)] * len(ids))
             doc_of.append(d)
