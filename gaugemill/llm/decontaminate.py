@@ -6,9 +6,11 @@ window of all its words if it has fewer.  A task turns a document's words into t
 numbers of the benchmark's vocabulary, rolls a hash over them, probes the set and then
 compares the words themselves, so a hash alone never makes a hit.
 
-The set is broadcast in blocks of at most SET_BYTES of item text: a larger benchmark
-takes several passes over the documents, each with a set of bounded size, and the hits
-of a document are put together afterwards.  No item is left out.
+The set is broadcast in blocks of at most SET_BYTES of item text, as arrays: about 30 bytes
+a window and a dictionary of the distinct words.  A larger benchmark takes several passes over
+the unchanged documents, one set at a time, and what all sets hit in a document is put
+together before anything is decided or cut.  No item is left out, and results do not depend
+on the blocks.
 
 Defined results: a null text has no words; wordless items have no windows; an item with
 a null id hits but is not listed; repeated items and rows are kept as they are, an item
@@ -17,7 +19,7 @@ id is listed once; other columns are ignored; an empty benchmark hits nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -42,35 +44,48 @@ def fold_words(text: str | None) -> list[bytes]:
 
 
 class WindowSet:
-    """Windows of a block of items, by width; probed with the words of a text."""
+    """Windows of a block of items, by width; probed with the words of a text.
 
-    def __init__(self, items: list[tuple[int | None, str | None]], window: int = WINDOW):
-        owners: dict[tuple[bytes, ...], set[int]] = {}
+    Items are one array of word numbers.  A window is a place in it; the places of one width
+    are sorted by the hash of their words, and equal windows of several items stand together.
+    """
+
+    def __init__(self, items: Iterable[tuple[int | None, str | None]], window: int = WINDOW):
+        self.number: dict[bytes, int] = {}
+        ids: list[int | None] = []
+        lengths: list[int] = []
+        parts = []
         for item_id, text in items:
             words = fold_words(text)
-            width = min(window, len(words))
-            for i in range(len(words) - width + 1 if width else 0):
-                found = owners.setdefault(tuple(words[i : i + width]), set())
-                if item_id is not None:
-                    found.add(item_id)
-        self.owners = {w: tuple(sorted(ids)) for w, ids in owners.items()}
-        vocabulary = sorted({word for w in owners for word in w})
-        self.number = {word: n + 1 for n, word in enumerate(vocabulary)}
-        self.filters: dict[int, np.ndarray] = {}
-        for width in sorted({len(w) for w in owners}):
-            rows = [[self.number[x] for x in w] for w in owners if len(w) == width]
+            if words:
+                ids.append(item_id)
+                lengths.append(len(words))
+                parts.append(np.array(
+                    [self.number.setdefault(w, len(self.number) + 1) for w in words], np.uint32))
+        self.ids = ids
+        self.words = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+        self.ends = np.cumsum(np.array(lengths, np.int64))
+        length = np.array(lengths, np.int64)
+        width_of = np.minimum(window, length)
+        self.widths: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for width in np.unique(width_of).tolist():
+            mine = np.nonzero(width_of == width)[0]
+            count = length[mine] - width + 1
+            first = np.repeat((self.ends - length)[mine], count)
+            place = first + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            hashes = self._rolled(self.words.astype(np.uint64), width)[place]
+            order = np.argsort(hashes, kind="stable")
             slots = np.zeros(1 << FILTER_BITS, bool)
-            slots[self._slots(np.array(rows, np.uint64).reshape(-1), width, step=width)] = True
-            self.filters[width] = slots
+            slots[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            self.widths[width] = (slots, hashes[order], place[order].astype(np.int32))
 
     @staticmethod
-    def _slots(numbers: np.ndarray, width: int, step: int = 1) -> np.ndarray:
+    def _rolled(numbers: np.ndarray, width: int) -> np.ndarray:
+        """Hash of the ``width`` numbers from every place on."""
         rolled = np.zeros(max(0, len(numbers) - width + 1), np.uint64)
         for k in range(width):
             rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + numbers[k : k + len(rolled)]
-        rolled = rolled[::step]
-        rolled = (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (rolled >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        return (rolled ^ (rolled >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
 
     def probe(self, words: list[bytes]) -> tuple[np.ndarray, set[int]]:
         """Which words lie inside an occurring window, and the items that own these windows."""
@@ -78,20 +93,28 @@ class WindowSet:
         items: set[int] = set()
         known = self.number.get
         numbers = np.array([known(w, 0) for w in words], np.uint64)
-        for width, slots in self.filters.items():
+        outside = np.concatenate([[0], np.cumsum(numbers == 0)])
+        for width, (slots, hashes, places) in self.widths.items():
             if len(words) < width:
                 continue
             # A window with a word outside the vocabulary can't occur.
-            outside = np.concatenate([[0], np.cumsum(numbers == 0)])
             maybe = np.nonzero(outside[width:] == outside[:-width])[0]
-            if len(maybe):
-                maybe = maybe[slots[self._slots(numbers, width)[maybe]]]
-            for i in maybe.tolist():
-                own = self.owners.get(tuple(words[i : i + width]))
-                if own is not None:
+            if not len(maybe):
+                continue
+            asked = self._rolled(numbers, width)[maybe]
+            fit = slots[(asked >> np.uint64(64 - FILTER_BITS)).astype(np.int64)]
+            maybe, asked = maybe[fit], asked[fit]
+            low, high = (np.searchsorted(hashes, asked, side) for side in ("left", "right"))
+            for i, a, b in zip(maybe.tolist(), low.tolist(), high.tolist()):
+                if a == b:
+                    continue
+                at = places[a:b].astype(np.int64)
+                same = (self.words[at[:, None] + np.arange(width)] == numbers[i : i + width]).all(axis=1)
+                if same.any():
                     hit[i] += 1
                     hit[i + width] -= 1
-                    items.update(own)
+                    own = np.unique(np.searchsorted(self.ends, at[same], "right")).tolist()
+                    items.update(self.ids[n] for n in own if self.ids[n] is not None)
         return np.cumsum(hit)[:-1] > 0, items
 
 
@@ -125,7 +148,7 @@ def item_blocks(benchmark: DataFrame, set_bytes: int = SET_BYTES) -> list[DataFr
 
 
 def _window_set(block: DataFrame, window: int):
-    items = [(r[0], r[1]) for r in block.toLocalIterator()]
+    items = ((r[0], r[1]) for r in block.toLocalIterator())
     return block.sparkSession.sparkContext.broadcast(WindowSet(items, window))
 
 
@@ -199,73 +222,83 @@ def _folded(text: str):
 def _spans_of_blocks(narrow: DataFrame, blocks: list[DataFrame], window: int) -> DataFrame:
     """Hit word positions and items of each (doc_id, text) and block; documents without hits give no row."""
     keyed = narrow.select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("_key"))
-    parts = [
-        materialize(
-            _scan(
-                keyed, "hits array<long>, items array<long>",
-                lambda words, hit, items: (np.nonzero(hit)[0].tolist(), sorted(items)),
-                [_window_set(block, window)],
-            ).drop("text").filter(F.size("hits") > 0).distinct(),
-            "hits",
+    parts = []
+    for block in blocks:
+        one = _window_set(block, window)
+        found = _scan(
+            keyed, "hits array<long>, items array<long>",
+            lambda words, hit, items: (np.nonzero(hit)[0].tolist(), sorted(items)), [one],
         )
-        for block in blocks
-    ]
+        parts.append(materialize(found.drop("text").filter(F.size("hits") > 0).distinct(), "hits"))
+        one.destroy()
     return reduce(DataFrame.unionByName, parts)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                      max_share: float = 0.0, set_bytes: int = SET_BYTES) -> DataFrame:
-    """The rows of ``docs`` of which at most ``max_share`` of the words are hit."""
-    sets = [_window_set(b, window) for b in item_blocks(benchmark, set_bytes)]
-    out = docs
-    for one in sets:
-        out = _flagged(out, one, max_share)
-    return out
+def _with_hits(docs: DataFrame, blocks: list[DataFrame], window: int) -> DataFrame:
+    """``docs`` with ``_hits``: positions of the words that any block hits, null for none."""
+    doc, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    narrow = docs.select(doc.alias("doc_id"), text.alias("text"))
+    merged = _spans_of_blocks(narrow, blocks, window).groupBy(
+        F.col("doc_id").alias("_doc"), F.col("_key").alias("_text")
+    ).agg(F.array_distinct(F.flatten(F.collect_set("hits"))).alias("_hits"))
+    key = F.sha2(F.coalesce(text, F.lit("")), 256)
+    return docs.join(merged, doc.eqNullSafe(F.col("_doc")) & (key == F.col("_text")), "left").select(
+        *[F.col(f"`{c}`") for c in docs.columns], "_hits"
+    )
 
 
-def _flagged(docs: DataFrame, one, max_share: float) -> DataFrame:
-    schema = docs.schema
-    at = docs.columns.index("text")
+def _decided(docs: DataFrame, benchmark: DataFrame, window: int, set_bytes: int, whole: Callable) -> DataFrame:
+    """``docs`` after ``whole(texts, hits)`` has given (keep, text) of every row.
+
+    ``hits`` are the words of a text that any item's window covers.
+    """
+    schema, at = docs.schema, docs.columns.index("text")
+    blocks = item_blocks(benchmark, set_bytes)
+    one = _window_set(blocks[0], window) if len(blocks) == 1 else None
+    rows = docs if one else _with_hits(docs, blocks, window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrow_slices(batch.rename_columns([f"c{i}" for i in range(batch.num_columns)]), f"c{at}"):
-                keep = []
-                for text in part.column(at):
-                    words = fold_words(text.as_py())
-                    hit, _ = one.value.probe(words)
-                    keep.append(bool(hit.sum() <= max_share * len(words)))
-                kept = part.filter(pa.array(keep, pa.bool_()))
-                yield kept.rename_columns(schema.names)
+                keep, texts = [], []
+                given = [None] * part.num_rows if one else part.column(part.num_columns - 1).to_pylist()
+                for text, places in zip(part.column(at).to_pylist(), given):
+                    words = fold_words(text)
+                    if one:
+                        hit, _ = one.value.probe(words)
+                    else:
+                        hit = np.zeros(len(words), bool)
+                        hit[places or []] = True
+                    stays, text = whole(text, hit)
+                    keep.append(stays)
+                    texts.append(text)
+                columns = [pa.array(texts, pa.string()) if i == at else part.column(i)
+                           for i in range(len(schema.names))]
+                kept = pa.RecordBatch.from_arrays(columns, names=[f"c{i}" for i in range(len(columns))])
+                yield kept.filter(pa.array(keep, pa.bool_())).rename_columns(schema.names)
+
+    return rows.mapInArrow(run, schema)
 
-    return docs.mapInArrow(run, schema)
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+                      max_share: float = 0.0, set_bytes: int = SET_BYTES) -> DataFrame:
+    """The rows of ``docs`` of which at most ``max_share`` of the words are hit."""
+    return _decided(docs, benchmark, window, set_bytes,
+                    lambda text, hit: (bool(hit.sum() <= max_share * len(hit)), text))
 
 
 def masked_text(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 set_bytes: int = SET_BYTES) -> DataFrame:
     """``docs`` with the hit spans cut out of ``text``; a null text stays null."""
-    out = docs
-    for one in [_window_set(b, window) for b in item_blocks(benchmark, set_bytes)]:
-        schema = out.schema
-        at = out.columns.index("text")
-
-        def run(batches: Iterator[pa.RecordBatch], one=one, schema=schema, at=at):
-            for batch in batches:
-                texts = [None if t is None else cut_spans(t, one.value) for t in batch.column(at).to_pylist()]
-                columns = [pa.array(texts, pa.string()) if i == at else c
-                           for i, c in enumerate(batch.columns)]
-                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-        out = out.mapInArrow(run, schema)
-    return out
+    return _decided(docs, benchmark, window, set_bytes,
+                    lambda text, hit: (True, text if text is None else cut_spans(text, hit)))
 
 
-def cut_spans(text: str, windows: WindowSet) -> str:
+def cut_spans(text: str, hit: np.ndarray) -> str:
     """A text without its hit words and what stands between two of them."""
     raw = text.encode()
     folded = raw.translate(_FOLD)
     words = folded.split()
-    hit, _ = windows.probe(words)
     if not hit.any():
         return text
     kept, at, end = [], 0, 0
