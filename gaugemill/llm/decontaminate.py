@@ -241,10 +241,12 @@ def _with_hits(docs: DataFrame, blocks: list[DataFrame], window: int) -> DataFra
     merged = _spans_of_blocks(narrow, blocks, window).groupBy(
         F.col("doc_id").alias("_doc"), F.col("_key").alias("_text")
     ).agg(F.array_distinct(F.flatten(F.collect_set("hits"))).alias("_hits"))
-    key = F.sha2(F.coalesce(text, F.lit("")), 256)
-    return docs.join(merged, doc.eqNullSafe(F.col("_doc")) & (key == F.col("_text")), "left").select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_hits"
-    )
+    # Any name may be taken, so the columns go by their places.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    key = F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
+    same = doc.cast("long").eqNullSafe(F.col("_doc")) & (key == F.col("_text"))
+    return plain.join(merged, same, "left").select(*plain.columns, "_hits")
 
 
 def _decided(docs: DataFrame, benchmark: DataFrame, window: int, set_bytes: int, whole: Callable) -> DataFrame:
