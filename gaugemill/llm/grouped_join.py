@@ -289,10 +289,18 @@ def _salts(hot: Column) -> Column:
 
 
 def _votes(size: Column, other: Column, percent: int) -> Column:
-    """``votes_asked`` of the smaller of two sizes."""
-    least = F.least(size, other)
-    prefix = least - F.call_function("div", least * percent + 99, F.lit(100)) + 1
-    return F.call_function("div", prefix + 1, F.lit(2))
+    """Prefix shingles that two linked sets of these sizes share at least.
+
+    They share ``both`` or more in all, so a set of n misses at most n - both; of the two
+    prefixes the one that ends first in the common order has all but these in the other.
+    """
+    both = F.call_function("div", (size + other) * percent + (99 + percent), F.lit(100 + percent))
+
+    def held(n: Column) -> Column:
+        prefix = n - F.call_function("div", n * percent + 99, F.lit(100)) + 1
+        return prefix + F.call_function("div", prefix + 1, F.lit(2)) - 1 - n + both
+
+    return F.greatest(F.least(held(size), held(other)), F.lit(1))
 
 
 def _sizes_agree(one: Column, other: Column, percent: int) -> Column:
