@@ -155,18 +155,22 @@ def test_components(spark, monkeypatch, hot_rows, hot_entries, blocks):
     assert got == want
 
 
-def test_links_need_prefix_votes():
+def test_links_need_prefix_votes(spark):
     """Sets of every similarity from 0.8 up: those that link share the votes asked in their prefixes."""
-    rng = np.random.default_rng(1)
-    for size in [1, 2, 3, 9, 10, 11, 19, 57, 200]:
+    rng, cases = np.random.default_rng(1), []
+    for size in [1, 2, 3, 9, 10, 11, 19, 57, 200] * 9:
         for drop in range(0, size // 5 + 1):
             one = np.unique(rng.integers(0, 2**62, size, dtype=np.int64).astype(np.uint64))
             other = np.unique(np.concatenate([one[drop:], rng.integers(0, 2**62, drop // 2).astype(np.uint64)]))
             if not grouped_join.linked(one, other):
                 continue
             found = [grouped_join.prefix_of(x, len(x), one[:0], one[:0].astype(np.int64), 90)[0] for x in (one, other)]
-            asked = min(grouped_join.votes_asked(len(x)) for x in (one, other))
-            assert len(np.intersect1d(*found)) >= asked
+            shared = len(np.intersect1d(*found))
+            assert shared >= min(grouped_join.votes_asked(len(x)) for x in (one, other))
+            cases.append((len(one), len(other), shared))
+    sizes = spark.createDataFrame(cases, "a long, b long, shared long")
+    need = grouped_join._votes(F.col("a"), F.col("b"), 90)
+    assert len(cases) > 40 and sizes.filter(need > F.col("shared")).isEmpty()
 
 
 def test_awkward_documents(spark):
