@@ -160,6 +160,8 @@ class Tally:
 
     def add(self, hashes: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Count rows (n, width); yields (hashes, rows, counts) when there are too many."""
+        if not len(hashes):
+            return
         g, first, n = np.unique(hashes, return_index=True, return_counts=True)
         self.held.append((g, rows[first], n))
         self.rows += len(g)

@@ -231,9 +231,9 @@ def test_phrases(spark, monkeypatch, block, tally, memo):
     monkeypatch.setattr(phrase_trie, "BLOCK_PHRASES", block)
     monkeypatch.setattr(phrase_trie, "TALLY_ROWS", tally)
     monkeypatch.setattr(phrase_trie, "MEMO_WORDS", memo)
-    rows = corpus(random.Random(4), 120 if block > 7 else 40)
+    rows = corpus(random.Random(4), 120 if block > 7 else 60)
     df = spark.createDataFrame([(None, t, g, None, 0) for t, g in rows], COLUMNS).withColumn("l", F.lit(1)).repartition(3)
-    least = 3 if block > 7 else 6
+    least = 3 if block > 7 else 4
     got = sorted(tuple(r) for r in phrase_trie.collocations(df, min_count=least, top=40).collect())
     assert got == plain_phrases(rows, least, top=40) and got
 
