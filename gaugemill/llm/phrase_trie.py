@@ -26,7 +26,6 @@ Ties in rank go by the phrase's UTF-8 bytes, so a rerun agrees.  An empty table
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -42,10 +41,10 @@ TOP = 2000
 CONTAINED_PERCENT = 50
 NO_LANG = "und"
 
-BLOCK_PHRASES = 1 << 19
+BLOCK_PHRASES = 1 << 20
 TALLY_ROWS = 1 << 18
-MEMO_WORDS = 150_000
 WIDE_NODE = 24
+SLOT_BITS = 20
 
 # What ends a piece.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -56,42 +55,87 @@ _TABLE = bytes.maketrans(
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words of a text in order; BREAK stands between pieces and after the last."""
-    return text.encode().translate(_TABLE).replace(BREAK, b" ; ").split() + [BREAK]
-
-
-def hashed(word: bytes, seed: int) -> int:
-    """Non-zero 64-bit hash of a word or language; 0 stands for a break."""
-    from xxhash import xxh64_intdigest
-
-    return xxh64_intdigest(word, seed) or 1
-
-
-class Memo(dict):
-    """Numbers of words by ``number(word)``, forgotten when there are too many."""
+@dataclass
+class Words:
+    """Words of many texts in order; an entry without hash stands between pieces and texts."""
 
-    def __init__(self, number: Callable[[bytes], int], at_break: int):
-        super().__init__()
-        self.number, self.at_break = number, at_break
+    octets: bytes        # the folded texts, each with BREAK behind it
+    hashes: np.ndarray   # of every word; 0 for a break
+    starts: np.ndarray   # where every word lies in ``octets``
+    ends: np.ndarray
+    langs: np.ndarray    # hash of its text's language
+    names: list[str]     # language of every text
+    text: np.ndarray     # number of its text
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = self.at_break if word == BREAK else self.number(word)
-        return value
 
-    def numbers(self, words: list[bytes], dtype) -> np.ndarray:
-        if len(self) > MEMO_WORDS:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), dtype, len(words))
+class Hasher:
+    """64-bit hashes of all words of a buffer at once.
 
+    A word's hash is a polynomial of its octets' random values, taken from running sums by
+    the inverse power of its place, so no word is looked at on its own.
+    """
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, list[str]]]:
-    """(words of many texts, number of words of each text, language of each text)."""
+    def __init__(self, seed: int):
+        draw = np.random.default_rng([13, seed])
+        self.value = draw.integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
+        self.factor = int(draw.integers(1, 2**62)) * 2 + 1
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _grown(self, n: int) -> None:
+        if len(self.powers) < n:
+            def run(factor: int) -> np.ndarray:
+                steps = np.full(n, factor % 2**64, np.uint64)
+                steps[0] = 1
+                return np.cumprod(steps)
+
+            self.powers, self.inverse = run(self.factor), run(pow(self.factor, -1, 2**64))
+
+    def hashes(self, octets: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        self._grown(len(octets) + 1)
+        sums = np.zeros(len(octets) + 1, np.uint64)
+        values = self.value[np.frombuffer(octets, np.uint8)]
+        values *= self.powers[: len(octets)]
+        np.cumsum(values, out=sums[1:])
+        found = mixed((sums[ends] - sums[starts]) * self.inverse[starts])
+        found[found == 0] = 1
+        return found
+
+    def of(self, name: str) -> int:
+        octets = b"\x00" + name.encode()
+        return int(self.hashes(octets, np.array([0]), np.array([len(octets)]))[0])
+
+    def words(self, texts: list[str], names: list[str]) -> Words:
+        parts = [t.encode() for t in texts]
+        octets = (BREAK.join(parts) + BREAK).translate(_TABLE)
+        view = np.frombuffer(octets, np.uint8)
+        ends_piece = view == BREAK[0]
+        inside = ~(ends_piece | (view == 32) | (view == 9))
+        # The last octet is a break, so every word ends before it.
+        starts = np.nonzero(inside & ~np.concatenate([[False], inside[:-1]]))[0]
+        ends = np.nonzero(inside[:-1] & ~inside[1:])[0] + 1
+        piece = np.cumsum(ends_piece, dtype=np.int32)[starts]
+        rank = np.cumsum(np.concatenate([[0], np.diff(piece) > 0])[: len(starts)])
+        place = np.arange(len(starts)) + rank
+        n = int(place[-1]) + 2 if len(place) else 0
+        last = np.cumsum([len(x) + 1 for x in parts])
+        text_of = np.searchsorted(last, starts, "right")
+        own = {x: self.of(x) for x in set(names)}
+        lang_of = np.array([own[x] for x in names], np.uint64)
+
+        def spread(values: np.ndarray) -> np.ndarray:
+            out = np.zeros(n, values.dtype)
+            out[place] = values
+            return out
+
+        return Words(octets, spread(self.hashes(octets, starts, ends)), spread(starts), spread(ends),
+                     spread(lang_of[text_of]), names, spread(text_of))
+
+
+def slices(batches: Iterator[pa.RecordBatch], hasher: Hasher) -> Iterator[Words]:
+    """Words of texts in bounded slices."""
     for batch in batches:
         for part in arrow_slices(batch, "text"):
-            each = [tokens(t) for t in part.column("text").to_pylist()]
-            yield ([w for ws in each for w in ws], np.fromiter(map(len, each), np.int64, len(each)),
-                   part.column("lang").to_pylist())
+            yield hasher.words(part.column("text").to_pylist(), part.column("lang").to_pylist())
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -113,29 +157,33 @@ def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     """(lang, word, l, h, n) of all words; l and h are the hashes of lang and word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, Counter] = {}
-
-        def told() -> Iterator[pa.RecordBatch]:
-            for lang, counts in found.items():
-                counts.pop(BREAK, None)
-                words = list(counts)
-                own = np.full(len(words), hashed(lang.encode(), seed), np.uint64)
-                each = np.fromiter((hashed(w, seed) for w in words), np.uint64, len(words))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(words), pa.string()), pa.array(words, pa.binary()).cast(pa.string()),
-                     _long(own), _long(each), pa.array(list(counts.values()), pa.int64())],
-                    names=["lang", "word", "l", "h", "n"],
-                )
+        # By the hash of language and word: language, word, both hashes, count.
+        found: dict[int, list] = {}
+
+        def told() -> pa.RecordBatch:
+            lang, word, own, each, n = zip(*found.values())
             found.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()),
+                 _long(np.array(own, np.uint64)), _long(np.array(each, np.uint64)), pa.array(n, pa.int64())],
+                names=["lang", "word", "l", "h", "n"],
+            )
 
-        for words, sizes, langs in slices(batches):
-            start = 0
-            for size, lang in zip(sizes.tolist(), langs):
-                found.setdefault(lang, Counter()).update(words[start : start + size])
-                start += size
-            if sum(map(len, found.values())) > TALLY_ROWS:
-                yield from told()
-        yield from told()
+        for words in slices(batches, Hasher(seed)):
+            some = np.nonzero(words.hashes)[0]
+            keys, first, n = np.unique(
+                longer(words.langs[some], words.hashes[some]), return_index=True, return_counts=True)
+            at = some[first]
+            columns = [x[at].tolist() for x in (words.text, words.starts, words.ends, words.langs, words.hashes)]
+            for key, count, text, a, b, own, each in zip(keys.tolist(), n.tolist(), *columns):
+                if (entry := found.get(key)) is None:
+                    found[key] = [words.names[text], words.octets[a:b], own, each, count]
+                else:
+                    entry[4] += count
+            if len(found) > TALLY_ROWS:
+                yield told()
+        if found:
+            yield told()
 
     counted = docs.mapInArrow(run, "lang string, word string, l long, h long, n long")
     return counted.groupBy("lang", "word").agg(
@@ -186,18 +234,13 @@ class Tally:
 class Level:
     """Occurrences of phrases of k words whose parts are frequent by a bitmap of hashes."""
 
-    def __init__(self, bits: np.ndarray, k: int, seed: int):
-        self.bits, self.k, self.seed = bits, k, seed
-        self.memo = Memo(lambda word: hashed(word, seed), 0)
-        self.own: dict[str, int] = {}
+    def __init__(self, bits: np.ndarray, k: int):
+        self.bits, self.k = bits, k
 
-    def occurrences(self, words, sizes, langs) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
+    def occurrences(self, words: Words) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:
         """Hashes of all occurrences in a slice, and a function from some of them to their rows."""
         k = self.k
-        h = self.memo.numbers(words, np.uint64)
-        for x in set(langs) - self.own.keys():
-            self.own[x] = hashed(x.encode(), self.seed)
-        lang = np.repeat(np.array([self.own[x] for x in langs], np.uint64), sizes)
+        h, lang = words.hashes, words.langs
         part = longer(lang, h)
         for step in range(1, k - 1):
             part = longer(part[:-1], h[step:])
@@ -227,7 +270,7 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
     kind = np.dtype([("low", "<u2"), ("n", "<u1" if min_count < 256 else "<u4")])
 
     def tallied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, tally = Level(held.value, k, seed), Tally(0)
+        level, tally = Level(held.value, k), Tally(0)
 
         def packed(at, _, n) -> pa.RecordBatch:
             entries = np.empty(len(at), kind)
@@ -241,8 +284,8 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
             )
             return pa.RecordBatch.from_arrays([pa.array(chunk[first]), body], names=["chunk", "entries"])
 
-        for part in slices(batches):
-            at = _buckets(level.occurrences(*part)[0], width)
+        for words in slices(batches, Hasher(seed)):
+            at = _buckets(level.occurrences(words)[0], width)
             for found in tally.add(at, np.zeros((len(at), 0), np.uint64)):
                 yield packed(*found)
         for found in tally.flush():
@@ -287,7 +330,7 @@ def next_level(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, buckets = held.value
-        level, tally = Level(parts, k, seed), Tally(k + 1)
+        level, tally = Level(parts, k), Tally(k + 1)
 
         def batch_of(g, rows, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -295,8 +338,8 @@ def next_level(
                 names=[*names, "g", "n"],
             )
 
-        for part in slices(batches):
-            g, rows = level.occurrences(*part)
+        for words in slices(batches, Hasher(seed)):
+            g, rows = level.occurrences(words)
             some = np.nonzero(marked(buckets, mixed(_buckets(g, width))))[0]
             for found in tally.add(g[some], rows(some)):
                 yield batch_of(*found)
@@ -316,7 +359,9 @@ class Trie:
     ``base[s] + d`` if ``check`` of that slot is ``s``.
     """
 
-    hashes: np.ndarray   # ascending hashes of all symbols
+    hashes: np.ndarray   # ascending hashes of all symbols, the largest value last
+    starts: np.ndarray   # place of the first hash of every slot of upper bits
+    longest: int         # hashes to look at in a slot, the next one's first included
     numbers: np.ndarray  # their numbers, the commonest first
     base: np.ndarray
     check: np.ndarray
@@ -355,12 +400,26 @@ class Trie:
         base[place[1:]] = base_of[1:]
         check[place[child]] = place[parent]
         value[place[node]] = np.arange(len(rows))
-        return Trie(hashes, numbers, base, check, value, len(rows))
-
-    def symbol(self, h: int) -> int:
-        """Number of a hash, -1 if no phrase has it."""
-        at = int(np.searchsorted(self.hashes, np.uint64(h)))
-        return int(self.numbers[at]) if at < len(self.hashes) and self.hashes[at] == np.uint64(h) else -1
+        most = np.iinfo(np.uint64).max
+        upper = (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        starts = np.searchsorted(upper, np.arange(1 << SLOT_BITS)).astype(np.int32)
+        longest = int(np.bincount(upper, minlength=1).max(initial=0)) + 1
+        return Trie(np.append(hashes, most), starts, longest, np.append(numbers, -1).astype(np.int32),
+                    base, check, value, len(rows))
+
+    def symbols(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of hashes, -1 for those (and breaks) that no phrase has."""
+        bits = np.uint64(64 - SLOT_BITS)
+        low = self.starts[(hashes >> bits).astype(np.int64)]
+        out = np.full(len(hashes), -1, np.int32)
+        todo = np.arange(len(hashes))
+        for _ in range(self.longest):
+            same = self.hashes[low] == hashes[todo]
+            out[todo[same]] = self.numbers[low[same]]
+            go = ~same & (self.hashes[low] < hashes[todo])
+            todo, low = todo[go], low[go] + 1
+        out[hashes == 0] = -1
+        return out
 
     def advance(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """States one symbol further, all at once."""
@@ -397,7 +456,7 @@ def _placed(parent: np.ndarray, digit: np.ndarray, nodes: int) -> tuple[np.ndarr
     base = np.full(nodes, -1, np.int64)
     wide = owner[width > WIDE_NODE]
     # Slots 0 and 1 are the dead state and the root; the last 256 slots stay empty.
-    room = 256 * (len(wide) + 1) + 4 * len(parent) + 1024
+    room = 256 * (len(wide) + 1) + 3 * len(parent) + 1024
     taken = np.zeros(room + 256, bool)
     taken[:2] = True
     base[wide] = 256 * (1 + np.arange(len(wide)))
@@ -449,16 +508,11 @@ def counted(docs: DataFrame, candidates: DataFrame, words: int, seed: int) -> Da
 def _block_counts(docs: DataFrame, held, words: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, ids = held.value
-        memo = Memo(lambda word: trie.symbol(hashed(word, seed)), -1)
-        roots: dict[str, int] = {}
         total = np.zeros(trie.phrases, np.int64)
-        for each, sizes, langs in slices(batches):
-            symbols = memo.numbers(each, np.int64)
-            for x in set(langs) - roots.keys():
-                own = np.array([trie.symbol(hashed(x.encode(), seed))])
-                roots[x] = int(trie.advance(np.ones(1, np.int64), own)[0])
-            starts = np.repeat(np.array([roots[x] for x in langs], np.int64), sizes)
-            total += trie.counts(symbols, starts, words)
+        for each in slices(batches, Hasher(seed)):
+            own, text_of = np.unique(each.langs, return_inverse=True)
+            roots = trie.advance(np.ones(len(own), np.int64), trie.symbols(own))
+            total += trie.counts(trie.symbols(each.hashes), roots[text_of], words)
         some = np.nonzero(total)[0]
         for i in range(0, len(some), 1 << 16):
             part = some[i : i + (1 << 16)]
