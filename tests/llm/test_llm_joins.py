@@ -226,11 +226,9 @@ def corpus(rng, docs=120):
     return rows
 
 
-@pytest.mark.parametrize("block, tally, memo", [(1 << 19, 1 << 18, 150_000), (7, 10, 3)])
-def test_phrases(spark, monkeypatch, block, tally, memo):
+@pytest.mark.parametrize("block", [1 << 20, 7])
+def test_phrases(spark, monkeypatch, block):
     monkeypatch.setattr(phrase_trie, "BLOCK_PHRASES", block)
-    monkeypatch.setattr(phrase_trie, "TALLY_ROWS", tally)
-    monkeypatch.setattr(phrase_trie, "MEMO_WORDS", memo)
     rows = corpus(random.Random(4), 120 if block > 7 else 60)
     df = spark.createDataFrame([(None, t, g, None, 0) for t, g in rows], COLUMNS).withColumn("l", F.lit(1)).repartition(3)
     least = 3 if block > 7 else 4
@@ -254,8 +252,10 @@ def test_trie_counts_every_phrase():
     # no two edges share a slot
     assert (trie.check >= 0).sum() == len(np.unique(np.nonzero(trie.check >= 0)[0]))
     words = alphabet[rng.zipf(1.3, 5000) % 700]
-    symbols = np.array([trie.symbol(int(w)) if i % 50 else -1 for i, w in enumerate(words)])
-    root = trie.advance(np.ones(1, np.int64), np.array([trie.symbol(7)]))
+    absent = np.uint64(2**64 - 5)
+    assert trie.symbols(np.array([0, absent, rows[0, 1]], np.uint64)).tolist()[:2] == [-1, -1]
+    symbols = trie.symbols(np.where(np.arange(5000) % 50, words, 0).astype(np.uint64))
+    root = trie.advance(np.ones(1, np.int64), trie.symbols(np.array([7], np.uint64)))
     found = trie.counts(symbols, np.repeat(root, len(symbols)), 3)
     want = collections.Counter(
         tuple(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1)
@@ -264,6 +264,38 @@ def test_trie_counts_every_phrase():
         p: n for p, n in want.items() if p in phrases}
 
 
+def test_words_and_their_hashes(monkeypatch):
+    """Hashes go by the word alone, whatever stands around it and however texts are sliced."""
+    rng = random.Random(9)
+    rows = [(t or "", g or "und") for t, g in corpus(rng, 200)] + [(";;", "en"), ("", "de"), ("end", "en")]
+    found = phrase_trie.Hasher(0).words([t for t, _ in rows], [g for _, g in rows])
+    want, at = [], 0
+    for text, _ in rows:
+        for piece in re.split("[.,;:!?\x0A-\x0D]", text.lower() if text.isascii() else re.sub("[A-Z]", lambda m: m[0].lower(), text)):
+            if words := re.findall("[^\x20\x09]+", piece):
+                want += [w.encode() for w in words] + [None]
+    got = [found.octets[a:b] if h else None for h, a, b in zip(found.hashes.tolist(), found.starts, found.ends)]
+    assert got == want
+    by_word = collections.defaultdict(set)
+    for word, h in zip(got, found.hashes.tolist()):
+        by_word[word].add(h)
+    assert all(len(v) == 1 for v in by_word.values()) and len(set.union(*by_word.values())) == len(by_word)
+    alone = phrase_trie.Hasher(0).words(["x York"], ["en"])
+    assert alone.hashes[1] in by_word[b"york"] and phrase_trie.Hasher(1).words(["york"], ["en"]).hashes[0] not in by_word[b"york"]
+    # counts across tally limits
+    tally = phrase_trie.Tally(1)
+    monkeypatch.setattr(phrase_trie, "TALLY_ROWS", 5)
+    out = collections.Counter()
+    for _ in range(30):
+        h = np.array([rng.randrange(12) for _ in range(9)], np.uint64)
+        for g, r, n in tally.add(h, h[:, None]):
+            assert (g == r[:, 0]).all()
+            out.update(dict(zip(g.tolist(), n.tolist())))
+    for g, _, n in tally.flush():
+        out.update(dict(zip(g.tolist(), n.tolist())))
+    assert sum(out.values()) == 270
+
+
 def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 99_999_999_999_999, 100_000_000_000_000, 299_999_999_999_999
     df = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
