@@ -161,6 +161,7 @@ def load(
     values (``read_rejected_values``).
     """
     settle(spark, raw_path)
+    settle_folds(spark, rollup_path)
     contracts.require(spark.read.parquet(raw_path).drop(store.DAY), schemas.OBSERVATION_RAW)
     label = store.load_label(as_of)
     taken = _taken(spark, raw_path, rollup_path, as_of, label, start)
@@ -179,8 +180,9 @@ def load(
     book = Ledger(spark, rollup_path)
     if (entry := book.find(f"load-{label}")) is None:
         entry = book.plan(f"load-{label}", first, good.count(), lowest)
-    store.write_load(state.rollup_ids(good, first), rollup_path, as_of)
-    book.finish(entry)
+    if not entry.done:  # a load that is done may have been folded since
+        store.write_load(state.rollup_ids(good, first), rollup_path, as_of)
+        book.finish(entry)
     mark(spark, raw_path, taken)
     _record_load(spark, rollup_path, as_of)
     return spark.read.schema(REJECTED_AVERAGES).parquet(
@@ -262,6 +264,7 @@ def fold_acks(spark: SparkSession, rollup_path: str) -> None:
     Only loads that hold newly acknowledged rows are rewritten, then the notes that were
     read are removed.  In between a row is acknowledged twice, which is no different.
     """
+    settle_folds(spark, rollup_path)
     notes = folders(spark, store.acks_path(rollup_path))
     if not notes:
         return
@@ -280,6 +283,95 @@ def fold_acks(spark: SparkSession, rollup_path: str) -> None:
     discard(acked)
 
 
+FOLDED = "folded"
+
+
+def fold_loads(spark: SparkSession, rollup_path: str, before: date | None = None) -> None:
+    """Merge the load folders of each day (of days before ``before``) into one, sorted by time.
+
+    The merged rows are staged and planned before the first folder is replaced, so a fold
+    that dies is finished by the next job.  A load that is repeated after it was folded is
+    known by its ledger entry and written no more.
+    """
+    settle_folds(spark, rollup_path)
+    days = []
+    for folder in folders(spark, rollup_path):
+        day = date.fromisoformat(folder.rsplit("=", 1)[1])
+        if (before is None or day < before) and len(folders(spark, folder)) > 1:
+            days.append(day)
+    if not days:
+        return
+    rows = store.read_rollup(spark, rollup_path, with_acks=False).filter(F.col(store.DAY).isin(days))
+    work = _folding(rollup_path)
+    rows.withColumn(store.LOAD, F.lit(FOLDED)).write.mode("overwrite").parquet(f"{work}/rows")
+    plan = spark.createDataFrame([(d,) for d in days], f"{store.DAY} date").coalesce(1)
+    plan.write.mode("overwrite").parquet(f"{work}/plan")
+    settle_folds(spark, rollup_path)
+
+
+def _folding(rollup_path: str) -> str:
+    return f"{rollup_path}_jobs/folding"
+
+
+def settle_folds(spark: SparkSession, rollup_path: str) -> None:
+    """Put a planned fold's rows in the place of the folders they come from."""
+    work = _folding(rollup_path)
+    plan = ledger.stored(spark, f"{work}/plan", f"{store.DAY} date")
+    days = [] if plan is None else [r[0] for r in plan.collect()]  # one row per calendar day
+    if days:
+        schema = store.stored_schema(schemas.OBSERVATION).add(store.LOAD, "string")
+        store.overwrite_loads(spark.read.schema(schema).parquet(f"{work}/rows"), rollup_path)
+        for day in days:
+            for folder in folders(spark, f"{rollup_path}/{store.DAY}={day.isoformat()}"):
+                if not folder.endswith(f"={FOLDED}"):
+                    remove_folder(spark, folder)
+        remove_folder(spark, f"{work}/plan")
+        remove_folder(spark, f"{work}/rows")
+
+
+GENERATION = "number int"
+
+
+def current_rollup(spark: SparkSession, root: str) -> str:
+    """Path of the rollup generation that is in use; generation 0 before any reprocessing."""
+    pointers = ledger.stored(spark, f"{root}/pointers/*", GENERATION)
+    number = 0 if pointers is None else pointers.agg(F.coalesce(F.max("number"), F.lit(0))).first()[0]
+    return f"{root}/generation-{number}"
+
+
+def reprocess_in_place(spark: SparkSession, raw_path: str, root: str, models: DataFrame, as_of: datetime) -> str:
+    """Every closed minute again, flags or not, into a new generation; its path.
+
+    The raw table is read where it lies and nothing of it is copied or reset.  The pointer
+    is set once the new generation is complete; until then readers see the old one.  Rows of
+    closed minutes that no load had taken yet are flagged afterwards, as a load does.
+    """
+    settle(spark, raw_path)
+    number = int(current_rollup(spark, root).rsplit("-", 1)[1]) + 1
+    path = f"{root}/generation-{number}"
+    remove_folder(spark, path)  # of a run that died before it set the pointer
+    remove_folder(spark, f"{path}_jobs")
+    label = store.load_label(as_of)
+    high = spark.createDataFrame([(Ledger(spark, raw_path).high_water(),)], SNAPSHOT)
+    high.coalesce(1).write.mode("overwrite").parquet(f"{path}_jobs/snapshots/load_at={label}")
+    raw = store.scan_raw(spark, raw_path, before=as_of)
+    closed = gates.closed_minutes(raw, as_of)
+    new = closed.filter("not imported").select("id", F.col(store.DAY).alias("obs_day"))
+    taken = materialize(new, "reprocess_taken")
+    averages = materialize(state.closed_averages(state.reset_imported(closed), models, as_of), "averages")
+    good, bad = state.split_averages(averages)
+    bad.write.mode("overwrite").parquet(f"{path}_jobs/rejected_averages/load_at={label}")
+    store.write_load(state.rollup_ids(good, 0), path, as_of)
+    book = Ledger(spark, path)
+    book.finish(book.plan(f"load-{label}", 0, good.count(), None))
+    _record_load(spark, path, as_of)
+    pointer = spark.createDataFrame([(number,)], GENERATION).coalesce(1)
+    pointer.write.mode("overwrite").parquet(f"{root}/pointers/{number}")
+    if not taken.isEmpty():
+        mark(spark, raw_path, taken)
+    return path
+
+
 def expire(
     spark: SparkSession, raw_path: str, as_of: datetime, hours: int = RETENTION_HOURS
 ) -> None:

@@ -617,6 +617,14 @@ def oracle_sql() -> dict[str, str]:
     sql["schema_backfill"] = with_("receipts") + """SELECT DISTINCT end_15min, '' AS sensor_name,
         CAST(1 AS INTEGER) AS sensor_id FROM receipts"""
 
+    sql["upsert_stored"] = sql["upsert_minutes"]
+    sql["upsert_stored_nullsafe"] = sql["upsert_minutes_nullsafe"]
+    sql["reprocess_generation"] = sql["reprocess_all"]
+    sql["schema_versions"] = with_("receipts") + """
+        SELECT end_15min, '' AS sensor_name, CAST(NULL AS VARCHAR) AS node_unique_id, CAST(1 AS INTEGER) AS sensor_id
+        FROM receipts UNION ALL SELECT end_15min, sensor_name, NULL, 1 FROM receipts
+        UNION ALL SELECT end_15min, sensor_name, node_unique_id, 2 FROM receipts"""
+
     # data quality
     def dup(table: str, keys: str, source: str | None = None) -> str:
         present = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(","))
@@ -726,6 +734,7 @@ def oracle_sql() -> dict[str, str]:
                 WHEN behind THEN 'pending' WHEN refused THEN 'fatal' ELSE 'acked' END AS last_outcome,
             digit IN (0, 1, 2, 3, 4, 9) OR digit IN (5, 8) AND NOT behind AND NOT refused AS imported
         FROM seen"""
+    sql["load_folded"] = f"SELECT * EXCLUDE (id) FROM ({sql['append_minute_rollup']})"
     sql["load_repeat"] = sql["append_minute_rollup"]
     sql["expire_in_place"] = sql["retention_keep"]
     # Over deliveries in any order: the same, by the exact time of the latest reading.

@@ -19,7 +19,9 @@ from gaugemill.operators import (
 from gaugemill.operators.numbering import block_columns, number_rows
 from gaugemill.plans import delivery, jobs
 from gaugemill.session import configure, materialize, scratch_path
-from gaugemill.sources import contracts, dimensions, generators, lines, observations, testbed
+from gaugemill.sources import (
+    contracts, dimensions, generators, lines, minutes, observations, testbed, versions,
+)
 from gaugemill.sources.testbed import AS_OF
 from gaugemill.streaming import count_window, late, runner, tumbling
 
@@ -767,6 +769,48 @@ def _(spark, d):
     return state.upsert(*_two_loads(spark, d), keyed_ops.MINUTE_KEY, null_safe=True)
 
 
+def _upserted(spark, d, null_safe: bool) -> DataFrame:
+    """The stored fact after two loads, the second of which touches few of its folders."""
+    path = scratch_path(spark, "minute-fact")
+    for rows in _two_loads(spark, d):
+        minutes.upsert_fact(rows, path, null_safe)
+    return minutes.read_fact(spark, path)
+
+
+@query("upsert_stored")
+def _(spark, d):
+    return _upserted(spark, d, null_safe=False)
+
+
+@query("upsert_stored_nullsafe")
+def _(spark, d):
+    return _upserted(spark, d, null_safe=True)
+
+
+@query("load_folded")
+def _(spark, d):
+    """The stored rollup after two loads, their folding, and the first load again."""
+    raw_path, rollup_path = scratch_path(spark, "fold-raw"), scratch_path(spark, "fold-rollup")
+    observations.append_by_day(testbed.raw(spark, d), raw_path)
+    times = [AS_OF - timedelta(hours=2), AS_OF]
+    for as_of in times:
+        jobs.load(spark, raw_path, rollup_path, _models(spark), as_of)
+    jobs.fold_loads(spark, rollup_path)
+    jobs.load(spark, raw_path, rollup_path, _models(spark), times[0])
+    return observations.read_rollup(spark, rollup_path).drop("load_at", "id")
+
+
+@query("reprocess_generation")
+def _(spark, d):
+    """The current generation after everything was reprocessed, flags or not."""
+    raw_path, root = scratch_path(spark, "again-raw"), scratch_path(spark, "again-rollup")
+    observations.append_by_day(testbed.raw(spark, d), raw_path)
+    jobs.load(spark, raw_path, jobs.current_rollup(spark, root), _models(spark), AS_OF)
+    jobs.reprocess_in_place(spark, raw_path, root, _models(spark), AS_OF)
+    rows = observations.read_rollup(spark, jobs.current_rollup(spark, root))
+    return rows.select("observe_date", "node_model_id", "sensor_value", "node_unique_id")
+
+
 @query("load_repeat")
 def _(spark, d):
     """The stored rollup after a load that was run twice."""
@@ -872,6 +916,24 @@ def _(spark, d):
     return state.drop_columns(constant, "node_unique_id").distinct()
 
 
+RECEIPT_COLUMNS = [
+    versions.Evolved("end_15min", "timestamp"),
+    versions.Evolved("sensor_name", "string", since=2, default=""),
+    versions.Evolved("node_unique_id", "string", since=3),
+    versions.Evolved("sensor_id", "int", since=3, default=1),
+]
+
+
+@query("schema_versions")
+def _(spark, d):
+    """Receipts written under three versions of their schema, read under the last."""
+    path = scratch_path(spark, "receipts")
+    rows = _receipts(spark, d).withColumn("sensor_id", F.lit(2))
+    for version in (1, 2, 3):
+        versions.append_version(rows, path, RECEIPT_COLUMNS, version)
+    return versions.read_versions(spark, path, RECEIPT_COLUMNS, 3)
+
+
 # ---- data quality ------------------------------------------------------------------------------------------
 
 def _tables(spark, d, *names):

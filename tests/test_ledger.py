@@ -10,7 +10,7 @@ from gaugemill.operators import gates
 from gaugemill.plans import delivery, jobs
 from gaugemill.plans.ledger import Ledger
 from gaugemill.session import folders, scratch_path
-from gaugemill.sources import dimensions, observations, testbed
+from gaugemill.sources import dimensions, minutes, observations, testbed, versions
 from gaugemill.streaming import late
 
 AS_OF = datetime(2024, 1, 2, 12, 0, 30)
@@ -213,3 +213,83 @@ def test_a_sealed_log_reads_the_same(spark, sf_dir, monkeypatch):
     assert days and all(len(folders(spark, day)) == 1 for day in days)
     pruned = late.read_log(spark, log, since=date(2024, 1, 2), before=date(2024, 1, 3))
     assert plan_of(pruned).count("PartitionFilters: [isnotnull(obs_day") >= 2
+
+
+def test_folding_loads_keeps_rows_and_labels(spark, sf_dir, raw_path, rollup_path, models, monkeypatch):
+    observations.append_by_day(testbed.raw(spark, sf_dir), raw_path)
+    times = [testbed.AS_OF - timedelta(hours=2), testbed.AS_OF]
+    for as_of in times:
+        jobs.load(spark, raw_path, rollup_path, models, as_of)
+    acked = observations.read_rollup(spark, rollup_path).orderBy("id").limit(3)
+    jobs.acknowledge(spark, rollup_path, acked)
+
+    def shown():
+        return sorted(map(str, observations.read_rollup(spark, rollup_path).drop("load_at").collect()))
+
+    before = shown()
+    with monkeypatch.context() as patch:  # dies between the plan and the first folder
+        patch.setattr(observations, "overwrite_loads", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            jobs.fold_loads(spark, rollup_path)
+    assert shown() == before
+    jobs.load(spark, raw_path, rollup_path, models, times[0])  # finishes the fold, writes nothing again
+    for _ in range(2):
+        assert shown() == before
+        assert all(len(folders(spark, day)) == 1 for day in folders(spark, rollup_path))
+        jobs.fold_loads(spark, rollup_path)
+    jobs.fold_acks(spark, rollup_path)
+    assert shown() == before
+
+
+def test_reprocessing_copies_no_raw_row(spark, sf_dir, raw_path, models):
+    root = scratch_path(spark, "generations")
+    observations.append_by_day(testbed.raw(spark, sf_dir), raw_path)
+    first = jobs.current_rollup(spark, root)
+    jobs.load(spark, raw_path, first, models, testbed.AS_OF)
+    before = files(observations.scan_raw(spark, raw_path))
+    path = jobs.reprocess_in_place(spark, raw_path, root, models, testbed.AS_OF)
+    assert path == jobs.current_rollup(spark, root) != first
+    assert files(observations.scan_raw(spark, raw_path)) == before
+    # the next load goes on behind it, and takes nothing twice
+    jobs.load(spark, raw_path, path, models, testbed.AS_OF + timedelta(days=1))
+    rollup = observations.read_rollup(spark, path)
+    assert rollup.select("id").distinct().count() == rollup.count()
+    assert rollup.groupBy("observe_date", "node_model_id", "node_unique_id").count().filter("count > 1").isEmpty()
+
+
+def test_an_upsert_leaves_other_folders_alone(spark):
+    path = scratch_path(spark, "fact")
+    columns = ("calendar_id int, time_id int, timezone string, sensor_name string, "
+               "node_unique_id string, sensor_value double")
+
+    def table(*rows):
+        return spark.createDataFrame([(d, t, "UTC", s, n, v) for d, t, s, n, v in rows], columns)
+
+    minutes.upsert_fact(table((1, 0, "a", "x", 1.0), (1, 0, "b", "x", 1.0), (2, 0, "a", "x", 1.0), (2, 0, "a", None, 1.0)), path)
+    before = {(r.calendar_id, r.sensor_name): files(minutes.read_fact(spark, path).filter(
+        (F.col("calendar_id") == r.calendar_id) & (F.col("sensor_name") == r.sensor_name)))
+        for r in minutes.read_fact(spark, path).collect()}
+    for _ in range(2):
+        minutes.upsert_fact(table((1, 0, "a", "x", 5.0), (1, 1, "a", "x", 6.0)), path, null_safe=True)
+    fact = minutes.read_fact(spark, path)
+    assert sorted((r.calendar_id, r.time_id, r.sensor_name, float(r.sensor_value)) for r in fact.collect()) == [
+        (1, 0, "a", 5.0), (1, 0, "b", 1.0), (1, 1, "a", 6.0), (2, 0, "a", 1.0), (2, 0, "a", 1.0)]
+    for key in ((1, "b"), (2, "a")):
+        assert files(fact.filter((F.col("calendar_id") == key[0]) & (F.col("sensor_name") == key[1]))) == before[key]
+    # a NULL part of the key matches only where it may
+    minutes.upsert_fact(table((2, 0, "a", None, 7.0)), path, null_safe=True)
+    assert minutes.read_fact(spark, path).count() == 5
+    minutes.upsert_fact(table((2, 0, "a", None, 8.0)), path)
+    assert minutes.read_fact(spark, path).count() == 6
+
+
+def test_stored_nulls_are_no_defaults(spark):
+    path = scratch_path(spark, "versions")
+    columns = [versions.Evolved("k", "int"), versions.Evolved("gone", "string", until=3),
+               versions.Evolved("s", "string", since=2, default="-")]
+    rows = spark.createDataFrame([(1, "g", None), (2, "h", "s")], "k int, gone string, s string")
+    for version in (1, 2, 3):
+        versions.append_version(rows, path, columns, version)
+    got = {v: sorted(map(str, map(tuple, versions.read_versions(spark, path, columns, v).collect()))) for v in (2, 3)}
+    assert got[3] == sorted(map(str, [(1, "-"), (2, "-"), (1, None), (2, "s"), (1, None), (2, "s")]))
+    assert sorted(versions.read_versions(spark, path, columns, 2).columns) == ["gone", "k", "s"]
