@@ -19,7 +19,10 @@ sets of distinct five-word shingle hashes have a Jaccard similarity of MIN_JACCA
   largest class is compared with all nodes of all parts, block against block in tasks of
   their own: what the shared nodes left apart is found there.
 
-Null and wordless texts are copies of each other.
+Defined results: null, empty and wordless texts are copies of each other; rows with a null
+``doc_id`` are linked like others but never name a group that has an id; one ``doc_id`` may stand
+on different texts, each of which is a row of its own; repeated rows count once; other columns are
+kept as they are, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -325,8 +328,12 @@ def alike_edges(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return near.unionByName(_compared(with_text(across)))
 
 
-def copy_groups(docs: DataFrame) -> DataFrame:
-    """(doc_id, component_id): the smallest doc_id among a row's copies and near copies."""
+def _roots(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Marked rows, and (node, root, least, doc_id, said) of every node.
+
+    ``least`` is the smallest doc_id of a node's rows; (doc_id, said) names the first of
+    them: by id, null ids last, then by the text's hash.
+    """
     marked = materialize(marks(docs), "marks")
     nodes = materialize(
         marked.groupBy("node").agg(
@@ -345,9 +352,14 @@ def copy_groups(docs: DataFrame) -> DataFrame:
     same = prints.join(named, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
     edges = close.unionByName(same).unionByName(alike_edges(nodes, docs))
     linked = components(edges.filter("a <> b").distinct()).withColumnRenamed("node", "_node")
-    roots = nodes.join(linked, nodes["node"] == linked["_node"], "left").select(
-        "node", "least", F.coalesce("root", "node").alias("root")
+    return marked, nodes.join(linked, nodes["node"] == linked["_node"], "left").select(
+        "node", F.coalesce("root", "node").alias("root"), "least", "doc_id", "said"
     )
+
+
+def copy_groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, component_id): the smallest doc_id among a row's copies and near copies."""
+    marked, roots = _roots(docs)
     names = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(roots.join(names, "root").select("node", "component_id"), "node").select(
         "doc_id", "component_id"
@@ -355,11 +367,21 @@ def copy_groups(docs: DataFrame) -> DataFrame:
 
 
 def first_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: the smallest doc_id of every group.
+    """The rows of ``docs`` that stay: the first of every group, by doc_id, then by its text's hash.
 
-    A group without any doc_id has nothing that could name a row; its rows stay.  Of
-    repeated rows with one doc_id a single one stays.
+    Null ids come last, so a row without an id stays only if its group has no id at all.
+    Different texts under one id are judged each on its own; of repeated rows one stays.
     """
-    keep = copy_groups(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    _, roots = _roots(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "said")).alias("row")
+    keep = roots.groupBy("root").agg(first).select(
+        F.col("row.doc_id").alias("_doc"), F.col("row.said").alias("_said")
+    )
+    # Any name may be taken, so the columns go by their places.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    keyed = plain.withColumns({"_key": doc.cast("long"), "_hash": F.xxhash64(text.cast("string"))})
+    stays = keyed.join(
+        keep, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_hash") == F.col("_said")), "left_semi"
+    )
+    return stays.dropDuplicates(["_key", "_hash"]).select(*plain.columns).toDF(*docs.columns)
