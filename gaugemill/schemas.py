@@ -70,14 +70,3 @@ DELIVERY_RESULTS = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("status_code", T.IntegerType(), True),
 ])
-
-STORED_TABLES = {
-    "lines": LINES,
-    "observation_raw": OBSERVATION_RAW,
-    "observation": OBSERVATION,
-    "node_model": NODE_MODEL,
-    "observation_v1": OBSERVATION_V1,
-    "observation_minute": OBSERVATION_MINUTE,
-    "receipts": RECEIPTS,
-    "delivery_results": DELIVERY_RESULTS,
-}
