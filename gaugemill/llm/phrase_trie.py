@@ -45,6 +45,7 @@ BLOCK_PHRASES = 1 << 20
 TALLY_ROWS = 1 << 18
 WIDE_NODE = 24
 SLOT_BITS = 20
+RANK_PARTS = 16
 
 # What ends a piece.
 ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -608,9 +609,13 @@ def collocations(
         F.min(F.struct("score", "k", "first_f", "rest_f")).alias("best")
     ).select("l", "key", "a", "best.score", "best.first_f", "best.rest_f")
 
-    # Phrases that may be among the first, ties included; only these are spelled out.
-    order = Window.partitionBy("l").orderBy(F.desc("score"), F.desc("a"))
-    near = materialize(best.withColumn("at", F.rank().over(order)).filter(F.col("at") <= top).drop("at"), "near")
+    # Phrases that may be among the first, ties included; only these are spelled out.  A
+    # language's phrases are first ranked in RANK_PARTS parts, so no task sorts them all.
+    near = best.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(RANK_PARTS)))
+    for keys in (["l", "part"], ["l"]):
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"))
+        near = near.withColumn("at", F.rank().over(order)).filter(F.col("at") <= top).drop("at")
+    near = materialize(near.drop("part"), "near")
     spelled = near.select("*", F.posexplode("key").alias("pos", "h")).join(
         words.select("l", "h", "word"), ["l", "h"]
     )
