@@ -293,10 +293,15 @@ def masked_text(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 set_bytes: int = SET_BYTES) -> DataFrame:
     """``docs`` with the hit spans cut out of ``text``; a null text stays null."""
     return _decided(docs, benchmark, window, set_bytes,
-                    lambda text, hit: (True, text if text is None else cut_spans(text, hit)))
+                    lambda text, hit: (True, text if text is None else cut_words(text, hit)))
 
 
-def cut_spans(text: str, hit: np.ndarray) -> str:
+def cut_spans(text: str, windows: WindowSet) -> str:
+    """A text without the words that ``windows`` hit and what stands between two of them."""
+    return cut_words(text, windows.probe(fold_words(text))[0])
+
+
+def cut_words(text: str, hit: np.ndarray) -> str:
     """A text without its hit words and what stands between two of them."""
     raw = text.encode()
     folded = raw.translate(_FOLD)
