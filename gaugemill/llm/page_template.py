@@ -1,22 +1,26 @@
 """Main text of web pages by equivalence classes of same-host tokens.
 
-1. *Tokens.*  A page is a sequence of tokens: structural tags and short texts, each with
-   the path of elements it stands in, so that equal strings in different places differ.
+1. *Tokens.*  A page is a sequence of tokens: structural tags and texts, each with the path
+   of elements it stands in, so that equal strings in different places differ.
 2. *Occurrence vectors.*  For every host and token, how often it occurs on each page.  A
    vector is never gathered: sums of hashes of (page, count) stand for it, which Spark
    adds up in parts, so a host with a third of all pages is no single task's work.
-3. *Classes.*  Tokens of a host with the same vector form an equivalence class.  Valid are
-   classes of at least MIN_TOKENS tokens on MIN_PAGES pages.  They nest: a class on fewer
-   pages lies between tokens of one on more.  The classes on more than half of the host's
-   pages are its page frame, the template.
-4. *Slots.*  What stands between template tokens is a slot.  Texts that are themselves
-   tokens of the template, the same on most pages, are no slots.  If the template has an
-   article or main element, the content slots are those inside it; otherwise all that
-   are not in an element that says it holds something else.
-
-A host with too few pages has no template; its pages are read by their own elements.
-What a page says of itself (nav, footer, forms, an element's class or role) is left out
-in either case; nothing inside an article is left out for being common.
+3. *Classes.*  Tokens of a host with the same vector form an equivalence class.  Those of
+   at least MIN_TOKENS tokens on MIN_PAGES pages and on more than half of the pages of the
+   host's largest class are candidates for the template.  Exact copies of a page count once.
+4. *Order and nesting.*  The largest class is the outer one; its elements cut a page into
+   gaps.  A token stays in the template if it first occurs in the same gap, behind the same
+   outer elements, of every page it is on: tokens of the outer class then follow each other
+   in one order, and those of a class on fewer pages are nested between two of them.
+5. *Slots.*  What stands between template tokens is a slot.  If the template has an article
+   or main element, the content slots of every page that has this element are those inside
+   it; otherwise, all that are not in an element that says it holds something else.  Texts
+   that are tokens of the template are no slots.  Only where they are more than half of an
+   article's texts they stay: such pages are near copies, not one template filled in several ways.
+
+A host with too few pages has no template; its pages, and pages without the element that
+holds their host's content, are read by their own elements.  What a page says of itself
+(nav, footer, forms, an element's class or role) is left out in either case.
 
 Defined results: a null html is empty and gives empty text; unclosed or stray tags, cut
 pages and bad references are read as browsers read them; a null url belongs to a host of
@@ -33,15 +37,14 @@ from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugemill.llm.common import arrow_slices, materialize
+from gaugemill.session import discard
 
 MIN_PAGES = 3
 MIN_TOKENS = 2
 FRAME_SHARE = 0.5
-# Longer texts are no template tokens: frames repeat labels and notices.
-LABEL_CHARS = 200
 # Templates of so many tokens in all are broadcast; each is a few numbers.
 BROADCAST_TOKENS = 500_000
 
@@ -67,6 +70,8 @@ OTHER = frozenset(
     "head nav header footer aside form noscript template button select option svg dialog menu search".split()
 )
 CONTENT = frozenset(("article", "main"))
+# Kinds of tokens: a text, an element, an article or main element.
+TEXT, ELEMENT, ROOT = range(3)
 OTHER_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|promos?|promotion|sponsor(?:ed|s)?|"
     r"cookies?|consent|gdpr|notice|notices|newsletter|subscribe|sidebar|menu|nav|navbar|navigation|"
@@ -85,21 +90,32 @@ _NAMING = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 
 @dataclass
 class Open:
-    """An open element: its path so far and what it says of its content."""
+    """An open element: its path so far, whether it says it holds other things, and the
+    paths of the article and main elements it stands in."""
 
     name: str
     path: int
     other: bool
-    content: bool
+    roots: tuple[int, ...]
 
 
 @dataclass
 class Page:
-    """Tokens by count, and blocks of text: (text, token, inside an article, elsewhere by its own words)."""
+    """Tokens by count, in the order they first occur, their kinds, and blocks of text:
+    (text, token, paths of the articles around it, elsewhere by its own words)."""
 
     tokens: Counter
-    blocks: list[tuple[str, int, bool, bool]]
-    has_content: bool
+    kinds: dict[int, int]
+    blocks: list[tuple[str, int, tuple[int, ...], bool]]
+    roots: set[int]
+
+
+@dataclass
+class Template:
+    """Tokens of a host's template, and those of them that are its content elements."""
+
+    tokens: frozenset[int] = frozenset()
+    content: frozenset[int] = frozenset()
 
 
 def _hash(text: str, path: int) -> int:
@@ -110,8 +126,8 @@ def _hash(text: str, path: int) -> int:
 
 def parse(html: str | None) -> Page:
     """One pass over a page; work is linear in its length."""
-    page = Page(Counter(), [], False)
-    stack = [Open("", 0, False, False)]
+    page = Page(Counter(), {}, [], set())
+    stack = [Open("", 0, False, ())]
     held: list[str] = []
     open_names: Counter[str] = Counter()
 
@@ -121,9 +137,8 @@ def parse(html: str | None) -> Page:
         if text:
             top = stack[-1]
             token = _hash(text, top.path)
-            page.blocks.append((text, token, top.content, top.other))
-            if len(text) <= LABEL_CHARS:
-                page.tokens[token] += 1
+            page.blocks.append((text, token, top.roots, top.other))
+            page.tokens[token] += 1
 
     def close(until: int) -> None:
         flush()
@@ -185,14 +200,17 @@ def parse(html: str | None) -> Page:
         if name in SAME_CLOSES:
             close_open(name, SAME_CLOSES[name])
         up = stack[-1]
-        here = Open(
-            name, _hash(f"<{name} {names}>", up.path), up.other or says_other,
-            up.content or name in CONTENT,
-        )
-        page.has_content |= name in CONTENT and not here.other
+        here = Open(name, _hash(f"<{name} {names}>", up.path), up.other or says_other, up.roots)
+        kind = ELEMENT
+        if name in CONTENT:
+            here.roots += (here.path,)
+            if not here.other:
+                kind = ROOT
+                page.roots.add(here.path)
         stack.append(here)
         open_names[name] += 1
         page.tokens[here.path] += 1
+        page.kinds[here.path] = kind
         if m[3].rstrip().endswith("/") and name == "svg":
             close(len(stack) - 1)
     flush()
@@ -212,85 +230,125 @@ def _numbered(pages: DataFrame) -> DataFrame:
     )
 
 
+def _signed(token: int) -> int:
+    return token - (1 << 64) if token >> 63 else token
+
+
 def token_counts(pages: DataFrame) -> DataFrame:
-    """(host, page, token, n): how often each token occurs on each page."""
+    """(host, page, token, n, kind, at): how often and where first a token occurs on a page."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in arrow_slices(batch, "html"):
-                hosts, ids, tokens, counts = [], [], [], []
+                columns = [[] for _ in range(6)]
+                hosts, ids, tokens, counts, kinds, places = columns
                 for site, page_id, html in zip(*(part.column(i).to_pylist() for i in range(3))):
-                    found = parse(html).tokens
+                    page = parse(html)
+                    found = page.tokens
                     hosts.extend([site] * len(found))
                     ids.extend([page_id] * len(found))
-                    tokens.extend(t - (1 << 64) if t >> 63 else t for t in found)
+                    tokens.extend(map(_signed, found))
                     counts.extend(found.values())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in (hosts, ids, tokens, counts)],
-                    names=["host", "page", "token", "n"],
-                )
+                    kinds.extend(page.kinds.get(t, TEXT) for t in found)
+                    places.extend(range(len(found)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
-    narrow = _numbered(pages).select("host", F.xxhash64("page_id", "url").alias("page"), "html")
-    return narrow.mapInArrow(run, "host long, page long, token long, n long")
+    names = ["host", "page", "token", "n", "kind", "at"]
+    # Copies of a page are one page: they tell nothing of what a template leaves open.
+    narrow = _numbered(pages).select("host", F.xxhash64("html").alias("page"), "html")
+    every = narrow.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return every.groupBy("host", "page", "token").agg(*[F.min(c).alias(c) for c in names[3:]])
 
 
 def equivalence_classes(counts: DataFrame) -> DataFrame:
-    """(host, token, pages, tokens): tokens with the pages and the size of their valid class."""
+    """(host, token, kind, pages, total, vector, tokens): tokens with their valid class and its size."""
     # Three order-free sums stand for a vector: two tokens share all three only if they
     # occur equally often on the same pages (or by a chance of about 2**-64).
     mark = F.xxhash64("page", "n")
     vectors = counts.groupBy("host", "token").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"),
+        F.max("kind").alias("kind"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"),
         F.bit_xor(mark).alias("vector"),
     ).filter(F.col("pages") >= MIN_PAGES)
     named = ["host", "pages", "total", "vector"]
     sizes = vectors.groupBy(*named).agg(F.count(F.lit(1)).alias("tokens"))
-    return vectors.join(sizes.filter(F.col("tokens") >= MIN_TOKENS), named).select(
-        "host", "token", "pages", "tokens"
-    )
+    return vectors.join(sizes.filter(F.col("tokens") >= MIN_TOKENS), named)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, frame): the tokens of each host's page frame, outermost classes first."""
-    counts = token_counts(pages)
-    classes = materialize(equivalence_classes(counts), "classes")
-    # A host's outermost class is on the most pages: there its frame is complete.
-    outer = classes.groupBy("host").agg(F.max("pages").alias("most"))
-    frame = classes.join(outer, "host").filter(F.col("pages") > FRAME_SHARE * F.col("most"))
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col("pages")).alias("rank"), "token")))
-    return frame.groupBy("host").agg(F.transform(ordered, lambda x: x["token"]).alias("frame"))
+def frames(classes: DataFrame) -> DataFrame:
+    """(host, token, kind, outer): tokens of the classes on most pages of each host; ``outer``
+    are elements of its largest class."""
+    key = F.struct("pages", "tokens", "total", "vector")
+    largest = classes.groupBy("host").agg(F.max(key).alias("largest"))
+    return classes.join(largest, "host").filter(
+        F.col("pages") > FRAME_SHARE * F.col("largest.pages")
+    ).select("host", "token", "kind", ((F.col("kind") > TEXT) & (key == F.col("largest"))).alias("outer"))
+
 
+def nested(counts: DataFrame, frame: DataFrame) -> DataFrame:
+    """(host, token, kind) of the tokens that lie in the same gap on all their pages.
 
-def slots(page: Page, frame: set[int]) -> list[str]:
+    A gap is named by the hashes of all outer elements before it, so what stands in an
+    element that moves about moves with it.  A page's tokens are one window.
+    """
+    before = Window.partitionBy("host", "page").orderBy("at").rowsBetween(
+        Window.unboundedPreceding, -1)
+    gap = F.bit_xor(F.when(F.col("outer"), F.xxhash64("token"))).over(before)
+    met = counts.select("host", "page", "token", "at").join(frame, ["host", "token"])
+    return met.withColumn("gap", F.coalesce(gap, F.lit(0))).groupBy("host", "token").agg(
+        F.max("kind").alias("kind"), (F.min("gap") == F.max("gap")).alias("one")
+    ).filter("one").drop("one")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, frame, content): the tokens of each host's template, and its content elements."""
+    counts = materialize(token_counts(pages), "tokens")
+    frame = materialize(frames(equivalence_classes(counts)), "frames")
+    side = F.broadcast(frame) if frame.count() <= BROADCAST_TOKENS else frame
+    known = materialize(nested(counts, side).groupBy("host").agg(
+        F.collect_list("token").alias("frame"),
+        F.collect_list(F.when(F.col("kind") == ROOT, F.col("token"))).alias("content"),
+    ), "templates")
+    discard(counts)
+    return known
+
+
+def slots(page: Page, template: Template) -> list[str]:
     """Texts of the content slots of a page, in order."""
-    if page.has_content:
-        return [text for text, _, inside, other in page.blocks if inside and not other]
-    return [text for text, token, _, other in page.blocks if not other and token not in frame]
+    if roots := template.content & page.roots:
+        inside = [(text, token) for text, token, around, other in page.blocks
+                  if not other and not roots.isdisjoint(around)]
+        own = [text for text, token in inside if token not in template.tokens]
+        whole = [text for text, _ in inside]
+        return own if 2 * len(own) >= len(whole) else whole
+    if page.roots:
+        return [text for text, _, around, other in page.blocks if around and not other]
+    return [text for text, token, _, other in page.blocks if not other and token not in template.tokens]
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
-    known = materialize(templates(pages), "templates")
+    known = templates(pages)
     size = known.agg(F.sum(F.size("frame"))).first()[0] or 0
     side = F.broadcast(known) if size <= BROADCAST_TOKENS else known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frames: dict[int, set[int]] = {}
+        held: dict[int, Template] = {}
         for batch in batches:
             for part in arrow_slices(batch, "html"):
                 texts = []
-                columns = (part.column(n).to_pylist() for n in ("host", "html", "frame"))
-                for site, html, frame in zip(*columns):
-                    if site not in frames:
-                        if len(frames) > 1000:
-                            frames.clear()
-                        frames[site] = {t & ((1 << 64) - 1) for t in frame or ()}
-                    texts.append("\n".join(slots(parse(html), frames[site])))
+                columns = (part.column(n).to_pylist() for n in ("host", "html", "frame", "content"))
+                for site, html, *sides in zip(*columns):
+                    if site not in held:
+                        if len(held) > 1000:
+                            held.clear()
+                        held[site] = Template(*(frozenset(t & ((1 << 64) - 1) for t in x or ()) for x in sides))
+                    texts.append("\n".join(slots(parse(html), held[site])))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
                      pa.array(map(len, texts), pa.int64())],
                     names=["page_id", "url", "text", "n_chars"],
                 )
 
-    joined = _numbered(pages).join(side, "host", "left").select("page_id", "url", "html", "host", "frame")
+    joined = _numbered(pages).join(side, "host", "left").select(
+        "page_id", "url", "html", "host", "frame", "content")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")

@@ -92,6 +92,31 @@ def test_op2_template_of_a_host_without_articles(spark):
     assert text[99] == "Our site\nOne page"
 
 
+def test_op2_template_decides_inside_articles(spark):
+    notice = "Please read our terms. " * 12
+    page = ("<body><div><p>Top</div><article><h1>Title {0}</h1><p>First text of number {0}.</p>"
+            "<p>" + notice + "</p><p>Last text of number {0}.</p><div>Write to us</div></article>"
+            "<div><p>Bottom</div></body>")
+    rows = [(n, f"https://a.example/{n}", page.format(f"{n}{n}")) for n in range(8)]
+    # Without the template's article, by its own elements; a text in changing places is no template.
+    rows.append((8, "https://a.example/8", "<body><main><p>Write to us</p><p>Other page</p></main></body>"))
+    moved = ("<body><i></i><article><h1>One {0}</h1><p>Moves</p><section>Text {0}</section></article></body>",
+             "<body><i></i><article><h1>One {0}</h1><section>Text {0}</section><p>Moves</p></article></body>")
+    rows += [(20 + n, f"https://b.example/{n}", moved[n % 2].format(n)) for n in range(6)]
+    # Near copies: what they share is their article.
+    copy = "<body><article><h1>Same head</h1><p>A long text that all of them have.</p><p>No {}</p></article></body>"
+    rows += [(30 + n, f"https://c.example/{n}", copy.format(n)) for n in range(5)]
+    found = page_template.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    text = {r["page_id"]: r["text"] for r in found.collect()}
+    for n in range(8):
+        assert text[n] == f"Title {n}{n}\nFirst text of number {n}{n}.\nLast text of number {n}{n}."
+    assert text[8] == "Write to us\nOther page"
+    for n in range(6):
+        parts = [f"Text {n}", "Moves"] if n % 2 else ["Moves", f"Text {n}"]
+        assert text[20 + n] == "\n".join([f"One {n}", *parts])
+    assert all(text[30 + n] == f"Same head\nA long text that all of them have.\nNo {n}" for n in range(5))
+
+
 def test_op3_coding():
     rng = np.random.default_rng(5)
     for ids in (
