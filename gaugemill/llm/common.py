@@ -56,13 +56,15 @@ def shipped(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     return run
 
 
-def arrow_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about SLICE_BYTES of ``column`` each, in order."""
+def arrow_slices(
+    batch: pa.RecordBatch, column: str, slice_bytes: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``slice_bytes`` of ``column`` each, in order."""
     texts = batch.column(batch.schema.get_field_index(column))
     start = held = 0
     for i, text in enumerate(texts):
         size = text.as_buffer().size if text.is_valid else 0
-        if held and held + size > SLICE_BYTES:
+        if held and held + size > slice_bytes:
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size

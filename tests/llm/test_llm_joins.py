@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,6 +265,14 @@ def test_trie_counts_every_phrase():
         p: n for p, n in want.items() if p in phrases}
 
 
+def test_texts_are_hashed_in_small_slices():
+    rows = [("word " * 50_000, "en")] * 12
+    batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["text", "lang"])
+    found = list(phrase_trie.slices(iter([batch]), phrase_trie.Hasher(0)))
+    assert max(len(x.octets) for x in found) < 1.3 * 2**20
+    assert sum(np.count_nonzero(x.hashes) for x in found) == 600_000
+
+
 def test_words_and_their_hashes(monkeypatch):
     """Hashes go by the word alone, whatever stands around it and however texts are sliced."""
     rng = random.Random(9)
