@@ -47,6 +47,7 @@ TALLY_ROWS = 1 << 18
 SLICE_BYTES = 1 << 20
 WIDE_NODE = 24
 SLOT_BITS = 20
+CHUNK_BITS = 8
 RANK_PARTS = 16
 
 # What ends a piece.
@@ -267,8 +268,12 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
     """Bitmap of the hash buckets (2**width of them) that occur min_count times in all texts.
 
     Tasks send counted buckets packed by their upper bits, three bytes each; counts beyond
-    min_count are of no interest.
+    min_count are of no interest.  A chunk has pages of 2**16 buckets: first how many entries
+    each page has, then the entries.  There are at most 2**CHUNK_BITS chunks, however many
+    buckets, so the rows that a task sends grow with its texts alone.
     """
+    low_bits = max(16, width - CHUNK_BITS)
+    pages = 1 << (low_bits - 16)
     held = docs.sparkSession.sparkContext.broadcast(bits)
     kind = np.dtype([("low", "<u2"), ("n", "<u1" if min_count < 256 else "<u4")])
 
@@ -279,13 +284,16 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
             entries = np.empty(len(at), kind)
             entries["low"] = at & np.uint64(0xFFFF)
             entries["n"] = np.minimum(n, min_count)
-            chunk = (at >> np.uint64(16)).astype(np.int64)
-            first = np.nonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))[0]
-            ends = np.append(first, len(at)) * kind.itemsize
-            body = pa.BinaryArray.from_buffers(
-                pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(entries.tobytes())]
-            )
-            return pa.RecordBatch.from_arrays([pa.array(chunk[first]), body], names=["chunk", "entries"])
+            page = (at >> np.uint64(16)).astype(np.int64)
+            chunk = page // pages
+            fresh = np.concatenate([[True], chunk[1:] != chunk[:-1]])
+            first = np.nonzero(fresh)[0]
+            place = (np.cumsum(fresh) - 1) * pages + page % pages
+            sizes = np.bincount(place, minlength=len(first) * pages).astype("<u4").reshape(-1, pages)
+            ends = np.append(first, len(at))
+            body = [sizes[i].tobytes() + entries[ends[i] : ends[i + 1]].tobytes() for i in range(len(first))]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(chunk[first]), pa.array(body, pa.binary())], names=["chunk", "entries"])
 
         for words in slices(batches, Hasher(seed)):
             at = _buckets(level.occurrences(words)[0], width)
@@ -295,10 +303,10 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
             yield packed(*found)
 
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, total = -1, np.zeros(1 << 16, np.int64)
+        name, total = -1, np.zeros(1 << low_bits, np.int64)
 
         def told() -> pa.RecordBatch:
-            common = np.nonzero(total >= min_count)[0].astype(np.uint64) + np.uint64(max(name, 0) << 16)
+            common = np.nonzero(total >= min_count)[0].astype(np.uint64) + np.uint64(max(name, 0) << low_bits)
             return pa.RecordBatch.from_arrays([_long(mixed(common))], names=["g"])
 
         for batch in batches:
@@ -307,8 +315,10 @@ def common_buckets(docs: DataFrame, bits: np.ndarray, k: int, seed: int, min_cou
                     yield told()
                     name = chunk
                     total[:] = 0
-                found = np.frombuffer(entries.as_buffer(), kind)
-                total[found["low"]] += found["n"]
+                raw = entries.as_buffer()
+                sizes = np.frombuffer(raw, "<u4", pages)
+                found = np.frombuffer(raw, kind, offset=sizes.nbytes)
+                total[np.repeat(np.arange(pages) << 16, sizes) + found["low"]] += found["n"]
         yield told()
 
     common = (
@@ -554,7 +564,7 @@ def phrase_counts(
     while _ambiguous(words):
         seed += 1
         words = materialize(word_counts(texts, seed), "words")
-    # Fewer occurrences than buckets; a chunk of 2**16 buckets is summed at once.
+    # Fewer occurrences than buckets; a chunk of buckets is summed at once.
     width = max(20, int(words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).bit_length())
     level = words.filter(F.col("n") >= min_count).select("l", F.col("h").alias("h1"))
     levels = [level]

@@ -265,6 +265,27 @@ def test_trie_counts_every_phrase():
         p: n for p, n in want.items() if p in phrases}
 
 
+def test_buckets_are_sent_in_few_rows_however_many_there_are(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(" ".join(f"v{x}" for x in rng.integers(0, 60, 900)), "en") for _ in range(20)]
+    df = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    every = np.full(1 << 10, -1, np.int64)
+    sent = []
+    monkeypatch.setattr(phrase_trie, "bitmap", lambda found: sorted(r.g for r in found.collect()))
+
+    def common():
+        return phrase_trie.common_buckets(df, every, 2, 0, 5, 22)
+
+    wide = common()
+    monkeypatch.setattr(phrase_trie, "CHUNK_BITS", 2)
+    assert common() == wide
+    hasher, level = phrase_trie.Hasher(0), phrase_trie.Level(every, 2)
+    for text, lang in rows:
+        sent.append(phrase_trie._buckets(level.occurrences(hasher.words([text], [lang]))[0], 22))
+    at, n = np.unique(np.concatenate(sent), return_counts=True)
+    assert len(wide) > 100 and wide == sorted(phrase_trie.mixed(at[n >= 5]).view(np.int64).tolist())
+
+
 def test_texts_are_hashed_in_small_slices():
     rows = [("word " * 50_000, "en")] * 12
     batch = pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows)], names=["text", "lang"])
