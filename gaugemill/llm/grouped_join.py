@@ -23,6 +23,9 @@ Jaccard similarity of their sets is at least a percentage.
    to its members of different classes, and these are compared.  So no link between classes is
    missed, however long a posting list is; long lists are dealt block against block.
 
+Before two texts are fetched their parities are compared: a bit for each of PARITY_BITS
+buckets of hashes, set if it has an odd number of the set's shingles.  Two sets differ by at
+least as many shingles as their parities by bits, so a pair that is turned down can't link.
 A comparison takes both whole texts and counts the intersection exactly (of 64-bit hashes).
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and
@@ -57,6 +60,7 @@ BLOCK_ROWS = 1024
 # Keys of wanted texts are broadcast up to this many, joined by a shuffle beyond it.
 BROADCAST_NODES = 1 << 19
 PAIRS_A_BLOCK = 4096
+PARITY_BITS = 1024
 
 _MULTIPLIERS = np.random.default_rng(42).integers(1, 2**63, 64, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
@@ -82,6 +86,19 @@ def shingle_set(text: str | None, shingle_words: int = SHINGLE_WORDS) -> np.ndar
     return np.unique(_mixed(total))
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """For every bucket of hashes, whether it has an odd number of them; 64 to a number."""
+    odd = np.bincount((found & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def _near(one: str, other: str, size: Column, other_size: Column, percent: int) -> Column:
+    """Whether sets of these parities and sizes may link."""
+    bits = F.zip_with(one, other, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda n, x: n + x)
+    return (100 + percent) * differ <= (100 - percent) * (size + other_size)
+
+
 def prefix_length(size: int, percent: int = PERCENT) -> int:
     return size - (percent * size + 99) // 100 + 1
 
@@ -107,7 +124,8 @@ def _narrow(docs: DataFrame) -> DataFrame:
 
 
 def marks(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, said, node, size, low): ``low`` has the least shingles, twice the prefix and some."""
+    """(doc_id, said, node, size, low, odd): ``low`` has the least shingles, twice the prefix
+    and some, ``odd`` the parity of all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
@@ -120,12 +138,13 @@ def marks(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PE
                     [part.column("doc_id"), part.column("said"),
                      pa.array([xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array(low, pa.list_(pa.int64()))],
-                    names=["doc_id", "said", "node", "size", "low"],
+                     pa.array(low, pa.list_(pa.int64())),
+                     pa.array([parity(s) for s in sets], pa.list_(pa.int64()))],
+                    names=["doc_id", "said", "node", "size", "low", "odd"],
                 )
 
     return _narrow(docs).mapInArrow(
-        run, "doc_id long, said long, node binary, size long, low array<long>"
+        run, "doc_id long, said long, node binary, size long, low array<long>, odd array<long>"
     )
 
 
@@ -375,9 +394,18 @@ def compared(
 ) -> DataFrame:
     """The pairs (a, b) of ``nodes`` that link.
 
+    Those whose parities tell that they don't are left out before any text is fetched.
     The first text of a block of pairs is held while the others pass by one at a time.
     """
-    pairs = materialize(pairs.filter("a <> b").distinct(), "pairs")
+    sides = {
+        s: nodes.select(F.col("node").alias(s), F.col("odd").alias(f"odd_{s}"), F.col("size").alias(f"size_{s}"))
+        for s in ("a", "b")
+    }
+    met = pairs.filter("a <> b").distinct().join(sides["a"], "a").join(sides["b"], "b").filter(
+        _sizes_agree(F.col("size_a"), F.col("size_b"), percent)
+        & _near("odd_a", "odd_b", F.col("size_a"), F.col("size_b"), percent)
+    )
+    pairs = materialize(met.select("a", "b"), "pairs")
     blocks = -(-pairs.count() // PAIRS_A_BLOCK)
     dealt = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(max(blocks, 1))).alias("block"))
     first = dealt.select("a", "block").distinct().select("a", "block", F.lit(0).alias("side"), F.col("a").alias("node"))
@@ -472,8 +500,9 @@ def similar_documents(
     row = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "said")).alias("row")
     nodes = materialize(
         marked_rows.filter("size > 0").groupBy("node").agg(
-            F.first("size").alias("size"), F.first("low").alias("low"), F.min("doc_id").alias("least"), row
-        ).select("node", "size", "low", "least", "row.doc_id", "row.said"),
+            F.first("size").alias("size"), F.first("low").alias("low"), F.first("odd").alias("odd"),
+            F.min("doc_id").alias("least"), row
+        ).select("node", "size", "low", "odd", "least", "row.doc_id", "row.said"),
         "nodes",
     )
     slim = materialize(marked_rows.select("doc_id", "node", "size"), "marks")

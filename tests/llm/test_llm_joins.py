@@ -174,6 +174,46 @@ def test_links_need_prefix_votes(spark):
     assert len(cases) > 40 and sizes.filter(need > F.col("shared")).isEmpty()
 
 
+def test_parities_turn_down_only_what_cannot_link(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    sets, rows = {}, []
+    for family in range(40):
+        n = int(rng.integers(1, 600))
+        base = rng.integers(0, 2**64, n, dtype=np.uint64)
+        for share in (0, 0.02, 0.05, 0.06, 0.12):
+            other = base.copy()
+            some = rng.permutation(n)[: int(share * n)]
+            other[some] = rng.integers(0, 2**64, len(some), dtype=np.uint64)
+            sets[len(sets)] = np.unique(other)
+    for a in sets:
+        for b in range(a // 5 * 5, a):
+            one, other = sets[a], sets[b]
+            differ = sum(int(x).bit_count() for x in
+                         grouped_join.parity(one).view(np.uint64) ^ grouped_join.parity(other).view(np.uint64))
+            assert differ <= len(np.setxor1d(one, other))
+            rows.append((a, b, grouped_join.parity(one).tolist(), grouped_join.parity(other).tolist(), len(one), len(other)))
+    near = grouped_join._near("p", "q", F.col("n"), F.col("m"), 90)
+    df = spark.createDataFrame(rows, "a long, b long, p array<long>, q array<long>, n long, m long")
+    got = {(r.a, r.b): r.near for r in df.select("a", "b", near.alias("near")).collect()}
+    links = {k for k in got if grouped_join.linked(sets[k[0]], sets[k[1]])}
+    assert links and all(got[k] for k in links)
+    assert sum(not x for x in got.values()) > 0.8 * (len(got) - len(links))
+
+
+def test_family_of_unlike_copies_is_turned_down_without_texts(spark, monkeypatch):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(i, edited(base, rng, 10)) for i in range(12)] + [(50, edited(base, rng, 1)), (51, " ".join(base))]
+    asked = []
+    plain = grouped_join.texts_of
+    monkeypatch.setattr(grouped_join, "texts_of", lambda nodes, docs: asked.append(nodes.count()) or plain(nodes, docs))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in grouped_join.similar_documents(df).collect()}
+    assert got == plain_components(rows) and got[51] == (398, 50)
+    # The base and its like, and texts whose prefix needs all their shingles; none for pairs alike to 0.86.
+    assert sum(asked) <= 4
+
+
 def test_awkward_documents(spark):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(3, text, "en", "a", 1), (3, text, "en", "a", 1), (2, text + " more", "en", "a", 1), (None, text, None, None, None),
