@@ -18,14 +18,20 @@ Jaccard similarity of their sets is at least a percentage.
    size), and its members are compared with the leader's first member, and with their own
    group's.  This joins families of near copies in a number of comparisons that grows with
    their members, not with their pairs.
-5. *Rest.*  Every pair of groups that share enough prefix shingles, agree in size, pass the
-   bound their positions put on the overlap and are not known to be of one class is expanded
-   to its members of different classes, and these are compared.  So no link between classes is
-   missed, however long a posting list is; long lists are dealt block against block.
-
-Before two texts are fetched their parities are compared: a bit for each of PARITY_BITS
-buckets of hashes, set if it has an odd number of the set's shingles.  Two sets differ by at
-least as many shingles as their parities by bits, so a pair that is turned down can't link.
+5. *Neighbours.*  Posting lists are cut into pieces of about NEAR_ROWS groups, and a group is
+   compared with the NEAR_LINKS others of its pieces whose parities are most like its own.  This
+   joins families whose members link with some of the others only, so no leader reaches them;
+   again the comparisons grow with the members.
+6. *Rest.*  Every pair of groups that share enough prefix shingles, agree in size, pass the
+   bounds their positions and parities put on the overlap and are not known to be of one class
+   is expanded to its members of different classes, and these are compared.  So no link between
+   classes is missed, however long a posting list is; long lists are dealt block against block.
+   Pairs are formed and turned down inside a task, so only those that may link become rows.
+
+Parities are a bit for each of PARITY_BITS buckets of hashes, set if it has an odd number of
+the set's shingles.  Two sets differ by at least as many shingles as their parities by bits, so
+a pair that is turned down can't link.  A group has the bits that all its members set and those
+that any sets; two groups differ surely where one sets a bit always and the other never.
 A comparison takes both whole texts and counts the intersection exactly (of 64-bit hashes).
 
 Defined results: null, empty and wordless texts have an empty set, link with nothing and
@@ -42,7 +48,7 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gaugemill.llm.common import arrow_slices, bitmap, marked, materialize
 from gaugemill.llm.simhash_tree import components
@@ -54,6 +60,9 @@ HOT_ROWS = 128
 # At most this many frequent shingles are broadcast, the most frequent ones (16 bytes each).
 HOT_ENTRIES = 1 << 20
 STAR_ROUNDS = 2
+NEAR_ROUNDS = 2
+NEAR_ROWS = 64
+NEAR_LINKS = 4
 PRUNE_ROUNDS = 2
 SALTS = 32
 BLOCK_ROWS = 1024
@@ -61,6 +70,8 @@ BLOCK_ROWS = 1024
 BROADCAST_NODES = 1 << 19
 PAIRS_A_BLOCK = 4096
 PARITY_BITS = 1024
+# Pairs of groups looked at at once; each takes two parities of memory.
+PAIRS_AT_ONCE = 1 << 15
 
 _MULTIPLIERS = np.random.default_rng(42).integers(1, 2**63, 64, dtype=np.int64).astype(np.uint64) | np.uint64(1)
 
@@ -359,31 +370,157 @@ def _may_differ(least: str, most: str, other_least: str, other_most: str) -> Col
     return F.least(F.col(least), F.col(other_least)) < F.greatest(F.col(most), F.col(other_most))
 
 
-def group_pairs(met: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(one, other): pairs of groups of different classes that may hold linked members."""
+def sketches(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(gid, every, any): parity bits that all members of a group set, and those that any sets
+    (null where these are the same)."""
+    bits = [F.get("odd", F.lit(i)) for i in range(PARITY_BITS // 64)]
+    both = members.select("node", "gid").join(nodes.select("node", "odd"), "node").groupBy("gid").agg(
+        F.array(*[F.bit_and(x) for x in bits]).alias("every"), F.array(*[F.bit_or(x) for x in bits]).alias("any")
+    )
+    return both.select("gid", "every", F.when(F.col("every") != F.col("any"), F.col("any")).alias("any"))
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows, sorted by token, first and second, with no cell of these cut in two."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks().to_batches()[0]
+        fresh = np.nonzero(_fresh(rows))[0]
+        held = [rows.slice(fresh[-1])]
+        if fresh[-1]:
+            yield rows.slice(0, fresh[-1])
+    yield from held
+
+
+def _fresh(rows: pa.RecordBatch) -> np.ndarray:
+    """Whether a row begins a cell."""
+    out = np.ones(rows.num_rows, bool)
+    out[1:] = False
+    for name in ("token", "first", "second"):
+        key = rows.column(name).to_numpy()
+        out[1:] |= key[1:] != key[:-1]
+    return out
+
+
+def _may_link(rows: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of pairs of rows of a cell that may hold linked members of different classes,
+    and by how many bits their parities differ.
+
+    In a cell of two blocks those of the first are paired with those of the second.
+    """
+    size, pos, side, gid = (rows.column(c).to_numpy() for c in ("size", "pos", "side", "gid"))
+    alone = rows.column("alone").to_numpy(zero_copy_only=False)
+    least = np.frombuffer(b"".join(rows.column("least").to_pylist()), np.uint64).reshape(-1, 2)
+    every = rows.column("every").flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, -1)
+    spread = np.nonzero(rows.column("any").is_valid().to_numpy(zero_copy_only=False))[0]
+    some = every.copy() if len(spread) else every
+    if len(spread):
+        some[spread] = rows.column("any").flatten().to_numpy().view(np.uint64).reshape(len(spread), -1)
+
+    fresh = _fresh(rows)
+    start = np.nonzero(fresh)[0]
+    cell = np.cumsum(fresh) - 1
+    end = np.append(start[1:], rows.num_rows)[cell]
+    middle = (start + np.add.reduceat((side == 0).astype(np.int64), start))[cell]
+    diagonal = rows.column("first").to_numpy() == rows.column("second").to_numpy()
+    begin = np.where(diagonal, np.arange(rows.num_rows) + 1, middle)
+    count = np.where(side == 0, end - begin, 0)
+    until = np.cumsum(count)
+    for low in range(0, int(until[-1]), PAIRS_AT_ONCE):
+        pair = np.arange(low, min(low + PAIRS_AT_ONCE, int(until[-1])))
+        i = np.searchsorted(until, pair, "right")
+        j = begin[i] + pair - (until[i] - count[i])
+        one, other = size[i], size[j]
+        both = (percent * (one + other) + 99 + percent) // (100 + percent)
+        # Of the shingles before this one at most the shorter run is shared.
+        most = np.minimum(pos[i], pos[j]) + 1 + np.minimum(one - pos[i], other - pos[j]) - 1
+        same = alone[i] & alone[j] & (least[i] == least[j]).all(1)
+        fit = (gid[i] != gid[j]) & ~same & (most >= both) & (
+            100 * np.minimum(one, other) >= percent * np.maximum(one, other))
+        i, j = i[fit], j[fit]
+        if len(spread):
+            odd = (every[i] & ~some[j]) | (every[j] & ~some[i])
+        else:
+            odd = every[i] ^ every[j]
+        differ = np.bitwise_count(odd).sum(1, dtype=np.int64)
+        near = (100 + percent) * differ <= (100 - percent) * (size[i] + size[j])
+        if near.any():
+            yield i[near], j[near], differ[near]
+
+
+def _open(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """Postings of shingles whose groups are not all of one class, with their classes."""
     rows = met.drop("salt").join(classes, "gid")
     open_tokens = rows.groupBy("token").agg(
         F.min("least").alias("from"), F.max("most").alias("to")
     ).filter(F.col("from") < F.col("to")).select("token")
-    blocks = F.ceil(F.col("rows") / F.lit(BLOCK_ROWS)).cast("long")
-    rows = materialize(
-        rows.join(open_tokens, "token", "left_semi").withColumn("blocks", blocks), "open"
-    )
-    left = rows.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")))
-    right = rows.select(
-        "token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
-        *[F.col(c).alias(f"_{c}") for c in ("gid", "size", "pos", "least", "most")],
-    )
-    need = F.ceil(F.lit(percent) * (F.col("size") + F.col("_size")) / F.lit(100 + percent) - F.lit(1e-6))
-    # Of the shingles before this one at most the shorter run is shared.
-    most = F.least("pos", "_pos") + 1 + F.least(
-        F.col("size") - F.col("pos") - 1, F.col("_size") - F.col("_pos") - 1
+    return materialize(rows.join(open_tokens, "token", "left_semi"), "open")
+
+
+def _compared_in_cells(cells: DataFrame, run, schema: str) -> DataFrame:
+    order = ["token", "first", "second"]
+    sent = cells.select(
+        *order, "side", "gid", "size", "pos", "least", (F.col("least") == F.col("most")).alias("alone"), "every", "any"
     )
-    met_pairs = left.join(right, ["token", "block"]).filter(
-        (F.col("gid") < F.col("_gid")) & _sizes_agree(F.col("size"), F.col("_size"), percent)
-        & (most >= need) & _may_differ("least", "most", "_least", "_most")
+    return sent.repartition(*order).sortWithinPartitions(*order, "side").mapInArrow(run, schema)
+
+
+def _blocks(rows: int) -> Column:
+    return F.ceil(F.col("rows") / F.lit(rows)).cast("long")
+
+
+def neighbour_pairs(
+    rows: DataFrame, sketched: DataFrame, turn: int, percent: int = PERCENT
+) -> DataFrame:
+    """(one, other): for each group the NEAR_LINKS most alike by parity that it meets in the
+    pieces of its posting lists, as far as they may link and are of different classes."""
+    piece = F.pmod(F.xxhash64("gid", F.lit(turn)), _blocks(NEAR_ROWS))
+    cells = rows.join(sketched, "gid").select(
+        "*", piece.alias("first"), piece.alias("second"), F.lit(0).alias("side"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_cells(batches):
+            gid = part.column("gid").to_numpy()
+            for i, j, differ in _may_link(part, percent):
+                order = np.lexsort((differ, i))
+                i, j, differ = i[order], j[order], differ[order]
+                place = np.arange(len(i))
+                kept = place - np.searchsorted(i, i) < NEAR_LINKS
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[kept]) for x in (gid[i], gid[j], differ)], names=["one", "other", "differ"])
+
+    found = _compared_in_cells(cells, run, "one long, other long, differ long").distinct()
+    first = Window.partitionBy("one").orderBy("differ", "other")
+    return found.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= NEAR_LINKS).select("one", "other")
+
+
+def group_pairs(
+    rows: DataFrame, sketched: DataFrame, percent: int = PERCENT
+) -> DataFrame:
+    """(one, other): pairs of groups of different classes that may hold linked members.
+
+    ``rows`` are open postings and ``sketched`` the parities of each group.  A posting list of
+    several blocks is dealt into a cell for each pair of blocks.
+    """
+    own = F.pmod(F.xxhash64("gid"), _blocks(BLOCK_ROWS))
+    cells = rows.join(sketched, "gid").select(
+        "*", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), _blocks(BLOCK_ROWS) - 1)).alias("with")
+    ).select(
+        "*", F.least("own", "with").alias("first"), F.greatest("own", "with").alias("second"),
+        (F.col("own") > F.col("with")).cast("int").alias("side"),
     )
-    votes = met_pairs.groupBy(F.col("gid").alias("one"), F.col("_gid").alias("other")).agg(
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _whole_cells(batches):
+            gid, size = (part.column(c).to_numpy() for c in ("gid", "size"))
+            for i, j, _ in _may_link(part, percent):
+                i, j = np.where(gid[i] < gid[j], i, j), np.where(gid[i] < gid[j], j, i)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (gid[i], gid[j], size[i], size[j])], names=["one", "other", "size", "_size"])
+
+    votes = _compared_in_cells(cells, run, "one long, other long, size long, _size long").groupBy("one", "other").agg(
         F.count(F.lit(1)).alias("votes"), F.max(_votes(F.col("size"), F.col("_size"), percent)).alias("asked")
     )
     return votes.filter("votes >= asked").select("one", "other")
@@ -464,8 +601,18 @@ def node_links(
         found = compared(pairs, nodes, docs, shingle_words, percent)
         links = found if links is None else materialize(links.unionByName(found), "links")
 
+    sketched = materialize(sketches(kept, nodes), "sketches")
+    firsts = [kept.select(F.col("gid").alias(g), F.col("first").alias(n)).distinct() for g, n in (("one", "a"), ("other", "b"))]
+    for turn in range(NEAR_ROUNDS):
+        named, classes = _classes(kept, links)
+        rows = _open(met, classes)
+        pairs = neighbour_pairs(rows, sketched, turn, percent).join(firsts[0], "one").join(firsts[1], "other")
+        links = materialize(
+            links.unionByName(compared(pairs.select("a", "b"), nodes, docs, shingle_words, percent)), "links")
+        discard(rows)
+
     named, classes = _classes(kept, links)
-    across = group_pairs(met, classes, percent)
+    across = group_pairs(_open(met, classes), sketched, percent)
     within = classes.filter(F.col("least") < F.col("most")).select(
         F.col("gid").alias("one"), F.col("gid").alias("other"))
     left = named.select(F.col("gid").alias("one"), F.col("node").alias("a"), F.col("class").alias("ca"))

@@ -214,6 +214,67 @@ def test_family_of_unlike_copies_is_turned_down_without_texts(spark, monkeypatch
     assert sum(asked) <= 4
 
 
+@pytest.mark.parametrize("edits, most", [((6, 7), 0), ((2, 6), 40)])
+def test_family_of_near_copies_makes_few_pairs_of_groups(spark, monkeypatch, edits, most):
+    """Nearly all of 60 * 59 / 2 pairs share enough shingles; none, or some of them, link."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(400)]
+    rows = [(i, edited(base, rng, rng.randrange(*edits))) for i in range(60)]
+    found = []
+    plain = grouped_join.group_pairs
+
+    def counted(*args):
+        pairs = plain(*args)
+        found.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(grouped_join, "group_pairs", counted)
+    monkeypatch.setattr(grouped_join, "NEAR_ROWS", 20)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in grouped_join.similar_documents(df).collect()}
+    assert got == plain_components(rows)
+    assert sum(found) <= most
+
+
+@pytest.mark.parametrize("blocks, at_once", [(1024, 1 << 15), (3, 5)])
+def test_pairs_of_groups_keep_all_that_may_link(spark, monkeypatch, blocks, at_once):
+    """Groups of several members, in cells cut over batches: every pair of groups with linked
+    members of different classes is found, and no pair of groups of one class."""
+    monkeypatch.setattr(grouped_join, "BLOCK_ROWS", blocks)
+    monkeypatch.setattr(grouped_join, "PAIRS_AT_ONCE", at_once)
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2**64, 200, dtype=np.uint64)
+    members, nodes, met, classes, sets = [], [], [], [], {}
+    for gid in range(30):
+        own = []
+        for _ in range(1 + gid % 3):
+            held = base.copy()
+            some = rng.permutation(200)[: rng.integers(0, 18)]
+            held[some] = rng.integers(0, 2**64, len(some), dtype=np.uint64)
+            own.append(np.unique(held))
+        sets[gid] = own
+        of = [(0 if gid < 4 else gid).to_bytes(16, "little")] * len(own)
+        for k, held in enumerate(own):
+            members.append((f"{gid} {k}".encode(), gid))
+            nodes.append((members[-1][0], grouped_join.parity(held).tolist()))
+        classes.append((gid, min(of), max(of)))
+        met += [(token, 0, 30, gid, 200, token) for token in range(31)] + [(99, 0, 1, gid, 10**6, 0)] * (gid == 5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        sketched = grouped_join.sketches(
+            spark.createDataFrame(members, "node binary, gid long"), spark.createDataFrame(nodes, "node binary, odd array<long>"))
+        rows = spark.createDataFrame(met, "token long, salt int, rows long, gid long, size long, pos int").drop("salt").join(
+            spark.createDataFrame(classes, "gid long, least binary, most binary"), "gid")
+        pairs = [tuple(r) for r in grouped_join.group_pairs(rows, sketched).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = set(pairs)
+    every = {(a, b) for b in range(30) for a in range(b) if b > 3}
+    links = {(a, b) for a, b in every if any(grouped_join.linked(x, y) for x in sets[a] for y in sets[b])}
+    assert len(got) == len(pairs) and links <= got <= every
+    assert links and len(got) < len(every)
+
+
 def test_awkward_documents(spark):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(3, text, "en", "a", 1), (3, text, "en", "a", 1), (2, text + " more", "en", "a", 1), (None, text, None, None, None),
