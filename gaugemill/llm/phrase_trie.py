@@ -10,10 +10,11 @@ pieces into words.  Everything is counted per language.
    first counted by hash bucket, and those of common buckets are tallied as phrases.  A hash
    that meets a set bit or a common bucket by chance adds a candidate, it loses none.
 3. *Tries.*  Candidates of all levels form double-array tries over the digits of their
-   words' numbers, in blocks of at most BLOCK_PHRASES phrases.  A block is broadcast; tasks
-   move the states of all positions of a slice one word further at a time (numpy gathers, no
-   loop over positions) and count accepting states with ``bincount``.  Spark sums the tasks'
-   counts.  Several blocks take several passes over the texts, not more memory.
+   words' numbers, in blocks of about BLOCK_PHRASES phrases by hash.  One pass over the texts
+   tallies what begins at every position, as long as a bitmap of fixed size marks it, and
+   sends it to the block of its hash.  The block's task moves the states of all that it gets
+   one word further at a time (numpy gathers, no loop over positions) and counts accepting
+   states with ``bincount``.  More blocks take more tasks, neither more passes nor memory.
 4. *Scores.*  Cuts, containment and ranks are joins and windows over the counted phrases.
 
 Words are carried as 64-bit hashes; should two different words (or languages) ever share
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +43,18 @@ TOP = 2000
 CONTAINED_PERCENT = 50
 NO_LANG = "und"
 
-BLOCK_PHRASES = 1 << 20
+# A block's trie is built and used by one task.
+BLOCK_PHRASES = 1 << 14
 TALLY_ROWS = 1 << 18
+# Tallied phrases travel packed; an Arrow batch of 10,000 bodies has about 30 MB.
+PACK_ROWS = 64
+GATHER_ROWS = 1 << 17
+# Occurrences that a part of a level's tally has at most, on average.
+PART_BITS = 19
 # Hashing a slice of 4 MB took 220 MB, one of 1 MB 36 MB (measured on 20 MB of texts).
 SLICE_BYTES = 1 << 20
 WIDE_NODE = 24
-SLOT_BITS = 20
+SLOT_BITS = 16
 CHUNK_BITS = 8
 RANK_PARTS = 16
 
@@ -157,36 +165,51 @@ def _long(values: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(values).view(np.int64))
 
 
+def strings(octets: bytes, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """What stands in ``octets`` between starts and ends."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    at = np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
+    return pa.StringArray.from_buffers(
+        len(sizes), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.frombuffer(octets, np.uint8)[at]))
+
+
 def word_counts(docs: DataFrame, seed: int) -> DataFrame:
     """(lang, word, l, h, n) of all words; l and h are the hashes of lang and word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # By the hash of language and word: language, word, both hashes, count.
-        found: dict[int, list] = {}
+        # Words by arrival; ``keys`` are the ascending hashes of language and word, ``place`` where each is held.
+        held: list[tuple] = []
+        keys, place, total = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def told() -> pa.RecordBatch:
-            lang, word, own, each, n = zip(*found.values())
-            found.clear()
+            names, texts, own, each = zip(*held)
+            held.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(word, pa.binary()).cast(pa.string()),
-                 _long(np.array(own, np.uint64)), _long(np.array(each, np.uint64)), pa.array(n, pa.int64())],
+                [pa.concat_arrays(names), pa.concat_arrays(texts), _long(np.concatenate(own)),
+                 _long(np.concatenate(each)), pa.array(total)],
                 names=["lang", "word", "l", "h", "n"],
             )
 
         for words in slices(batches, Hasher(seed)):
             some = np.nonzero(words.hashes)[0]
-            keys, first, n = np.unique(
+            found, first, n = np.unique(
                 longer(words.langs[some], words.hashes[some]), return_index=True, return_counts=True)
-            at = some[first]
-            columns = [x[at].tolist() for x in (words.text, words.starts, words.ends, words.langs, words.hashes)]
-            for key, count, text, a, b, own, each in zip(keys.tolist(), n.tolist(), *columns):
-                if (entry := found.get(key)) is None:
-                    found[key] = [words.names[text], words.octets[a:b], own, each, count]
-                else:
-                    entry[4] += count
-            if len(found) > TALLY_ROWS:
+            at = np.searchsorted(keys, found)
+            old = at < len(keys)
+            old[old] = keys[at[old]] == found[old]
+            total[place[at[old]]] += n[old]
+            at, fresh = at[~old], some[first[~old]]
+            held.append((pa.array(words.names, pa.string()).take(pa.array(words.text[fresh])),
+                         strings(words.octets, words.starts[fresh], words.ends[fresh]),
+                         words.langs[fresh], words.hashes[fresh]))
+            place = np.insert(place, at, len(total) + np.arange(len(at)))
+            keys = np.insert(keys, at, found[~old])
+            total = np.append(total, n[~old])
+            if len(keys) > 2 * TALLY_ROWS:
                 yield told()
-        if found:
+                keys, place, total = keys[:0], place[:0], total[:0]
+        if held:
             yield told()
 
     counted = docs.mapInArrow(run, "lang string, word string, l long, h long, n long")
@@ -203,10 +226,11 @@ def _ambiguous(words: DataFrame) -> bool:
 
 
 class Tally:
-    """Counts of rows of numbers by their hash, in bounded memory."""
+    """Counts of rows of numbers by their hash, in bounded memory; the commonest are held longest."""
 
     def __init__(self, width: int):
-        self.width = width
+        # Bare hashes take less room.
+        self.width, self.most = width, TALLY_ROWS * (2 if width else 4)
         self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.rows = 0
 
@@ -217,10 +241,14 @@ class Tally:
         g, first, n = np.unique(hashes, return_index=True, return_counts=True)
         self.held.append((g, rows[first], n))
         self.rows += len(g)
-        if self.rows > TALLY_ROWS:
+        if self.rows > self.most:
             self._merge()
-            if self.rows > TALLY_ROWS // 2:
-                yield from self.flush()
+            if self.rows > self.most // 2:
+                hashes, rows, n = self.held[0]
+                place = self.rows - self.most // 4
+                stay = n > np.partition(n, place)[place]
+                self.held, self.rows = [(hashes[stay], rows[stay], n[stay])], int(stay.sum())
+                yield hashes[~stay], rows[~stay], n[~stay]
 
     def _merge(self) -> None:
         hashes, rows, n = (np.concatenate(x) for x in zip(*self.held))
@@ -260,6 +288,62 @@ class Level:
         return longer(part[at], h[at + k - 1]), rows
 
 
+PACKED = "part long, kind int, body binary"
+
+
+def phrase_hashes(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows that have k words (language first, 0 fills up) and the hash of these, k = 1, 2 .."""
+    at, g = np.arange(len(rows)), rows[:, 0]
+    for k in range(1, rows.shape[1]):
+        some = rows[at, k] > 0
+        at, g = at[some], longer(g[some], rows[at[some], k])
+        yield at, g
+
+
+def packed(g: np.ndarray, rows: np.ndarray, parts: int, kind: int) -> pa.RecordBatch:
+    """Rows of numbers, ascending by hash, in bodies of at most PACK_ROWS rows of one part."""
+    part = ((g >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    first = np.nonzero(np.diff(part, prepend=-1))[0]
+    pieces = -(-np.diff(first, append=len(part)) // PACK_ROWS)
+    place = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = np.repeat(first, pieces) + PACK_ROWS * place
+    columns = np.ascontiguousarray(rows.T)
+    ends = np.append(starts[1:], len(part)).tolist()
+    body = [columns[:, a:b].tobytes() for a, b in zip(starts.tolist(), ends)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[starts]), pa.array(np.full(len(body), kind, np.int32)), pa.array(body, pa.binary())],
+        names=["part", "kind", "body"])
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(part, kind, rows) in the order of the bodies, some GATHER_ROWS rows at once."""
+    name, held, n = None, [], 0
+    for batch in batches:
+        for part, kind, body in zip(
+            batch.column("part").to_pylist(), batch.column("kind").to_pylist(), batch.column("body")
+        ):
+            if held and (name != (part, kind) or n >= GATHER_ROWS):
+                yield *name, np.concatenate(held, axis=1).T
+                held, n = [], 0
+            name = part, kind
+            held.append(np.frombuffer(body.as_buffer(), np.uint64).reshape(width, -1))
+            n += held[-1].shape[1]
+    if held:
+        yield *name, np.concatenate(held, axis=1).T
+
+
+def dealt(bodies: DataFrame) -> DataFrame:
+    return bodies.repartition("part").sortWithinPartitions("part", "kind")
+
+
+def summed_rows(g: np.ndarray, rows: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different rows, with their hashes and sums; rows that share a hash stay apart."""
+    _, first, back = np.unique(g, return_index=True, return_inverse=True)
+    if (rows[first][back] != rows).any():
+        _, first, back = np.unique(rows, axis=0, return_index=True, return_inverse=True)
+    return g[first], rows[first], np.bincount(back.ravel(), n, len(first)).astype(np.int64)
+
+
 def _buckets(hashes: np.ndarray, bits: int) -> np.ndarray:
     return hashes >> np.uint64(64 - bits)
 
@@ -341,15 +425,14 @@ def next_level(
     held = docs.sparkSession.sparkContext.broadcast((bits, common))
     names = ["l", *[f"h{i}" for i in range(1, k + 1)]]
 
+    parts = 1 << max(6, width - PART_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, buckets = held.value
-        level, tally = Level(parts, k), Tally(k + 1)
+        marks, buckets = held.value
+        level, tally = Level(marks, k), Tally(k + 1)
 
         def batch_of(g, rows, n) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [*[_long(rows[:, i]) for i in range(k + 1)], _long(g), pa.array(n)],
-                names=[*names, "g", "n"],
-            )
+            return packed(g, np.column_stack([rows, n.astype(np.uint64)]), parts, 0)
 
         for words in slices(batches, Hasher(seed)):
             g, rows = level.occurrences(words)
@@ -359,9 +442,17 @@ def next_level(
         for found in tally.flush():
             yield batch_of(*found)
 
-    schema = ", ".join(f"{c} long" for c in [*names, "g", "n"])
-    counted = docs.mapInArrow(run, schema).groupBy(*names).agg(F.first("g").alias("g"), F.sum("n").alias("n"))
-    return materialize(counted.filter(F.col("n") >= min_count).drop("n"), "candidates")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, found in groupby(unpacked(batches, k + 2), key=lambda x: x[0]):
+            table = np.concatenate([x for _, _, x in found])
+            *_, (_, g) = phrase_hashes(table[:, :-1])
+            g, rows, n = summed_rows(g, table[:, :-1], table[:, -1])
+            some = n >= min_count
+            yield pa.RecordBatch.from_arrays(
+                [*[_long(rows[some, i]) for i in range(k + 1)], _long(g[some])], names=[*names, "g"])
+
+    schema = ", ".join(f"{c} long" for c in [*names, "g"])
+    return materialize(dealt(docs.mapInArrow(run, PACKED)).mapInArrow(summed, schema), "candidates")
 
 
 @dataclass
@@ -442,6 +533,14 @@ class Trie:
             states = np.where(self.check[to] == states, to, 0)
         return states
 
+    def spelled(self, rows: np.ndarray) -> np.ndarray:
+        """The phrase that every row of hashes is, -1 for none; 0 fills up shorter rows."""
+        states = np.ones(len(rows), np.int64)
+        for column in rows.T:
+            live = np.nonzero((column > 0) & (states > 0))[0]
+            states[live] = self.advance(states[live], self.symbols(column[live]))
+        return self.value[states]
+
     def counts(self, symbols: np.ndarray, starts: np.ndarray, words: int) -> np.ndarray:
         """How often every phrase begins at a position of ``symbols``."""
         found = list(self.met(symbols, starts, words))
@@ -500,52 +599,96 @@ def _placed(parent: np.ndarray, digit: np.ndarray, nodes: int) -> tuple[np.ndarr
     return base, room + 256
 
 
+def begun(words: Words, bits: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and rows of what begins at all positions, 1 to ``most`` words as long as ``bits`` marks it."""
+    h = words.hashes
+    at = np.nonzero(h)[0]
+    g = longer(words.langs[at], h[at])
+    for k in range(1, most + 1):
+        fit = marked(bits, g)
+        at, g = at[fit], g[fit]
+        rows = np.zeros((len(at), most + 1), np.uint64)
+        rows[:, 0] = words.langs[at]
+        for i in range(k):
+            rows[:, i + 1] = h[at + i]
+        yield g, rows
+        # The last entry of a slice is a break, so a word has an entry behind it.
+        some = np.nonzero(h[at + k] > 0)[0] if k < most else []
+        at, g = at[some], longer(g[some], h[at[some] + k])
+
+
 def counted(docs: DataFrame, candidates: DataFrame, words: int, seed: int) -> DataFrame:
-    """(id, f): occurrences of every candidate (id, l, h1 ..), one pass for each block."""
-    total = candidates.count()
-    blocks = max(1, -(-total // BLOCK_PHRASES))
+    """(id, f): occurrences of every candidate (id, l, h1 ..), one pass over the texts for all blocks."""
+    blocks = max(1, -(-candidates.count() // BLOCK_PHRASES))
     names = ["l", *[f"h{i}" for i in range(1, words + 1)]]
-    dealt = candidates.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    found = []
-    for block in range(blocks):
-        held = dealt.filter(F.col("block") == block).select("id", *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
-        rows = held.toArrow()
-        ids = rows.column("id").to_numpy()
-        keys = np.column_stack([rows.column(c).to_numpy() for c in names]) if total else np.zeros((0, words + 1))
-        trie = docs.sparkSession.sparkContext.broadcast((Trie.build(keys.astype(np.int64).view(np.uint64)), ids))
-        found.append(materialize(_block_counts(docs, trie, words, seed), "counts"))
-        trie.destroy()
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
-
-
-def _block_counts(docs: DataFrame, held, words: int, seed: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, ids = held.value
-        total = np.zeros(trie.phrases, np.int64)
+    keys = candidates.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in names], "id")
+
+    def numbers(batch: pa.RecordBatch) -> np.ndarray:
+        return np.column_stack([batch.column(c).to_numpy() for c in [*names, "id"]]).view(np.uint64)
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, g in phrase_hashes(numbers(batch)[:, :-1]):
+                yield pa.RecordBatch.from_arrays([_long(np.unique(g))], names=["g"])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_back: list[np.ndarray] = []
 
-        def add() -> None:
-            found = np.concatenate(held_back or [np.zeros(0, np.int32)])
-            np.add(total, np.bincount(found, minlength=len(total)), out=total)
+        def told() -> pa.RecordBatch:
+            table = np.concatenate(held_back)
             held_back.clear()
+            whole = np.zeros(len(table), np.uint64)
+            for at, g in phrase_hashes(table[:, :-1]):
+                whole[at] = g
+            order = np.argsort(whole, kind="stable")
+            return packed(whole[order], table[order], blocks, 0)
+
+        for batch in batches:
+            held_back.append(numbers(batch))
+            if sum(map(len, held_back)) > TALLY_ROWS:
+                yield told()
+        if held_back:
+            yield told()
+
+    held = docs.sparkSession.sparkContext.broadcast(bitmap(keys.mapInArrow(marks, "g long")))
+
+    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally(words + 1)
+
+        def batch_of(g, rows, n) -> pa.RecordBatch:
+            return packed(g, np.column_stack([rows, n.astype(np.uint64)]), blocks, 1)
 
         for each in slices(batches, Hasher(seed)):
-            own, text_of = np.unique(each.langs, return_inverse=True)
-            roots = trie.advance(np.ones(len(own), np.int64), trie.symbols(own))
-            held_back.extend(trie.met(trie.symbols(each.hashes), roots[text_of], words))
-            # Counting costs as much as there are phrases, so it waits for as many places.
-            if sum(map(len, held_back)) > len(total):
-                add()
-        add()
-        some = np.nonzero(total)[0]
-        for i in range(0, len(some), 1 << 16):
-            part = some[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[part]), pa.array(total[part])], names=["id", "f"])
-
-    return docs.mapInArrow(run, "id long, f long").groupBy("id").agg(F.sum("f").alias("f"))
+            for g, rows in begun(each, held.value, words):
+                for found in tally.add(g, rows):
+                    yield batch_of(*found)
+        for found in tally.flush():
+            yield batch_of(*found)
+
+    both = keys.mapInArrow(keyed, PACKED).unionByName(docs.mapInArrow(scanned, PACKED))
+    found = dealt(both).mapInArrow(lambda batches: _block_counts(batches, words), "id long, f long")
+    return materialize(found, "counts")
+
+
+def _block_counts(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """(id, f) of blocks, each of which has its candidates first and then what the texts have."""
+    for _, tables in groupby(unpacked(batches, words + 2), key=lambda x: x[0]):
+        own, trie, total = [], None, None
+        for _, kind, table in tables:
+            if kind == 0:
+                own.append(table)
+                continue
+            if not own:
+                continue
+            if trie is None:
+                keys = np.concatenate(own)
+                trie, total = Trie.build(keys[:, :-1]), np.zeros(len(keys), np.int64)
+            at = trie.spelled(table[:, :-1])
+            met = at >= 0
+            total += np.bincount(at[met], table[met, -1], len(total)).astype(np.int64)
+        if trie is not None:
+            some = np.nonzero(total)[0]
+            yield pa.RecordBatch.from_arrays([_long(keys[some, -1]), pa.array(total[some])], names=["id", "f"])
 
 
 def phrase_counts(

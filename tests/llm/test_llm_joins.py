@@ -431,3 +431,64 @@ def test_scores_are_exact_beyond_64_bits(spark):
     a, left, right = 99_999_999_999_999, 100_000_000_000_000, 299_999_999_999_999
     df = spark.createDataFrame([(a, left, right)], "a long, l long, r long")
     assert df.select(phrase_trie.score(F.col("a"), F.col("l"), F.col("r"))).first()[0] == 10**6 * a * a // (left * right)
+
+
+def test_texts_are_read_once_however_many_blocks(spark, monkeypatch):
+    """Every pass of the tries over the texts counts its rows here."""
+    rng = random.Random(8)
+    rows = [(" ".join(f"w{min(rng.randrange(30), rng.randrange(30))}" for _ in range(200)), "en") for _ in range(40)]
+    want = collections.Counter()
+    for text, _ in rows:
+        words = text.split()
+        want.update(tuple(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
+    hasher = phrase_trie.Hasher(0)
+    phrases = [p for p, n in want.items() if n >= 5 or len(p) == 3 and n == 1] + [("w1", "none"), ("none",)]
+    lang = int(hasher.words(["x"], ["en"]).langs[0])
+    hashed = [(lang, *(int(hasher.words([w], ["en"]).hashes[0]) for w in p), *[0] * (3 - len(p))) for p in phrases]
+    keys = [(i, *(x or None for x in r)) for i, r in enumerate(np.array(hashed, np.uint64).view(np.int64).tolist())]
+    candidates = spark.createDataFrame(keys, "id long, l long, h1 long, h2 long, h3 long")
+    met = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(2).mapInArrow(noted, "text string, lang string")
+    monkeypatch.setattr(phrase_trie, "BLOCK_PHRASES", 50)
+    found = {phrases[r.id]: r.f for r in phrase_trie.counted(docs, candidates, 3, 0).collect()}
+    assert len(phrases) > 500 and found == {p: want[p] for p in phrases if want[p]}
+    assert met.value == len(rows)
+
+
+def test_tallied_phrases_are_packed_whole():
+    """Bodies keep every row, those of a part together; rows that share a hash stay apart."""
+    rng = np.random.default_rng(3)
+    rows = np.column_stack([np.full(5000, 9), rng.integers(1, 40, (5000, 2)), np.zeros(5000), np.arange(5000)]).astype(np.uint64)
+    rows[::7, 2] = 0
+    g = np.zeros(len(rows), np.uint64)
+    for at, h in phrase_trie.phrase_hashes(rows[:, :-1]):
+        g[at] = h
+    order = np.argsort(g, kind="stable")
+    batch = phrase_trie.packed(g[order], rows[order], 5, 1)
+    tables = list(phrase_trie.unpacked(iter([batch.slice(0, 30), batch.slice(30)]), 5))
+    assert [(p, kind) for p, kind, _ in tables] == [(p, 1) for p in range(5)]
+    assert (np.concatenate([x for _, _, x in tables]) == rows[order]).all()
+    one = collections.Counter()
+    for row, n in zip(rows[:, :-1].tolist(), rows[:, -1].tolist()):
+        one[tuple(row)] += n
+    for hashes in (g, np.zeros_like(g)):
+        _, each, n = phrase_trie.summed_rows(hashes, rows[:, :-1], rows[:, -1])
+        assert dict(zip(map(tuple, each.tolist()), n.tolist())) == one
+
+
+def test_common_rows_stay_in_the_tally(monkeypatch):
+    monkeypatch.setattr(phrase_trie, "TALLY_ROWS", 50)
+    tally, sent = phrase_trie.Tally(1), []
+    for i in range(200):
+        h = np.array([1, 1, 2, *range(100 + 40 * i, 140 + 40 * i)], np.uint64)
+        sent += list(tally.add(h, h[:, None]))
+    assert sum(1 in g for g, _, _ in sent) == 0
+    sent += list(tally.flush())
+    assert sum(int(n.sum()) for _, _, n in sent) == 200 * 43
+    assert [int(n[g == 1][0]) for g, _, n in sent if 1 in g] == [400]
